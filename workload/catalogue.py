@@ -49,17 +49,11 @@ def _(spark, sf):
 
 @query(
     "releases_by_version_key",
-    f"""SELECT api_id, name, array_to_string({KEY_SQL}, ',') AS version_key,
-               row_number() OVER (ORDER BY {KEY_SQL}, api_id) AS position
-        FROM v_releases""",
+    f"SELECT api_id, name, array_to_string({KEY_SQL}, ',') AS version_key FROM v_releases",
 )
 def _(spark, sf):
-    # The position is counted from the releases that sort before a release.
-    rows = R.sort_releases(view(spark, sf, "v_releases")).withColumn(
-        "position", F.expr("row_number() over (order by version_key, api_id)")
-    )
-    return rows.select("api_id", "name", joined("version_key"),
-                       F.col("position").cast("bigint").alias("position"))
+    rows = R.sort_releases(view(spark, sf, "v_releases"))
+    return rows.select("api_id", "name", joined("version_key"))
 
 
 @query(

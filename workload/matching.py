@@ -97,16 +97,16 @@ def _(spark, sf):
 @query(
     "canonicalize",
     f"""WITH hits AS ({RESOLVED_SQL}),
-             counts AS (SELECT query, count(*) AS n, min(part) AS only,
+             counts AS (SELECT query, count(*) AS n, min(part) AS one,
                                array_to_string(list(part ORDER BY lower(part), part)[1:5], ',') AS examples
                         FROM hits GROUP BY query)
         SELECT q.query,
                CASE WHEN n IS NULL THEN 'unknown' WHEN n = 1 THEN 'ok' ELSE 'ambiguous' END AS status,
-               CASE WHEN n = 1 THEN only END AS part, CASE WHEN n = 1 THEN k.family END AS version,
+               CASE WHEN n = 1 THEN one END AS part, CASE WHEN n = 1 THEN k.family END AS version,
                coalesce(n, 0) AS matches, CASE WHEN n > 1 THEN examples END AS examples,
                coalesce(n > 5, false) AS more
         FROM (SELECT DISTINCT query FROM v_queries) q LEFT JOIN counts c ON c.query = q.query
-        LEFT JOIN v_keys k ON k.part = c.only""",
+        LEFT JOIN v_keys k ON k.part = c.one""",
 )
 def _(spark, sf):
     queries, keys = queries_and_keys(spark, sf)
@@ -115,21 +115,15 @@ def _(spark, sf):
     return rows.withColumn("examples", F.array_join("examples", ","))
 
 
-GOOD_INPUTS = """
-    SELECT pos, query FROM v_queries q
-    WHERE query NOT LIKE 'Q%' AND query NOT LIKE 'Brand%' AND pos % 6 <> 4"""
-
-
 @query(
     "select_parts",
-    f"""WITH hits AS ({RESOLVED_SQL}), inputs AS ({GOOD_INPUTS})
+    f"""WITH hits AS ({RESOLVED_SQL})
         SELECT part, min(pos) AS pos FROM (
-            SELECT lower(h.part) AS l, h.part, i.pos FROM hits h JOIN inputs i ON i.query = h.query)
+            SELECT lower(h.part) AS l, h.part, i.pos FROM hits h JOIN v_inputs i ON i.query = h.query)
         GROUP BY part""",
 )
 def _(spark, sf):
-    # Only input kinds that resolve, so that the gate is open; all of their rows.
-    inputs = view(spark, sf, GOOD_INPUTS)
+    inputs = view(spark, sf, "v_inputs")
     keys = view(spark, sf, "SELECT part AS family FROM v_keys")
     return M.select_parts(inputs, keys).parts.withColumn("pos", F.col("pos").cast("bigint"))
 
@@ -186,7 +180,7 @@ def _(spark, sf):
 
 @query(
     "part_variants",
-    """SELECT DISTINCT q.query AS request, coalesce(concat(k.family, ',v'), '') AS variants
+    """SELECT DISTINCT q.query AS request, coalesce(k.family || ',v', '') AS variants
        FROM (SELECT query FROM v_queries UNION ALL SELECT lower(part) FROM v_keys) q
        LEFT JOIN v_keys k ON lower(k.part) = lower(q.query)""",
 )

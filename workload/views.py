@@ -11,12 +11,14 @@ from pyspark.sql import DataFrame, SparkSession
 VIEWS = {
     # Masked catalogue keys: one per part row, with no, one or two wildcards.
     "v_keys": "SELECT part, p_brand AS family FROM v_part",
-    # Queries of every kind: orderable forms, short beginnings, padded lower-case
-    # names, families, inner substrings and misses.
-    "v_queries": """
-        SELECT p_partkey * 6 AS pos, concat(replace(part, 'x', 'k'), 'VT') AS query FROM v_part
+    # Inputs that all resolve: orderable forms, short beginnings, padded names.
+    "v_inputs": """
+        SELECT p_partkey * 6 AS pos, concat(replace(part, 'x', 'k'), CASE WHEN part LIKE '%x%' THEN 'VT' ELSE '' END) AS query FROM v_part
         UNION ALL SELECT p_partkey * 6 + 1, substr(part, 1, 4) FROM v_part
-        UNION ALL SELECT p_partkey * 6 + 2, concat('  ', lower(part), ' ') FROM v_part
+        UNION ALL SELECT p_partkey * 6 + 2, concat('  ', lower(part), ' ') FROM v_part""",
+    # Queries of every kind: those, families, inner substrings and misses.
+    "v_queries": """
+        SELECT pos, query FROM v_inputs
         UNION ALL SELECT p_partkey * 6 + 3, p_brand FROM v_part
         UNION ALL SELECT p_partkey * 6 + 4, substr(part, 3, 5) FROM v_part
         UNION ALL SELECT p_partkey * 6 + 5, concat('Q', p_name, CAST(p_size AS string)) FROM v_part
@@ -87,7 +89,7 @@ VIEWS = {
                          WHEN 10 THEN 'module_clocks.xml'
                          WHEN 11 THEN concat('ddr/', lang, '.bin')
                          ELSE concat('misc/', CAST(doc_id AS string), '.xml') END AS relpath,
-               n_chars AS length, doc_id, lang, source, slot, text,
+               n_chars AS length, n_chars, doc_id, lang, source, slot, text,
                CASE slot
                WHEN 0 THEN concat('<?xml version="1.0"?><h:processor xmlns:h="http://vendor.example/XSD/processor/2.0" xmlns:xsi="http://www.w3.org/2001/XMLSchema-instance"><basic_facts id="', part, '" producer="', source, '" family="', lang, '" series="S ', CAST(n_chars AS string), '"/><target_products><product>ONE</product><product> ', source, ' </product><product> </product></target_products><enabled_tools><enabled_tool>Pins</enabled_tool></enabled_tools><note>', esc, '</note></h:processor>')
                WHEN 1 THEN concat('<cores xmlns="http://vendor.example/XSD/processor/2.0/"><core name="', CASE WHEN n_chars % 2 = 0 THEN 'Cortex-A55' ELSE 'Cortex-M33' END, '" id="c', CAST(doc_id AS string), '" description="', lang, '"/><core name="DSP"/><note>', esc, '</note></cores>')
