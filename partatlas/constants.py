@@ -61,10 +61,11 @@ SNAPSHOT_TTL_SECONDS = 24 * 60 * 60
 # Source label of a catalogue built from the portfolio.
 SOURCE_VERSION = "portfolio-latest"
 
-# White space removed by strip(): the class as a regular expression body.
-WHITESPACE_CLASS = (
-    r"\s\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
-    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{0b}"
+# White space removed by strip().
+WHITESPACE = (
+    " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
 )
 # Line ends of a properties file.
 LINE_BREAK = r"\r\n|[\n\r\x{0b}\x{0c}\x{1c}-\x{1e}\x{85}\x{2028}\x{2029}]"

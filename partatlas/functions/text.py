@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from partatlas.constants import STORE_ROOT, TOOL_ROOT, WHITESPACE_CLASS
+from partatlas.constants import STORE_ROOT, TOOL_ROOT, WHITESPACE
 
 
 def col(c: Column | str) -> Column:
@@ -23,9 +23,7 @@ def let(value: Column, body) -> Column:
 
 def strip(c: Column | str) -> Column:
     """Remove all leading and trailing white space, not only blanks."""
-    return F.regexp_replace(
-        col(c), f"^[{WHITESPACE_CLASS}]+|[{WHITESPACE_CLASS}]+\\z", ""
-    )
+    return F.trim(col(c), F.lit(WHITESPACE))
 
 
 def folded(c: Column | str) -> Column:

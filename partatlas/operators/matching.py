@@ -14,7 +14,6 @@ table is matched once.
 from __future__ import annotations
 
 import json
-from itertools import groupby
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
@@ -22,7 +21,6 @@ from pyspark.sql import functions as F
 
 from partatlas.constants import FUZZY_THRESHOLD
 from partatlas.functions.masks import (
-    WILD,
     apply_signature,
     has_wildcard,
     literal_head,
@@ -33,10 +31,12 @@ from partatlas.functions.pyudf import fuzzy_ratio
 from partatlas.functions.text import folded, let
 from partatlas.session import collect_bounded
 
-# Above this many signatures they are joined instead of carried in the plan.
-SIGNATURE_BOUND = 512
 # Above this many distinct characters-with-count the order by frequency is dropped.
 TOKEN_BOUND = 4096
+# Characters-with-count held as bits, the most frequent ones; the rest stay in an array.
+WORD_BITS, WORDS = 63, 2
+# Partitions over which the hits of one query are spread.
+SALTS = 16
 
 
 def distinct_queries(queries: DataFrame) -> DataFrame:
@@ -51,50 +51,25 @@ def distinct_keys(keys: DataFrame, name: str = "part") -> DataFrame:
 # --- masked joins ------------------------------------------------------------
 
 
-def _mask_plan(sigs: list[str]) -> Column:
-    """Literal array of signatures with their runs, for use inside ``explode``."""
-    plan = []
-    for sig in sigs:
-        runs, at = [], 1
-        for ch, run in groupby(sig):
-            n = len(list(run))
-            runs.append({"at": at, "n": n, "wild": ch * n if ch == WILD else None})
-            at += n
-        plan.append({"sig": sig, "n": len(sig), "runs": runs})
-    schema = "array<struct<sig:string,n:int,runs:array<struct<at:int,n:int,wild:string>>>>"
-    return F.from_json(F.lit(json.dumps(plan)), schema)
-
-
 def _masked_forms(queries: DataFrame, keyed: DataFrame, same_length: bool) -> DataFrame:
-    """(q, sig, text): each query under every signature that could fit it.
+    """(q, sig, text): each query under the signatures that could fit it.
 
-    ``keyed`` holds (sig, head). If the distinct signatures are few they become
-    a literal in the plan. If not, a query meets only the signatures of keys
-    whose literal head it begins with, by an equi-join.
+    ``keyed`` holds (head, sig). A query meets only signatures of keys whose
+    literal head it begins with, by an equi-join of its own beginnings with the
+    distinct (head, sig) rows; on the key side a head has few of them, so a
+    frequent head is split by the skew join without repeating much.
     """
-    sigs = keyed.select("sig").distinct()
-    small = collect_bounded(sigs, SIGNATURE_BOUND)
-    if small is not None:
-        plan = _mask_plan(sorted(r.sig for r in small))
-
-        def fits(s: Column) -> Column:
-            return s.n == F.length("q") if same_length else s.n <= F.length("q")
-
-        runs = F.transform(
-            F.col("s.runs"),
-            lambda r: F.coalesce(r.wild, F.substring(F.col("q"), r.at, r.n)),
-        )
-        return queries.select("q", F.explode(F.filter(plan, fits)).alias("s")).select(
-            "q", F.col("s.sig").alias("sig"), F.array_join(runs, "").alias("text")
-        )
     heads = queries.select(
-        "q",
-        F.explode(F.sequence(F.lit(0), F.length("q"))).alias("n"),
-    ).select("q", F.substring(F.col("q"), F.lit(1), F.col("n")).alias("head"))
-    n = F.length("sig")
-    met = heads.join(keyed.select("head", "sig").distinct(), "head").filter(
-        n == F.length("q") if same_length else n <= F.length("q")
-    )
+        "q", F.explode(F.sequence(F.lit(0), F.length("q"))).alias("n")
+    ).select("q", F.length("q").alias("len"),
+             F.substring(F.col("q"), F.lit(1), F.col("n")).alias("head"))
+    sigs = keyed.select("head", "sig", F.length("sig").alias("len")).distinct()
+    if same_length:
+        met = heads.join(sigs, ["head", "len"])
+    else:
+        met = heads.join(sigs.withColumnRenamed("len", "sig_len"), "head").filter(
+            F.col("sig_len") <= F.col("len")
+        )
     return met.select("q", "sig", apply_signature("q", "sig").alias("text"))
 
 
@@ -241,6 +216,19 @@ def _least_overlap(n: Column, threshold: float) -> Column:
     return F.greatest(F.ceil(n * (threshold / (2.0 - threshold)) - 1e-9), F.lit(1)).cast("int")
 
 
+def _bit_sum(codes: Column, word: int) -> Column:
+    """The bits of one word out of an array of bit positions."""
+    low, high = word * WORD_BITS, (word + 1) * WORD_BITS
+    mine = F.filter(codes, lambda b: (b >= low) & (b < high))
+    return F.aggregate(
+        mine,
+        F.lit(0).cast("bigint"),
+        lambda acc, b: acc.bitwiseOR(
+            F.call_function("shiftleft", F.lit(1).cast("bigint"), b - F.lit(low))
+        ),
+    )
+
+
 def fuzzy_pairs(
     queries: DataFrame, names: DataFrame, threshold: float = FUZZY_THRESHOLD
 ) -> DataFrame:
@@ -250,7 +238,10 @@ def fuzzy_pairs(
     characters of each text in one global order, rarest first, such a pair also
     shares one among the first ``n - least overlap + 1`` of both. Pairs come
     from an equi-join on those, each kept at its first common character only;
-    then length and common-character bounds, and last the exact ratio.
+    then the length and common-character bounds, and last the exact ratio.
+
+    Frequent characters are bits of two words, so that the tests on a pair are
+    a few machine operations; only rarer ones are compared as arrays.
     """
     q_side = queries.select(F.col("q").alias("t"), F.lit(True).alias("is_q"))
     k_side = names.select(F.col("k").alias("t"), F.lit(False).alias("is_q"))
@@ -263,39 +254,68 @@ def fuzzy_pairs(
         .groupBy("c")
         .count()
     )
-    common = collect_bounded(frequency, TOKEN_BOUND)
-    if common is None:
-        order = F.sort_array("bag")
-    else:
-        # Position in frequency order; a character not in any name comes first.
-        rank = {r.c: i for i, r in enumerate(sorted(common, key=lambda r: (r["count"], r.c)))}
-        ranks = F.from_json(F.lit(json.dumps(rank)), "map<string,int>")
-        order = F.transform(
-            F.sort_array(
-                F.transform(
-                    "bag", lambda c: F.struct(F.try_element_at(ranks, c).alias("r"), c.alias("c"))
-                )
-            ),
-            lambda e: e.c,
+    # Position from the most frequent (0) on; without a table every character
+    # counts as rare and the order is that of the text.
+    common = collect_bounded(frequency, TOKEN_BOUND) or []
+    ordered = sorted(common, key=lambda r: (-r["count"], r.c))
+    code = {r.c: i for i, r in enumerate(ordered)}
+    codes = F.from_json(F.lit(json.dumps(code)), "map<string,int>")
+    rare = F.lit(WORD_BITS * WORDS)
+    coded = F.reverse(
+        F.sort_array(
+            F.transform(
+                "bag",
+                lambda c: F.struct(
+                    F.coalesce(F.try_element_at(codes, c), F.lit(TOKEN_BOUND)).alias("b"),
+                    c.alias("c"),
+                ),
+            )
         )
+    )
     least = _least_overlap(F.length("t"), threshold)
-    prepared = both.select("t", "is_q", order.alias("bag")).withColumn(
-        "head", F.slice("bag", F.lit(1), F.size("bag") - least + 1)
+    prepared = (
+        both.select("t", "is_q", coded.alias("bag"))
+        .withColumn("head", F.slice("bag", F.lit(1), F.size("bag") - least + 1))
+        .select(
+            "t", "is_q", "head",
+            *[_bit_sum(F.transform("bag", lambda e: e.b), w).alias(f"w{w}") for w in range(WORDS)],
+            F.transform(F.filter("bag", lambda e: e.b >= rare), lambda e: e.c).alias("rare"),
+            *[_bit_sum(F.transform("head", lambda e: e.b), w).alias(f"h{w}") for w in range(WORDS)],
+        )
     )
 
     def side(is_q: bool, prefix: str) -> DataFrame:
-        rows = prepared.filter(F.col("is_q") == is_q)
-        return rows.select(
-            *[F.col(c).alias(f"{prefix}{c}") for c in ("t", "bag", "head")],
-            F.explode("head").alias("c"),
+        rows = prepared.filter(F.col("is_q") == is_q).withColumn(
+            "head_rare", F.transform(F.filter("head", lambda e: e.b >= rare), lambda e: e.c)
         )
+        names = ["t", "rare", "head_rare"] + [f"{x}{w}" for x in "wh" for w in range(WORDS)]
+        return rows.select(
+            *[F.col(c).alias(f"{prefix}{c}") for c in names], F.explode("head").alias("e")
+        ).select("*", F.col("e.c").alias("c"), F.col("e.b").alias(f"{prefix}b")).drop("e")
+
+    def both_have(x: str, word: int) -> Column:
+        return F.col(f"q_{x}{word}").bitwiseAND(F.col(f"k_{x}{word}"))
 
     a, b = F.length("q_t"), F.length("k_t")
-    shared = F.size(F.array_intersect("q_bag", "k_bag"))
+    shared = F.size(F.array_intersect("q_rare", "k_rare"))
+    for w in range(WORDS):
+        shared = shared + F.bit_count(both_have("w", w))
+    # First common head character: no common one that is rarer than ``c``.
+    bit = F.col("k_b")
+    no_rare = F.size(F.array_intersect("q_head_rare", "k_head_rare")) == 0
+    first = F.element_at(F.array_intersect("q_head_rare", "k_head_rare"), 1) == F.col("c")
+    for w in reversed(range(WORDS)):
+        low = w * WORD_BITS
+        above = F.call_function("shiftright", both_have("h", w), bit - F.lit(low) + 1)
+        higher_words = no_rare
+        for more in range(w + 1, WORDS):
+            higher_words = higher_words & (both_have("h", more) == 0)
+        first = F.when((bit >= low) & (bit < low + WORD_BITS),
+                       higher_words & ((above == 0) | (bit == low + WORD_BITS - 1))).otherwise(first)
     found = side(True, "q_").join(side(False, "k_"), "c").filter(
         (2 * F.least(a, b) >= threshold * (a + b) - 1e-9)
-        & (F.element_at(F.array_intersect("q_head", "k_head"), 1) == F.col("c"))
         & (2 * shared >= threshold * (a + b) - 1e-9)
+        & first
     )
     pairs = found.select(F.col("q_t").alias("q"), F.col("k_t").alias("k"))
     return pairs.withColumn("ratio", fuzzy_ratio("q", "k")).filter(F.col("ratio") >= threshold)
@@ -344,12 +364,24 @@ def canonicalize(queries: DataFrame, portfolio: DataFrame, examples: int = 5) ->
     """
     keys = portfolio.select(F.col("family").alias("part"), "version")
     hits = resolve_queries(queries, keys)
-    counts = hits.groupBy("query").agg(
-        F.count("*").alias("matches"), F.min("part").alias("only")
+    # One salted exchange serves both the counts and the examples; a query that
+    # meets a large share of all keys is spread over SALTS partitions.
+    salted = hits.withColumn("salt", F.pmod(F.xxhash64("part"), F.lit(SALTS))).repartition(
+        "query", "salt"
     )
-    order = Window.partitionBy("query").orderBy(F.lower("part"), "part")
+    counts = (
+        salted.groupBy("query", "salt")
+        .agg(F.count("*").alias("n"), F.min("part").alias("only"))
+        .groupBy("query")
+        .agg(F.sum("n").alias("matches"), F.min("only").alias("only"))
+    )
+    order = [F.lower("part"), F.col("part")]
+    local = Window.partitionBy("query", "salt").orderBy(*order)
+    whole = Window.partitionBy("query").orderBy(*order)
     first = (
-        hits.withColumn("n", F.row_number().over(order))
+        salted.withColumn("n", F.row_number().over(local))
+        .filter(F.col("n") <= examples)
+        .withColumn("n", F.row_number().over(whole))
         .filter(F.col("n") <= examples)
         .groupBy("query")
         .agg(

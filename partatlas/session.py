@@ -18,6 +18,8 @@ def build_session(master: str | None = None, app: str = "partatlas", **conf: str
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+        # The operators do much work per byte, so small partitions are worth keeping.
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16KB",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         **conf,
@@ -50,3 +52,13 @@ def collect_bounded(df: DataFrame, bound: int) -> list[Row] | None:
     """
     rows = df.limit(bound + 1).collect()
     return rows if len(rows) <= bound else None
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """A scan with at least one partition per core.
+
+    Only an input of fewer splits than cores is repartitioned; a large input
+    stays as it is. Meant for scans with row-wise steps, before any shuffle.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan

@@ -114,7 +114,9 @@ def properties(text: Column | str) -> Column:
     lines = F.transform(F.split(col(text), LINE_BREAK), lambda line, _: strip(line))
     kept = F.filter(
         F.transform(lines, lambda line, i: F.struct(line.alias("line"), i.alias("i"))),
-        lambda e: F.contains(e.line, F.lit("=")) & ~e.line.rlike(r"^[;#]"),
+        lambda e: F.contains(e.line, F.lit("="))
+        & ~F.startswith(e.line, F.lit(";"))
+        & ~F.startswith(e.line, F.lit("#")),
     )
     pairs = F.sort_array(
         F.transform(
@@ -122,7 +124,7 @@ def properties(text: Column | str) -> Column:
             lambda e: F.struct(
                 strip(F.substring_index(e.line, "=", 1)).alias("key"),
                 e.i.alias("i"),
-                strip(F.regexp_replace(e.line, r"(?s)^[^=]*=", "")).alias("value"),
+                strip(F.substr(e.line, F.locate("=", e.line) + 1)).alias("value"),
             ),
         )
     )

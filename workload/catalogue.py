@@ -14,8 +14,8 @@ from partatlas.streaming.ingest import (
     streaming_portfolio,
 )
 from workload.registry import query
+from workload.views import spark_text, wide_view
 from workload.views import spark_view as view
-from workload.views import with_clause
 
 KEY_SQL = (
     "list_transform(string_split(name, '.'), lambda x: coalesce(try_cast(x AS bigint), -1))"
@@ -189,7 +189,7 @@ RELEASE_XML = """
         UNION ALL SELECT 0, o_orderstatus, '', false, '-1' FROM v_orders""",
 )
 def _(spark, sf):
-    rows = releases_from_xml(view(spark, sf, RELEASE_XML))
+    rows = releases_from_xml(wide_view(spark, sf, RELEASE_XML))
     return rows.withColumn("version_key", joined("version_key"))
 
 
@@ -213,7 +213,7 @@ LISTING_XML = """
        FROM v_orders""",
 )
 def _(spark, sf):
-    return listing_from_xml(view(spark, sf, LISTING_XML), "xml", "release")
+    return listing_from_xml(wide_view(spark, sf, LISTING_XML), "xml", "release")
 
 
 @query("streaming_portfolio", PORTFOLIO_SQL)
@@ -225,8 +225,7 @@ def _(spark, sf):
         .parquet(sf)
     )
     orders.createOrReplaceTempView("stream_orders")
-    body = "SELECT * FROM v_listing"
-    text = (with_clause(body) + body).replace("{orders}", "stream_orders")
+    text = spark_text("SELECT * FROM v_listing", orders="stream_orders")
     run = work_dir(spark, "portfolio")
     running = streaming_portfolio(spark.sql(text), view(spark, sf, "v_releases"))
     run_portfolio_stream(running, f"{run}/log", f"{run}/checkpoint")

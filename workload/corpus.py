@@ -14,14 +14,14 @@ from partatlas.sources.archives import scan_archive_rows
 from partatlas.sources.trees import read_tree, split_store_path, tree_keys, write_tree
 from partatlas.streaming.ingest import incremental_ingest
 from workload.registry import query
-from workload.views import VIEWS, with_clause
+from workload.views import spark_text, wide_view
 from workload.views import spark_view as view
 
 KEY = "release, part, variant"
 
 
 def tree(spark, sf):
-    return view(spark, sf, "v_tree")
+    return wide_view(spark, sf, "v_tree")
 
 
 @query(
@@ -284,12 +284,12 @@ DOC_JSON = """
 
 @query("xml_to_json", f"SELECT doc_id, {DOC_JSON} AS json FROM v_doc_xml")
 def _(spark, sf):
-    return view(spark, sf, "SELECT doc_id, xml FROM v_doc_xml").select("doc_id", xml_to_json("xml").alias("json"))
+    return wide_view(spark, sf, "SELECT doc_id, xml FROM v_doc_xml").select("doc_id", xml_to_json("xml").alias("json"))
 
 
 def broken(spark, sf):
     """The tree with the last character cut off some documents."""
-    return view(spark, sf, """SELECT release, part, variant, relpath,
+    return wide_view(spark, sf, """SELECT release, part, variant, relpath,
         CASE WHEN n_chars % 4 = 0 THEN substr(xml, 1, length(xml) - 1) ELSE xml END AS xml FROM v_tree""")
 
 
@@ -347,7 +347,7 @@ def _(spark, sf):
     )
     docs.createOrReplaceTempView("stream_documents")
     body = "SELECT release, part, variant, relpath, length FROM v_tree"
-    stream = spark.sql((with_clause(body) + body).replace("{documents}", "stream_documents"))
+    stream = spark.sql(spark_text(body, documents="stream_documents"))
     run = work_dir(spark, "ingest")
     for _ in range(2):  # the second run finds nothing new
         incremental_ingest(stream, f"{run}/tree", f"{run}/checkpoint")
@@ -363,7 +363,7 @@ def _(spark, sf):
 def _(spark, sf):
     from workload.zips import pack
 
-    rows = view(spark, sf, """
+    rows = wide_view(spark, sf, """
         SELECT doc_id, concat('kex_tools/processors/', part, '/', variant, '/', relpath) AS a, xml,
                concat('./', source, chr(92), lang, '.txt') AS b, text FROM v_tree""")
     archives = rows.select(
@@ -383,7 +383,7 @@ def _(spark, sf):
 def _(spark, sf):
     from workload.zips import pack
 
-    rows = view(spark, sf, """
+    rows = wide_view(spark, sf, """
         SELECT doc_id, slot, CASE slot WHEN 1 THEN '../up.txt' WHEN 2 THEN 'dir/' ELSE 'a.txt' END AS a,
                CASE slot WHEN 2 THEN '' ELSE text END AS x, 'dir2/' AS b, '' AS y FROM v_tree""")
     content = F.when(F.col("slot") == 0, F.lit("no archive").cast("binary")).otherwise(pack("a", "x", "b", "y"))

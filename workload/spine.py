@@ -11,6 +11,7 @@ from partatlas.sources.spine import db_links
 from workload.corpus import SUMMARY_SQL, tree
 from workload.registry import query
 from workload.views import spark_view as view
+from workload.views import wide_view
 
 KEY = "release, part, variant"
 
@@ -114,7 +115,7 @@ TEXT_ROWS = """(SELECT doc_id, replace(concat(text, chr(10), 'a=', lang, chr(10)
 def _(spark, sf):
     from partatlas.sources.spine import properties
 
-    rows = view(spark, sf, f"SELECT * FROM {TEXT_ROWS}")
+    rows = wide_view(spark, sf, f"SELECT * FROM {TEXT_ROWS}")
     return entries(rows.select("doc_id", properties("x").alias("properties")), "doc_id")
 
 

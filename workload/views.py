@@ -8,6 +8,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from partatlas.session import spread
+
 VIEWS = {
     # Masked catalogue keys: one per part row, with no, one or two wildcards.
     "v_keys": "SELECT part, p_brand AS family FROM v_part",
@@ -107,21 +109,53 @@ VIEWS = {
         FROM v_docs""",
 }
 
+# The same rows in one scan instead of one per branch, in Spark's dialect.
+ONE_SCAN_VIEWS = {
+    "v_inputs": """
+        SELECT p_partkey * 6 + i AS pos, query FROM v_part LATERAL VIEW posexplode(array(
+            concat(replace(part, 'x', 'k'), CASE WHEN part LIKE '%x%' THEN 'VT' ELSE '' END),
+            substr(part, 1, 4), concat('  ', lower(part), ' '))) t AS i, query""",
+    "v_queries": """
+        SELECT p_partkey * 6 + i AS pos, query FROM v_part LATERAL VIEW posexplode(array(
+            concat(replace(part, 'x', 'k'), CASE WHEN part LIKE '%x%' THEN 'VT' ELSE '' END),
+            substr(part, 1, 4), concat('  ', lower(part), ' '), p_brand, substr(part, 3, 5),
+            concat('Q', p_name, CAST(p_size AS string)))) t AS i, query""",
+    "v_listing": """
+        SELECT release, full_path, directory, element_at(split(full_path, '/'), -1) AS name FROM (
+            SELECT name AS release, inline(array(
+                struct(concat('/store/processors/F', CAST(o_custkey AS string)) AS full_path,
+                       o_orderpriority <> '5-LOW' AS directory),
+                struct(concat('/store/processors/F', CAST(o_custkey AS string), '/',
+                              CASE o_orderstatus WHEN 'F' THEN 'ksdk2_0' WHEN 'O' THEN 'zephyr3_2'
+                                   ELSE 'other' END,
+                              '/f', CAST(o_orderkey AS string), '.xml') AS full_path,
+                       false AS directory)))
+            FROM v_orders)""",
+}
+
 
-def with_clause(body: str) -> str:
+def with_clause(body: str, views: dict[str, str] = VIEWS) -> str:
     """WITH clause of every view that ``body`` needs, in order of definition."""
     needed: list[str] = []
 
     def visit(text: str) -> None:
-        for name in VIEWS:
+        for name in views:
             if re.search(rf"\b{name}\b", text) and name not in needed:
-                visit(VIEWS[name])
+                visit(views[name])
                 needed.append(name)
 
     visit(body)
     if not needed:
         return ""
-    return "WITH " + ", ".join(f"{n} AS ({VIEWS[n].strip()})" for n in needed) + " "
+    return "WITH " + ", ".join(f"{n} AS ({views[n].strip()})" for n in needed) + " "
+
+
+def spark_text(body: str, **tables: str) -> str:
+    """SELECT over views in Spark's dialect; ``tables`` replace ``{table}`` names."""
+    text = with_clause(body, {**VIEWS, **ONE_SCAN_VIEWS}) + body
+    for name, source in tables.items():
+        text = text.replace("{%s}" % name, source)
+    return text
 
 
 def _tables(text: str, form: Callable[[str], str]) -> str:
@@ -132,8 +166,12 @@ def spark_view(spark: SparkSession, sf_dir: str, body: str) -> DataFrame:
     """A view by name, or any SELECT over views and ``{table}`` names."""
     if body in VIEWS:
         body = f"SELECT * FROM {body}"
-    text = with_clause(body) + body
-    return spark.sql(_tables(text, lambda t: f"parquet.`{sf_dir}/{t}.parquet`"))
+    return spark.sql(_tables(spark_text(body), lambda t: f"parquet.`{sf_dir}/{t}.parquet`"))
+
+
+def wide_view(spark: SparkSession, sf_dir: str, body: str) -> DataFrame:
+    """A view for row-wise work, on all cores also when the file is small."""
+    return spread(spark_view(spark, sf_dir, body))
 
 
 def duckdb_sql(body: str) -> str:
