@@ -261,12 +261,13 @@ def fuzzy_pairs(
     code = {r.c: i for i, r in enumerate(ordered)}
     codes = F.from_json(F.lit(json.dumps(code)), "map<string,int>")
     rare = F.lit(WORD_BITS * WORDS)
+    unknown = F.lit(max(TOKEN_BOUND, WORD_BITS * WORDS))
     coded = F.reverse(
         F.sort_array(
             F.transform(
                 "bag",
                 lambda c: F.struct(
-                    F.coalesce(F.try_element_at(codes, c), F.lit(TOKEN_BOUND)).alias("b"),
+                    F.coalesce(F.try_element_at(codes, c), unknown).alias("b"),
                     c.alias("c"),
                 ),
             )

@@ -56,9 +56,10 @@ def scan_listing(spark: SparkSession, path: str, release: str | None = None) ->
     The release is given, or else it is the name of the folder of the file.
     """
     raw = spark.read.format("xml").option("rowTag", "entry").schema(ENTRY_FIELDS).load(path)
-    named = F.lit(release) if release else F.element_at(
-        F.split(F.col("_metadata.file_path"), "/"), -2
-    )
+    # The metadata column is percent-encoded, with a plus standing for itself.
+    folder = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
+    decoded = F.url_decode(F.replace(folder, F.lit("+"), F.lit("%2B")))
+    named = F.lit(release) if release else decoded
     return typed_listing(raw.withColumn("release", named), "release")
 
 

@@ -20,10 +20,8 @@ def split_store_path(path: Column | str) -> list[Column]:
 
 def tree_columns(files: DataFrame) -> DataFrame:
     """Rows of the binary file source to the ``tree`` schema."""
-    # The file source gives percent-encoded paths; a literal plus is not a blank.
-    plain = F.url_decode(F.regexp_replace("path", r"\+", "%2B"))
     return files.select(
-        *split_store_path(plain),
+        *split_store_path("path"),
         F.col("length"),
         F.col("modificationTime").alias("mtime"),
         F.col("content"),
