@@ -67,24 +67,20 @@ def variant_summary(tree: DataFrame) -> DataFrame:
 def summary_totals(summary: DataFrame) -> DataFrame:
     """The summary rows and one total row (``is_total``) with distinct parts.
 
-    Totals are built from the summary, one row per tree, not from files.
+    Totals come from the summary, one row per tree, not from files.
     """
-    total = summary.agg(
-        F.countDistinct("part").alias("parts"),
-        F.count("*").alias("variants"),
-        F.coalesce(F.sum("files"), F.lit(0)).alias("files"),
-        F.coalesce(F.sum("size_bytes"), F.lit(0)).alias("size_bytes"),
-    ).select(
-        F.lit(True).alias("is_total"),
-        *[F.lit(None).cast("string").alias(c) for c in KEY],
-        "parts", "variants", "files", "size_bytes",
-    )
-    one = F.lit(1).cast("bigint")
-    rows = summary.select(
-        F.lit(False).alias("is_total"), *KEY, one.alias("parts"), one.alias("variants"),
-        "files", "size_bytes",
+    keys = [F.col(c) for c in KEY]
+    return (
+        summary.groupingSets([keys, []], *keys)
+        .agg(
+            (F.grouping_id() > 0).alias("is_total"),
+            F.countDistinct("part").alias("parts"),
+            F.count("*").alias("variants"),
+            F.coalesce(F.sum("files"), F.lit(0).cast("bigint")).alias("files"),
+            F.coalesce(F.sum("size_bytes"), F.lit(0).cast("bigint")).alias("size_bytes"),
+        )
+        .select("is_total", *KEY, "parts", "variants", "files", "size_bytes")
     )
-    return rows.unionByName(total)
 
 
 def canonical_variant(rows: DataFrame, pos: str = "pos") -> DataFrame:
@@ -107,23 +103,32 @@ def tree_census(tree: DataFrame) -> DataFrame:
     """Per part: files, XML files, package variants, register XMLs; and a total row.
 
     Package variants are the loose ones (a directory with a sibling manifest).
+    Files are counted per package first, so the second shuffle is small.
     """
-    counts = tree.groupBy("part").agg(
-        F.count("*").alias("files"),
-        F.count_if(is_xml()).alias("xml_files"),
-        F.count_if(is_xml() & F.col("relpath").rlike(r"(^|/)registers/")).alias("register_xmls"),
-    )
-    packages = layout_variants(tree).groupBy("part").agg(F.count("*").alias("package_variants"))
-    rows = counts.join(packages, "part", "left").select(
-        F.lit(False).alias("is_total"), "part", "files", "xml_files",
-        F.coalesce("package_variants", F.lit(0).cast("bigint")).alias("package_variants"),
-        "register_xmls",
+    per_package = (
+        tree.select(
+            *KEY, is_xml().alias("xml"),
+            (is_xml() & F.col("relpath").rlike(r"(^|/)registers/")).alias("register"),
+            manifest_stem().isNotNull().alias("manifest"),
+            top_directory().isNotNull().alias("inside"),
+            F.coalesce(manifest_stem(), top_directory()).alias("package"),
+        )
+        .groupBy(*KEY, "package")
+        .agg(
+            F.count("*").alias("files"),
+            F.count_if("xml").alias("xml_files"),
+            F.count_if("register").alias("register_xmls"),
+            (F.bool_or("manifest") & F.bool_or("inside")).cast("bigint").alias("package_variants"),
+        )
     )
     sums = ("files", "xml_files", "package_variants", "register_xmls")
-    total = rows.agg(*[F.coalesce(F.sum(c), F.lit(0).cast("bigint")).alias(c) for c in sums])
-    return rows.unionByName(
-        total.select(F.lit(True).alias("is_total"),
-                     F.lit(None).cast("string").alias("part"), *sums)
+    return (
+        per_package.rollup("part")
+        .agg(
+            (F.grouping("part") == 1).alias("is_total"),
+            *[F.coalesce(F.sum(c), F.lit(0).cast("bigint")).alias(c) for c in sums],
+        )
+        .select("is_total", "part", *sums)
     )
 
 

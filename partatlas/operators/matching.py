@@ -74,47 +74,47 @@ def _masked_forms(queries: DataFrame, keyed: DataFrame, same_length: bool) -> Da
 
 
 def masked_pairs(queries: DataFrame, names: DataFrame, allow_suffix: bool = True) -> DataFrame:
-    """(q, k) of distinct folded queries and names, q an orderable form of k."""
-    keyed = names.select("k", signature("k").alias("sig"), literal_head("k").alias("head"))
+    """(q, part): q is an orderable form of the name. ``names`` is (k, part) with
+    ``k`` the folded part."""
+    keyed = names.select(
+        "part", F.col("k").alias("text"), signature("k").alias("sig"),
+        literal_head("k").alias("head"),
+    )
     forms = _masked_forms(queries, keyed, same_length=not allow_suffix)
-    keys = keyed.select("sig", F.col("k").alias("text"), "k")
-    return forms.join(keys, ["sig", "text"]).select("q", "k")
+    return forms.join(keyed.select("sig", "text", "part"), ["sig", "text"]).select("q", "part")
 
 
 def masked_prefix_pairs(queries: DataFrame, names: DataFrame) -> DataFrame:
-    """(q, k) where q is a beginning of k under the wildcards of k."""
+    """(q, part): q is a beginning of the name under the wildcards of the name."""
     starts = names.select(
-        "k", F.explode(F.sequence(F.lit(1), F.length("k"))).alias("n")
-    ).select("k", F.substring(F.col("k"), F.lit(1), F.col("n")).alias("text"))
+        "k", "part", F.explode(F.sequence(F.lit(1), F.length("k"))).alias("n")
+    ).select("part", F.substring(F.col("k"), F.lit(1), F.col("n")).alias("text"))
     keyed = starts.select(
-        "k", "text", signature("text").alias("sig"), literal_head("text").alias("head")
+        "part", "text", signature("text").alias("sig"), literal_head("text").alias("head")
     )
     forms = _masked_forms(queries, keyed, same_length=True)
-    return forms.join(keyed.select("sig", "text", "k"), ["sig", "text"]).select("q", "k")
+    return forms.join(keyed.select("sig", "text", "part"), ["sig", "text"]).select("q", "part")
 
 
-def folded_names(df: DataFrame, name: str) -> DataFrame:
-    """Distinct folded non-blank names as ``k``."""
-    return df.select(folded(name).alias("k")).filter(F.col("k") != "").distinct()
+def folded_names(df: DataFrame) -> DataFrame:
+    """Distinct non-blank parts with their folded form ``k``."""
+    return df.select(folded("part").alias("k"), "part").filter(F.col("k") != "").distinct()
 
 
-def _expand(pairs: DataFrame, queries: DataFrame, keys: DataFrame) -> DataFrame:
-    """(q, k) pairs back to the raw query and key texts."""
-    raw_q = queries.select("query", folded("query").alias("q")).distinct()
-    raw_k = keys.select("part", folded("part").alias("k")).distinct()
-    return pairs.join(raw_k, "k").join(raw_q, "q").select("query", "part")
+def _raw_queries(queries: DataFrame) -> DataFrame:
+    return queries.select("query", folded("query").alias("q")).distinct()
 
 
 def masked_alias_join(queries: DataFrame, keys: DataFrame, allow_suffix: bool = True) -> DataFrame:
     """(query, part) where the query is an orderable form of the masked part."""
-    pairs = masked_pairs(distinct_queries(queries), folded_names(keys, "part"), allow_suffix)
-    return _expand(pairs, queries, keys)
+    pairs = masked_pairs(distinct_queries(queries), folded_names(keys), allow_suffix)
+    return pairs.join(_raw_queries(queries), "q").select("query", "part")
 
 
 def masked_prefix_join(queries: DataFrame, keys: DataFrame) -> DataFrame:
     """(query, part) where the query is a beginning of the masked part."""
-    pairs = masked_prefix_pairs(distinct_queries(queries), folded_names(keys, "part"))
-    return _expand(pairs, queries, keys)
+    pairs = masked_prefix_pairs(distinct_queries(queries), folded_names(keys))
+    return pairs.join(_raw_queries(queries), "q").select("query", "part")
 
 
 # --- contains join -----------------------------------------------------------
@@ -171,20 +171,25 @@ def contains_pairs(queries: DataFrame, names: DataFrame) -> DataFrame:
     )
 
 
+def searched_names(catalog: DataFrame) -> DataFrame:
+    """(part, family, field, k): the lower-case part and family of every row."""
+    return catalog.select("part", "family").distinct().select(
+        "part", "family",
+        F.explode(
+            F.array(*[
+                F.struct(F.lit(f).alias("field"), F.lower(f).alias("k")) for f in ("part", "family")
+            ])
+        ).alias("n"),
+    ).select("part", "family", "n.field", "n.k")
+
+
 def contains_join(queries: DataFrame, catalog: DataFrame) -> DataFrame:
     """(query, part, family, field) where the query occurs in part or family."""
-    q = distinct_queries(queries)
-    raw_q = queries.select("query", folded("query").alias("q")).distinct()
-    rows = catalog.select("part", "family").distinct()
-    sides = []
-    for field in ("part", "family"):
-        lowered = rows.withColumn("k", F.lower(field))
-        pairs = contains_pairs(q, lowered.select("k").distinct())
-        sides.append(
-            pairs.join(lowered, "k").join(raw_q, "q")
-            .select("query", "part", "family", F.lit(field).alias("field"))
-        )
-    return sides[0].unionByName(sides[1])
+    names = searched_names(catalog)
+    pairs = contains_pairs(distinct_queries(queries), names.select("k").distinct())
+    return pairs.join(names, "k").join(_raw_queries(queries), "q").select(
+        "query", "part", "family", "field"
+    )
 
 
 # --- fuzzy join --------------------------------------------------------------
@@ -333,27 +338,20 @@ def resolve_queries(queries: DataFrame, keys: DataFrame) -> DataFrame:
     that resolves it, so the wide prefix join sees the remaining queries only
     and no rows are ever gathered per query.
     """
-    raw_q = queries.select("query", folded("query").alias("q")).distinct()
     q = distinct_queries(queries)
-    rows = distinct_keys(keys)
-    by_lower = rows.select(F.lower("part").alias("q"), "part")
-    by_folded = rows.select(folded("part").alias("k"), "part")
-    masked = rows.filter(has_wildcard("part"))
+    by_lower = distinct_keys(keys).select(F.lower("part").alias("q"), "part")
+    names = folded_names(keys)
 
     exact = q.join(by_lower, "q").select("q", "part")
     rest = q.join(by_lower, "q", "left_anti")
-    alias = masked_pairs(rest, folded_names(masked, "part")).join(
-        by_folded.filter(has_wildcard("part")), "k"
-    ).select("q", "part")
+    alias = masked_pairs(rest, names.filter(has_wildcard("part")))
     rest = rest.join(alias.select("q"), "q", "left_anti")
-    prefix = masked_prefix_pairs(rest, folded_names(rows, "part")).join(by_folded, "k").select(
-        "q", "part"
-    )
+    prefix = masked_prefix_pairs(rest, names)
     found = None
     for tier, hits in enumerate((exact, alias, prefix), 1):
         hits = hits.withColumn("tier", F.lit(tier))
         found = hits if found is None else found.unionByName(hits)
-    return found.join(raw_q, "q").select("query", "tier", "part")
+    return found.join(_raw_queries(queries), "q").select("query", "tier", "part")
 
 
 def canonicalize(queries: DataFrame, portfolio: DataFrame, examples: int = 5) -> DataFrame:

@@ -12,6 +12,7 @@ from partatlas.constants import SDK_VARIANTS
 from partatlas.operators import corpus, details, mirror, releases
 from partatlas.operators.matching import Selection, canonicalize, select_parts
 from partatlas.plans.roadmap import roadmap
+from partatlas.session import materialize
 from partatlas.sources.catalog import write_catalog
 
 
@@ -60,10 +61,15 @@ def details_for(queries: DataFrame, portfolio: DataFrame, tree: DataFrame,
     """Details for free-form part names: resolve first, then read the spine.
 
     Names that are unknown or ambiguous keep that status and have no details.
+    The resolved names are stored first, as the scan of the trees and the final
+    join both need them.
     """
-    names = canonicalize(queries, portfolio).select(
-        "query", F.col("status").alias("resolution"), "part",
-        F.col("version").alias("release"),
+    names = materialize(
+        canonicalize(queries, portfolio).select(
+            "query", F.col("status").alias("resolution"), "part",
+            F.col("version").alias("release"),
+        ),
+        "names",
     )
     wanted = names.filter(F.col("part").isNotNull())
     trees = details.with_text(

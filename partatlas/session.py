@@ -54,6 +54,17 @@ def collect_bounded(df: DataFrame, bound: int) -> list[Row] | None:
     return rows if len(rows) <= bound else None
 
 
+def materialize(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written to the shared work folder and read back.
+
+    For a result that several later steps need: it is computed once, and the
+    stored copy survives the loss of executors.
+    """
+    path = work_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def spread(scan: DataFrame) -> DataFrame:
     """A scan with at least one partition per core.
 
