@@ -32,10 +32,13 @@ def build_session(master: str | None = None, app: str = "partatlas", **conf: str
 def work_dir(spark: SparkSession, label: str) -> str:
     """A new folder for intermediate tables below the cluster's shared folder.
 
-    The shared folder is whatever ``spark.checkpoint.dir`` names. Only a local
-    master may go without it, since there driver and executors share one disk.
+    The shared folder is whatever ``spark.checkpoint.dir`` names, or the
+    checkpoint folder of the context. Only a local master may go without, since
+    there driver and executors share one disk.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    shared = spark.conf.get("spark.checkpoint.dir", None) or (
+        spark.sparkContext.getCheckpointDir()
+    )
     if not shared:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
