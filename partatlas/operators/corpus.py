@@ -135,23 +135,34 @@ def tree_census(tree: DataFrame) -> DataFrame:
 def variant_diff(tree: DataFrame, a: str, b: str) -> DataFrame:
     """(release, part, relpath, status) between two variants of the same part.
 
-    One scan and one shuffle of digests instead of a full outer join of two.
+    One scan and one shuffle of digests instead of a full outer join of two. The
+    digest is carried as numbers, so that the aggregate can be a hash aggregate.
     """
     digest = F.sha2(F.col("content").cast("binary"), 256)
+    pieces = [f"d{i}" for i in range(5)]  # 64 hexadecimal digits, 15 in a BIGINT
+    numbers = [
+        F.conv(F.substring("digest", 1 + 15 * i, 15), 16, 10).cast("bigint").alias(name)
+        for i, name in enumerate(pieces)
+    ]
 
-    def of(variant: str) -> Column:
-        return F.max(F.when(F.col("variant") == variant, F.col("digest")))
+    def of(variant: str, piece: str) -> Column:
+        return F.max(F.when(F.col("variant") == variant, F.col(piece)))
 
+    sides = [of(v, d).alias(f"{side}_{d}") for side, v in (("a", a), ("b", b)) for d in pieces]
+    same = F.lit(True)
+    for d in pieces:
+        same = same & (F.col(f"a_{d}") == F.col(f"b_{d}"))
     return (
         tree.filter(F.col("variant").isin(a, b))
         .select(*KEY, "relpath", digest.alias("digest"))
+        .select(*KEY, "relpath", *numbers)
         .groupBy("release", "part", "relpath")
-        .agg(of(a).alias("a"), of(b).alias("b"))
+        .agg(*sides)
         .select(
             "release", "part", "relpath",
-            F.when(F.col("b").isNull(), "only_left")
-            .when(F.col("a").isNull(), "only_right")
-            .when(F.col("a") == F.col("b"), "identical")
+            F.when(F.col("b_d0").isNull(), "only_left")
+            .when(F.col("a_d0").isNull(), "only_right")
+            .when(same, "identical")
             .otherwise("different").alias("status"),
         )
     )

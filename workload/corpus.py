@@ -246,7 +246,7 @@ def _(spark, sf):
         F.array_join(files, " ").alias("files"),
         F.array_join(F.transform("package_variants", lambda p: p.variant), " ").alias("packages"),
         "optional_sections.security", "optional_sections.ddr", "codegen.scripts_root",
-        F.size("guide").cast("bigint").alias("steps"),
+        F.size("guide").alias("steps"),
     )
 
 

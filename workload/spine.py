@@ -35,7 +35,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     rows = D.parse_cores(tree(spark, sf)).select("release", "part", "variant", F.posexplode("cores"))
-    return rows.select("release", "part", "variant", F.col("pos").cast("bigint").alias("pos"), "col.*")
+    return rows.select("release", "part", "variant", "pos", "col.*")
 
 
 STRICT_SQL = f"""
@@ -66,7 +66,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     rows = D.package_variants(tree(spark, sf)).select("release", "part", "variant", "directory", "db_links")
-    return db_links(rows).withColumn("pos", F.col("pos").cast("bigint"))
+    return db_links(rows)
 
 
 @query(
@@ -146,7 +146,7 @@ DETAILS_SQL = f"""
 def flat_details(rows):
     return rows.select(
         "release", "part", "variant", "status", "header.producer",
-        F.size("cores").cast("bigint").alias("cores"),
+        F.size("cores").alias("cores"),
         F.array_join(F.transform("variants", lambda v: v.variant), ",").alias("packages"),
         F.size("properties").cast("bigint").alias("properties"),
         "is_application_processor",
