@@ -103,25 +103,44 @@ def normalize_member(c: Column | str) -> Column:
     )
 
 
+def _glob_class(body: str) -> str:
+    """Content of a bracket as a Java class; ranges that run backwards are empty."""
+    negate, body = body.startswith("!"), body.removeprefix("!")
+    out, i = [], 0
+    while i < len(body):
+        if body[i + 1 : i + 2] == "-" and i + 2 < len(body):
+            low, high = body[i], body[i + 2]
+            if low <= high:
+                out.append(f"{_quoted(low)}-{_quoted(high)}")
+            i += 3
+        else:
+            out.append(_quoted(body[i]))
+            i += 1
+    if not out:
+        return "." if negate else "(?!)"
+    return f"[{'^' if negate else ''}{''.join(out)}]"
+
+
+def _quoted(ch: str) -> str:
+    return ch if ch.isalnum() or ch in "_/ \n" else "\\" + ch
+
+
 def glob_to_regex(glob: str) -> str:
     """Shell glob as an anchored Java regular expression; ``*`` crosses ``/``."""
     out, i = [], 0
     while i < len(glob):
         ch = glob[i]
+        # A bracket right after the opening one (or its !) is a member.
         end = glob.find("]", i + 2 + glob.startswith("!", i + 1)) if ch == "[" else -1
         if ch == "*":
             out.append(".*")
         elif ch == "?":
             out.append(".")
         elif end > 0:
-            body = glob[i + 1 : end]
-            negate, body = body.startswith("!"), body.removeprefix("!")
-            for special in "\\[]^&":
-                body = body.replace(special, "\\" + special)
-            out.append(f"[{'^' if negate else ''}{body}]")
+            out.append(_glob_class(glob[i + 1 : end]))
             i = end
         else:
-            out.append(ch if ch.isalnum() or ch in "_/ " else "\\" + ch)
+            out.append(_quoted(ch))
         i += 1
     return rf"(?s)\A(?:{''.join(out)})\z"
 

@@ -51,6 +51,15 @@ def distinct_keys(keys: DataFrame, name: str = "part") -> DataFrame:
 # --- masked joins ------------------------------------------------------------
 
 
+def _longest(df: DataFrame, name: str) -> Column:
+    """Length of the longest text in a column, as a scalar subquery.
+
+    It bounds the pieces that texts of the other side are cut into: a piece
+    longer than every partner cannot meet one.
+    """
+    return df.agg(F.coalesce(F.max(F.length(name)), F.lit(0)).alias("n")).scalar()
+
+
 def _masked_forms(queries: DataFrame, keyed: DataFrame, same_length: bool) -> DataFrame:
     """(q, sig, text): each query under the signatures that could fit it.
 
@@ -59,10 +68,13 @@ def _masked_forms(queries: DataFrame, keyed: DataFrame, same_length: bool) -> Da
     distinct (head, sig) rows; on the key side a head has few of them, so a
     frequent head is split by the skew join without repeating much.
     """
-    heads = queries.select(
-        "q", F.explode(F.sequence(F.lit(0), F.length("q"))).alias("n")
-    ).select("q", F.length("q").alias("len"),
-             F.substring(F.col("q"), F.lit(1), F.col("n")).alias("head"))
+    longest = _longest(keyed, "head")
+    heads = (
+        queries.select("q", F.least(F.length("q"), longest).alias("upto"))
+        .select("q", F.explode(F.sequence(F.lit(0), "upto")).alias("n"))
+        .select("q", F.length("q").alias("len"),
+                F.substring(F.col("q"), F.lit(1), F.col("n")).alias("head"))
+    )
     sigs = keyed.select("head", "sig", F.length("sig").alias("len")).distinct()
     if same_length:
         met = heads.join(sigs, ["head", "len"])
@@ -86,9 +98,12 @@ def masked_pairs(queries: DataFrame, names: DataFrame, allow_suffix: bool = True
 
 def masked_prefix_pairs(queries: DataFrame, names: DataFrame) -> DataFrame:
     """(q, part): q is a beginning of the name under the wildcards of the name."""
-    starts = names.select(
-        "k", "part", F.explode(F.sequence(F.lit(1), F.length("k"))).alias("n")
-    ).select("part", F.substring(F.col("k"), F.lit(1), F.col("n")).alias("text"))
+    longest = F.greatest(_longest(queries, "q"), F.lit(1))
+    starts = (
+        names.select("k", "part", F.least(F.length("k"), longest).alias("upto"))
+        .select("k", "part", F.explode(F.sequence(F.lit(1), "upto")).alias("n"))
+        .select("part", F.substring(F.col("k"), F.lit(1), F.col("n")).alias("text"))
+    )
     keyed = starts.select(
         "part", "text", signature("text").alias("sig"), literal_head("text").alias("head")
     )
@@ -142,12 +157,14 @@ def contains_pairs(queries: DataFrame, names: DataFrame) -> DataFrame:
     2**floor(log2 n), at least half the query. Of those it takes the one that
     fewest names have; if any is missing from all names, it cannot match.
     """
+    longest = F.greatest(_longest(queries, "q"), F.lit(1))
     sizes = F.transform(
-        F.sequence(F.lit(1), F.length(F.bin(F.length("k")))),
+        F.sequence(F.lit(1), F.length(F.bin("upto"))),
         lambda bits: F.pow(F.lit(2), bits - 1).cast("int"),
     )
     name_grams = (
         names.filter(F.length("k") > 0)
+        .select("k", F.least(F.length("k"), longest).alias("upto"))
         .select("k", F.explode(sizes).alias("size"))
         .select("k", F.explode(_grams("k", F.col("size"))).alias("gram"))
     )
