@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -30,20 +29,16 @@ def build_session(master: str | None = None, app: str = "partatlas", **conf: str
 
 
 def work_dir(spark: SparkSession, label: str) -> str:
-    """A new folder for intermediate tables below the cluster's shared folder.
+    """A new folder for intermediate tables in storage that all executors share.
 
-    The shared folder is whatever ``spark.checkpoint.dir`` names, or the
-    checkpoint folder of the context. Only a local master may go without, since
-    there driver and executors share one disk.
+    That is whatever ``spark.checkpoint.dir`` names, else the checkpoint folder of
+    the context, else the warehouse. Never a folder of one machine.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None) or (
-        spark.sparkContext.getCheckpointDir()
+    shared = (
+        spark.conf.get("spark.checkpoint.dir", None)
+        or spark.sparkContext.getCheckpointDir()
+        or spark.conf.get("spark.sql.warehouse.dir")
     )
-    if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        shared = tempfile.mkdtemp(prefix="partatlas-")
-        spark.conf.set("spark.checkpoint.dir", shared)
     return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
 
 
