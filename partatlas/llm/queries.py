@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from partatlas.llm.mixing import mix_table
 from partatlas.llm.quality import quality_table
+from partatlas.llm.simhash import simhash_groups
+from partatlas.llm.surrogates import with_surrogates
 from workload.registry import query
 
 
@@ -17,3 +21,23 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     measures = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     return quality_table(_table(spark, sf_dir, "documents")).select(
         "doc_id", *measures, "base_failed", "kept")
+
+
+@query("op4_pii_surrogates")
+def op4_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return with_surrogates(docs).select(
+        "row.doc_id", F.coalesce(F.size("spans"), F.lit(0)).alias("n_replaced"),
+        F.transform("spans", lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), x["kind"].alias("kind")))
+        .alias("spans"), "row.text")
+
+
+@query("op8_simhash_groups")
+def op8_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = simhash_groups(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query("op9_source_mix")
+def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_table(_table(spark, sf_dir, "documents"))
