@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from partatlas.llm.mixing import mix_table
+from partatlas.llm.pieces import encode_decode
 from partatlas.llm.quality import quality_table
 from partatlas.llm.simhash import simhash_groups
 from partatlas.llm.surrogates import with_surrogates
@@ -32,6 +34,12 @@ def op4_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("spans"), "row.text")
 
 
+@query("op6_sentencepiece")
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = encode_decode(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return coded.select("doc_id", F.size("ids").alias("n_ids"), "ids", "decoded")
+
+
 @query("op8_simhash_groups")
 def op8_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash_groups(_table(spark, sf_dir, "documents").select("doc_id", "text"))
