@@ -83,9 +83,14 @@ _PATTERN = re.compile("|".join((
     r"(?<!\d)(?P<card>\d(?:[ -]?\d){12,18})(?!\d)",
     *map(_name_pattern, _TITLES),
 )))
-#: A text that this does not match has no mention.
-HINT = "[0-9@]|(?i:token|secret|password|passwd|key)|" + "|".join(
-    t for s in _TITLES.values() for g in s.values() for t in g if t not in ("κα",)) + "|κα "
+#: Beginnings of titles in Latin letters.
+_HINTS = ("Mr", "Ms", "Mme", "Miss", "Herr", "Frau", "Monsieur", "Madame", "Señor", "Signor")
+
+
+def may_hold(text: Column) -> Column:
+    """Whether a text can have a mention: a digit, an at sign, a Greek or Cyrillic
+    letter or the beginning of a title."""
+    return reduce(Column.__or__, map(text.contains, _HINTS), text.rlike("[0-9@\u0370-\u04ff]"))
 
 
 def luhn(digits: str) -> bool:
@@ -127,7 +132,7 @@ def mentions(text: str) -> Iterator[tuple[int, int, str, str]]:
             octets = [int(x) for x in found.split(".")]
             inside = octets[0] == 10 or octets[:2] == [192, 168] or octets[0] == 172 and 16 <= octets[1] < 32
             yield start, end, "ip:private" if inside else "ip:public", ".".join(map(str, octets))
-        elif kind == "accesskey" or any(c.isdigit() for c in found):
+        elif any(c.isdigit() for c in found):
             yield start, end, kind, found
 
 
@@ -219,7 +224,7 @@ def find_mentions(docs: DataFrame) -> DataFrame:
     def find(texts: pd.Series) -> pd.Series:
         return pd.Series([[(a, b, k, f, t[a:b]) for a, b, k, f in mentions(t)] for t in texts])
 
-    return docs.filter(F.col("text").rlike(HINT)).select(
+    return docs.filter(may_hold(F.col("text"))).select(
         _digest().alias("digest"), F.explode(find(F.col("text"))).alias("x")
     ).select("digest", "x.*").distinct()
 
@@ -293,7 +298,7 @@ def with_surrogates(docs: DataFrame, key: str = "partatlas") -> DataFrame:
     docs = docs.withColumn("text", F.col("text").cast("string"))
     rows = docs.select(
         "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    hinted = F.coalesce(F.col("text").rlike(HINT), F.lit(False))
+    hinted = F.coalesce(may_hold(F.col("text")), F.lit(False))
     none = F.lit(None).cast("array<struct<start:int,end:int,kind:string,new:string>>")
     changed = rows.filter(hinted).withColumn("digest", _digest()).join(places, "digest", "left")
     changed = changed.select("row", "spans", replaced("text", "spans").alias("new"))
