@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from partatlas.llm.licenses import license_scan
 from partatlas.llm.mixing import mix_table
 from partatlas.llm.pieces import encode_decode
 from partatlas.llm.quality import quality_table
@@ -18,6 +19,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query("op1_license_scan")
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(_table(spark, sf_dir, "documents"))
+
+
 @query("op3_quality_rules")
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     measures = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
