@@ -12,6 +12,8 @@ from partatlas.llm.pieces import encode_decode
 from partatlas.llm.quality import quality_table
 from partatlas.llm.simhash import simhash_groups
 from partatlas.llm.surrogates import with_surrogates
+from partatlas.llm.tokenfile import read_token_file, write_token_file
+from partatlas.session import work_dir
 from workload.registry import query
 
 
@@ -46,6 +48,13 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", F.size("ids").alias("n_ids"), "ids", "decoded")
 
 
+@query("op7_pfor_tokens")
+def op7_pfor_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = work_dir(spark, "tokens")
+    write_token_file(_table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
+    return read_token_file(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 @query("op8_simhash_groups")
 def op8_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash_groups(_table(spark, sf_dir, "documents").select("doc_id", "text"))
