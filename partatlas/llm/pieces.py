@@ -37,9 +37,9 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 MARKER = "▁"
 UNKNOWN_COST = 10.0
 #: Words a worker remembers before it starts afresh, and bytes it handles at once.
-MEMO_WORDS = 400_000
-BLOCK_BYTES = 1 << 21
-BLOCK_CHARS = 1 << 22
+MEMO_WORDS = 300_000
+BLOCK_BYTES = 1 << 18
+BLOCK_CHARS = 1 << 20
 
 
 def double_array(keys: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -209,7 +209,7 @@ def encode(texts: list[str], vocab: dict, memo: dict[str, bytes] | None = None)
     split = [_split(t, vocab) for t in texts]
     if len(memo) > MEMO_WORDS:
         memo.clear()
-    new = [w for w in dict.fromkeys(w for words in split for w in words) if w not in memo]
+    new = list(set().union(*split).difference(memo))
     block: list[str] = []
     size = 0
     for i, w in enumerate(new):
