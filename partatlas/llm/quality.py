@@ -92,10 +92,11 @@ def text_measures(docs: DataFrame, text: str = "text") -> DataFrame:
         F.transform("at", lambda p, i: F.least(F.lit(WINDOW), F.coalesce(F.get("at", i + 1) - p, F.lit(WINDOW)))),
         F.lit(0).cast("long"), lambda total, x: total + x,
     )
-    return out.select(
-        "row", "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_stutter",
-        F.coalesce(covered, F.lit(0)).cast("long").alias("n_repeat_words"),
-    )
+    # The measures leave through a generator: no filter on them is pushed below it, where
+    # it would repeat the measuring inside its condition.
+    return out.select("row", F.inline(F.array(F.struct(
+        "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_stutter",
+        F.coalesce(covered, F.lit(0)).cast("long").alias("n_repeat_words")))))
 
 
 def base_failed() -> Column:
