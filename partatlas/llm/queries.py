@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from partatlas.llm.chunks import repeated_spans
 from partatlas.llm.licenses import license_scan
 from partatlas.llm.mixing import mix_table
 from partatlas.llm.pieces import encode_decode
@@ -26,6 +27,11 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(_table(spark, sf_dir, "documents"))
 
 
+@query("op2_chunk_dedup")
+def op2_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_spans(_table(spark, sf_dir, "documents"))
+
+
 @query("op3_quality_rules")
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     measures = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
