@@ -1,8 +1,9 @@
 """Substring dedup by content-defined chunks.
 
-A gear hash rolls over the bytes of a text: each step doubles the hash and adds the
+White space is made single spaces first, so that line breaks do not matter. A gear
+hash rolls over the bytes: each step doubles the hash and adds the
 byte's random number, so in 32 bits it depends on the last 32 bytes alone. A chunk
-ends behind white space whose hash is the least of all such places within ``REACH``
+ends behind a space whose hash is the least of all such places within ``REACH``
 bytes to both sides. Ends thus depend on the surrounding bytes only: an insertion
 moves them without changing chunks that lie beyond it. Chunks are longer than
 ``REACH`` and about twice as long on average; a stretch without an end is cut every
@@ -41,7 +42,7 @@ from partatlas.session import materialize
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 REACH = 24
-LONGEST = 4096
+LONGEST = 128
 SHORTEST_SPAN = 100
 _NONE = -(1 << 63)
 #: Bytes of text that are hashed at once.
@@ -58,7 +59,7 @@ def _least(v: np.ndarray, width: int) -> np.ndarray:
     out, have = v, 1
     while have < width:
         step = min(have, width - have)
-        out = np.minimum(out, np.concatenate([out[step:], np.full(step, 0xFFFFFFFF, np.uint32)]))
+        out = np.minimum(out, np.concatenate([out[step:], np.full(min(step, len(v)), 0xFFFFFFFF, np.uint32)]))
         have += step
     return out
 
@@ -76,44 +77,63 @@ def chunk_ends(data: bytes) -> np.ndarray:
     return np.flatnonzero((v == right) & (v == left) & (v < earlier))
 
 
-def chunks(texts: list[bytes]) -> Iterator[list[int]]:
-    """Ends of the chunks of each text, in bytes."""
-    joined = _PAD.join(texts)
+def chunks(texts: list[bytes]) -> Iterator[tuple[bytes, list[int]]]:
+    """Each text with single spaces between its words, and where its chunks end."""
+    plain = [b" ".join(t.split()) for t in texts]
+    joined = _PAD.join(plain)
     ends = chunk_ends(joined).tolist() if joined else []
     at, base = 0, 0
-    for text in texts:
-        stop, last, out = base + len(text), base, []
+    for text in plain:
+        stop, last, cut = base + len(text), base, []
         while at < len(ends) and ends[at] < stop:
-            out.append(ends[at] + 1)
+            cut.append(ends[at] + 1 - base)
             at += 1
-        if text and (not out or out[-1] != stop):
-            out.append(stop)
-        cut = []
-        for end in out:
-            while end - last > LONGEST:
-                last += LONGEST
-                while joined[last] & 0xC0 == 0x80:
-                    last -= 1
-                cut.append(last - base)
-            last = end
-            cut.append(end - base)
-        yield cut
+        if text and (not cut or cut[-1] != len(text)):
+            cut.append(len(text))
+        if len(text) > LONGEST:
+            last, forced = 0, []
+            for end in cut:
+                while end - last > LONGEST:
+                    last += LONGEST
+                    while text[last] & 0xC0 == 0x80:
+                        last -= 1
+                    forced.append(last)
+                forced.append(end)
+                last = end
+            cut = forced
+        yield text, cut
         base = stop + len(_PAD)
 
 
+def _places(raw: bytes, plain: bytes, cuts: list[int]) -> list[int]:
+    """Places of cuts of the plain text in the text as it is: word by word, and inside
+    a word as far in."""
+    if len(raw) == len(plain):
+        return cuts
+    space = _SPACE[np.frombuffer(raw, np.uint8)]
+    words = np.flatnonzero(~space & np.concatenate([[True], space[:-1]]))
+    begins = np.concatenate([[0], np.flatnonzero(np.frombuffer(plain, np.uint8) == 32) + 1])
+    at = np.array(cuts[:-1], np.int64)
+    word = np.searchsorted(begins, at, "right") - 1
+    return [*(words[word] + at - begins[word]).tolist(), len(raw)]
+
+
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     digest = xxhash.xxh3_128_digest
 
     def emit(docs: list[int], texts: list[bytes]) -> pa.RecordBatch:
         doc, place, start, stop, again, digests = [], [], [], [], [], []
-        for d, text, ends in zip(docs, texts, chunks(texts)):
-            found = [digest(text[a:b]) for a, b in zip([0, *ends], ends)]
+        for d, raw, (text, ends) in zip(docs, texts, chunks(texts)):
+            if not ends:
+                continue
+            found = [digest(text[a:b].rstrip()) for a, b in zip([0, *ends], ends)]
             met: set[bytes] = set()
             again += [x in met or met.add(x) is not None for x in found]
             digests += found
+            ends = _places(raw, text, ends)
             doc += [d] * len(ends)
             place += range(len(ends))
-            start += [0, *ends[:-1]] if ends else []
+            start += [0, *ends[:-1]]
             stop += ends
         pairs = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
         return pa.RecordBatch.from_arrays(
