@@ -14,6 +14,7 @@ from partatlas.llm.quality import quality_table
 from partatlas.llm.simhash import simhash_groups
 from partatlas.llm.surrogates import with_surrogates
 from partatlas.llm.tokenfile import read_token_file, write_token_file
+from partatlas.llm.toxicity import toxicity
 from partatlas.session import work_dir
 from workload.registry import query
 
@@ -70,3 +71,8 @@ def op8_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_source_mix")
 def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_table(_table(spark, sf_dir, "documents"))
+
+
+@query("op10_toxicity")
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
