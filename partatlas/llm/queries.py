@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from partatlas.llm.chunks import repeated_spans
+from partatlas.llm.hnsw import nearest
 from partatlas.llm.licenses import license_scan
 from partatlas.llm.mixing import mix_table
 from partatlas.llm.pieces import encode_decode
@@ -49,6 +50,11 @@ def op4_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("spans"), "row.text")
 
 
+@query("op5_hnsw_search")
+def op5_hnsw_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(_table(spark, sf_dir, "embeddings"))
+
+
 @query("op6_sentencepiece")
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = encode_decode(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
