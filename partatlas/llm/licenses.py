@@ -79,7 +79,8 @@ def license_scan(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     units = docs.select("doc_id", F.col("text").cast("string").alias("text")).filter(
         F.col("text").rlike(anchored)).select("doc_id", text.alias("text")).select(
         "doc_id", F.array_distinct(F.transform(
-            F.concat(F.array("text"), F.split("text", r"\n[ \t]*\n\s*"), F.split("text", "\n")), F.trim)).alias("units"))
+            F.concat(F.array("text"), F.split("text", r"\n[ \t]*\n\s*"), F.split("text", "\n")),
+            lambda x: F.trim(x))).alias("units"))
     units = units.select("doc_id", F.posexplode("units").alias("unit", "unit_text")).filter(
         F.col("unit_text").rlike(anchored))
     worded = units.select("*", _normalised(F.col("unit_text")).alias("words"))

@@ -13,6 +13,7 @@ from partatlas.llm.mixing import mix_table
 from partatlas.llm.pieces import encode_decode
 from partatlas.llm.quality import quality_table
 from partatlas.llm.simhash import simhash_groups
+from partatlas.llm.sql import QUALITY_SQL
 from partatlas.llm.surrogates import with_surrogates
 from partatlas.llm.tokenfile import read_token_file, write_token_file
 from partatlas.llm.toxicity import toxicity
@@ -34,7 +35,7 @@ def op2_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_spans(_table(spark, sf_dir, "documents"))
 
 
-@query("op3_quality_rules")
+@query("op3_quality_rules", QUALITY_SQL)
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     measures = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     return quality_table(_table(spark, sf_dir, "documents")).select(

@@ -44,7 +44,7 @@ END_OF_DOCUMENT = 0
 SEGMENT_IDS = 1 << 20
 MEMO_PIECES = 600_000
 _NEW_AT_ONCE = 1 << 12
-_HEAD = struct.Struct("<4sHHQQQ")
+_HEAD = "<4sHHQQQ"
 _SEGMENTS = "shard int, segment int, n_ids long, n_docs long, data binary"
 _DOCS = "shard int, segment int, place int, doc_id long, n_tokens long, before long, ids binary"
 
@@ -86,7 +86,7 @@ def pack(ids: np.ndarray, doc_ids: list[int | None], lengths: list[int]) -> byte
     body[(tail + 2 * rank)[:, None] + np.arange(2)] = places
     body[(tail + 2 * n_patched[rows] + 4 * rank)[:, None] + np.arange(4)] = values
     return b"".join((
-        _HEAD.pack(b"PFOR", 1, BLOCK, n, len(lengths), n_blocks),
+        struct.pack(_HEAD, b"PFOR", 1, BLOCK, n, len(lengths), n_blocks),
         np.array([0 if x is None else x for x in doc_ids], "<i8").tobytes(),
         np.array([x is not None for x in doc_ids], np.uint8).tobytes(),
         np.array(lengths, "<u4").tobytes(), starts.tobytes(), body.tobytes(),
@@ -95,10 +95,10 @@ def pack(ids: np.ndarray, doc_ids: list[int | None], lengths: list[int]) -> byte
 
 def unpack(data: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]:
     """Document ids, numbers of ids and all ids of a segment."""
-    magic, version, block, n, n_docs, n_blocks = _HEAD.unpack_from(data)
+    magic, version, block, n, n_docs, n_blocks = struct.unpack_from(_HEAD, data)
     if magic != b"PFOR" or version != 1:
         raise ValueError("not a token segment")
-    at = _HEAD.size
+    at = struct.calcsize(_HEAD)
     known = np.frombuffer(data, np.uint8, n_docs, at + 8 * n_docs)
     doc_ids = [x if k else None for x, k in zip(np.frombuffer(data, "<i8", n_docs, at).tolist(), known.tolist())]
     at += 9 * n_docs
