@@ -26,6 +26,10 @@ def as_table(spark, rows):
     return spark.createDataFrame([(i, v, 0) for i, v in rows], SCHEMA)
 
 
+def floats(a):
+    return np.asarray(a, np.float32).tolist()
+
+
 def check(got, want, least):
     found, hits, total = {}, 0, 0
     for r in got:
@@ -47,7 +51,7 @@ def check(got, want, least):
 
 def test_few_vectors_are_all_found(spark):
     rng = np.random.default_rng(1)
-    rows = [(i, rng.normal(size=8).tolist()) for i in range(30)]
+    rows = [(i, floats(rng.normal(size=8))) for i in range(30)]
     check(nearest(as_table(spark, rows)).collect(), brute(rows), 1)
 
 
@@ -74,8 +78,8 @@ def test_graph_alone():
 
 def test_one_vector_with_very_many_copies(spark):
     rng = np.random.default_rng(4)
-    hot = rng.normal(size=8).tolist()
-    rows = [(i, hot if i % 3 else rng.normal(size=8).tolist()) for i in range(900)]
+    hot = floats(rng.normal(size=8))
+    rows = [(i, hot if i % 3 else floats(rng.normal(size=8))) for i in range(900)]
     check(nearest(as_table(spark, rows)).collect(), brute(rows), 0.97)
 
 
