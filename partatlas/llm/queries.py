@@ -15,7 +15,7 @@ from partatlas.llm.quality import quality_table
 from partatlas.llm.simhash import simhash_groups
 from partatlas.llm.sql import QUALITY_SQL
 from partatlas.llm.surrogates import with_surrogates
-from partatlas.llm.tokenfile import read_token_file, write_token_file
+from partatlas.llm.tokenfile import token_documents, with_start, write_token_file
 from partatlas.llm.toxicity import toxicity
 from partatlas.session import work_dir
 from workload.registry import query
@@ -66,7 +66,9 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_pfor_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_dir(spark, "tokens")
     write_token_file(_table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
-    return read_token_file(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+    # Digests are taken before documents meet the sums of the segments before them.
+    docs = token_documents(spark, path).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return with_start(docs, path).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
 @query("op8_simhash_groups")

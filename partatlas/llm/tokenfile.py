@@ -16,9 +16,8 @@ Parquet dataset, written by Spark's committer, so a lost task leaves nothing beh
 and any store that Spark writes to will do. Shards are ranges of document ids and
 segments follow each other inside a shard, so the dataset is in order of ids.
 
-A document is encoded by the library in pieces: a text may be cut before every single
-space between two other characters, as the tokenizer's own splitting never joins
-across it. A worker keeps the pieces it has met, up to a bound.
+A document is encoded in the pieces that the tokenizer itself splits a text into, each
+by the library's model. A worker keeps the pieces it has met lately, up to a bound.
 """
 
 from __future__ import annotations
@@ -31,6 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -42,11 +42,10 @@ PERCENTILE = 90
 END_OF_DOCUMENT = 0
 #: Ids after which a segment ends with the document at hand.
 SEGMENT_IDS = 1 << 20
-MEMO_PIECES = 600_000
-_NEW_AT_ONCE = 1 << 12
+MEMO_PIECES = 400_000
 _HEAD = "<4sHHQQQ"
 _SEGMENTS = "shard int, segment int, n_ids long, n_docs long, data binary"
-_DOCS = "shard int, segment int, place int, doc_id long, n_tokens long, before long, ids binary"
+_DOCS = "shard int, segment int, doc_id long, n_tokens long, before long, ids binary"
 
 
 def pack(ids: np.ndarray, doc_ids: list[int | None], lengths: list[int]) -> bytes:
@@ -123,63 +122,58 @@ def unpack(data: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]:
     return doc_ids, lengths, (delta + least[:, None]).ravel()[:n].astype("<u4")
 
 
-_CUT = re.compile(r"(?<=\S)(?= \S)")
+# The tokenizer's own splitting; for texts in Latin-1 with the classes spelled out,
+# which the standard module searches faster.
+_SPLIT = regex.compile(r" ?\p{L}+| ?\p{N}+|'s|'t|'re|'ve|'m|'ll|'d| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+_L, _N, _S = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff", "0-9\xb2\xb3\xb9\xbc-\xbe", "\t-\r \x85\xa0"
+_SPLIT_LATIN = re.compile(
+    rf" ?[{_L}]+| ?[{_N}]+|'s|'t|'re|'ve|'m|'ll|'d| ?[^{_S}{_L}{_N}]+|[{_S}]+(?![^{_S}])|[{_S}]+")
 
 
-class PieceEncoder:
-    """Encodes texts piece by piece and remembers the pieces.
+def split(text: str) -> list[str]:
+    """Pieces that the tokenizer encodes one by one."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return _SPLIT.findall(text)
+    return _SPLIT_LATIN.findall(text)
 
-    New pieces behind a space are encoded together, as one text; the library's ids
-    are dealt back to them by the number of bytes that each id stands for.
-    """
+
+class _Memo(dict):
+    """Ids of pieces; a piece that is new is encoded by the library's model."""
+
+    def __init__(self, tokenize, letters: list[str], earlier: dict[str, bytes]) -> None:
+        self.tokenize, self.letters, self.earlier = tokenize, letters, earlier
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.earlier.get(piece)
+        if ids is None:
+            spelled = "".join(map(self.letters.__getitem__, piece.encode("utf-8", "replace")))
+            ids = np.array([t.id for t in self.tokenize(spelled)], "<u4").tobytes()
+        self[piece] = ids
+        return ids
+
+
+class PieceEncoder:
+    """Encodes texts piece by piece and remembers the pieces met lately."""
 
     def __init__(self, tokenizer_json: str) -> None:
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_str(tokenizer_json)
-        self.tokenizer.encode_special_tokens = True
-        vocabulary = self.tokenizer.get_vocab()
-        self.n_bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
-        for token, i in vocabulary.items():
-            self.n_bytes[i] = len(token)
-        self.behind_space: dict[str, bytes] = {}
-        self.exact: dict[str, bytes] = {}
-
-    def _ids(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(x.ids, "<u4") for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _learn(self, words: list[str]) -> None:
-        for i in range(0, len(words), _NEW_AT_ONCE):
-            part = words[i : i + _NEW_AT_ONCE]
-            ids = self._ids([" " + " ".join(part)])[0]
-            ends = np.cumsum(np.fromiter((1 + len(w.encode("utf-8", "replace")) for w in part), np.int64, len(part)))
-            bounds = np.concatenate([[0], np.searchsorted(np.cumsum(self.n_bytes[ids]), ends) + 1]) * 4
-            blob = ids.tobytes()
-            self.behind_space.update(zip(part, [blob[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]))
+        self.model = Tokenizer.from_str(tokenizer_json).model
+        # Byte-level vocabularies write a byte as itself if it is printable Latin-1
+        # without white space, the others as characters from 256 on.
+        own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        rest = iter(range(256, 512))
+        self.letters = [chr(b) if b in own else chr(next(rest)) for b in range(256)]
+        self.memo = _Memo(self.model.tokenize, self.letters, {})
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, end of document included, as four-byte integers."""
-        if len(self.behind_space) + len(self.exact) > MEMO_PIECES:
-            self.behind_space.clear()
-            self.exact.clear()
-        heads, tails = [], []
-        for text in texts:
-            words = text.split()
-            # Single white space only, and none at the ends: any space may be cut at.
-            if words and sum(map(len, words)) + len(words) - 1 == len(text):
-                first, *rest = text.split(" ")
-                heads.append([first])
-                tails.append(rest)
-            else:
-                heads.append(_CUT.split(text) if text else [])
-                tails.append([])
-        self._learn(list(set().union(*tails).difference(self.behind_space)))
-        new = list(set().union(*heads).difference(self.exact))
-        self.exact.update(zip(new, (x.tobytes() for x in self._ids(new))))
-        end = struct.pack("<I", END_OF_DOCUMENT)
-        return [
-            b"".join((*map(self.exact.__getitem__, a), *map(self.behind_space.__getitem__, b), end))
-            for a, b in zip(heads, tails)]
+        if len(self.memo) > MEMO_PIECES:
+            self.memo = _Memo(self.model.tokenize, self.letters, dict(self.memo))
+        end, known = struct.pack("<I", END_OF_DOCUMENT), self.memo.__getitem__
+        return [b"".join((*map(known, split(t)), end)) for t in texts]
 
 
 def token_segments(docs: DataFrame, tokenizer_file: str) -> DataFrame:
@@ -232,26 +226,40 @@ def write_token_file(docs: DataFrame, path: str, tokenizer_file: str) -> None:
     token_segments(docs, tokenizer_file).write.parquet(path)
 
 
-def read_token_file(spark: SparkSession, path: str) -> DataFrame:
-    """``doc_id``, ``start`` (ids of all documents before), ``n_tokens`` and ``ids``
-    (four-byte little-endian integers) of every document of a token file."""
+def token_documents(spark: SparkSession, path: str) -> DataFrame:
+    """Documents of a token file: ``doc_id``, ``n_tokens`` and ``ids`` (four-byte
+    little-endian integers), with ``shard``, ``segment`` and ``before``, the ids before
+    the document in its segment."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             shards, segments, blobs = (batch.column(c) for c in ("shard", "segment", "data"))
             for i in range(batch.num_rows):
                 doc_ids, lengths, ids = unpack(blobs[i].as_py())
-                before, n = np.cumsum(lengths) - lengths, len(lengths)
-                bounds = pa.array(np.concatenate([[0], 4 * np.cumsum(lengths)]), pa.int64())
-                data = pa.LargeBinaryArray.from_buffers(
-                    pa.large_binary(), n, [None, bounds.buffers()[1], pa.py_buffer(ids.tobytes())])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([shards[i].as_py()] * n, pa.int32()), pa.array([segments[i].as_py()] * n, pa.int32()),
-                     pa.array(np.arange(n), pa.int32()), pa.array(doc_ids, pa.int64()), pa.array(lengths, pa.int64()),
-                     pa.array(before, pa.int64()), data.cast(pa.binary())],
-                    names=["shard", "segment", "place", "doc_id", "n_tokens", "before", "ids"])
-
-    stored = spark.read.parquet(path)
+                ends = np.cumsum(lengths)
+                # A value of a binary column holds 2 GB at most, and so does a batch.
+                cuts = [0, *np.flatnonzero(np.diff(ends // (1 << 24))) + 1, len(lengths)]
+                for a, b in zip(cuts, cuts[1:]):
+                    first = int(ends[a] - lengths[a]) if b > a else 0
+                    bounds = np.concatenate([[0], 4 * (ends[a:b] - first)]).astype(np.int32)
+                    data = pa.BinaryArray.from_buffers(
+                        pa.binary(), b - a, [None, pa.py_buffer(bounds), pa.py_buffer(ids[first : first + bounds[-1] // 4])])
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(b - a, shards[i].as_py(), np.int32)),
+                         pa.array(np.full(b - a, segments[i].as_py(), np.int32)), pa.array(doc_ids[a:b], pa.int64()),
+                         pa.array(lengths[a:b]), pa.array((ends - lengths)[a:b]), data],
+                        names=["shard", "segment", "doc_id", "n_tokens", "before", "ids"])
+
+    return spark.read.parquet(path).select("shard", "segment", "data").mapInArrow(run, _DOCS)
+
+
+def with_start(docs: DataFrame, path: str) -> DataFrame:
+    """``docs`` (rows of ``token_documents``) with ``start``, the ids of all documents
+    before, instead of the three columns that place them in the file.
+
+    Only the numbers of ids of shards and segments are summed up and joined.
+    """
+    stored = docs.sparkSession.read.parquet(path)
     up_to = Window.unboundedPreceding, -1
     in_shard = Window.partitionBy("shard").orderBy("segment").rowsBetween(*up_to)
     shards = stored.groupBy("shard").agg(F.sum("n_ids").alias("n")).select(
@@ -260,6 +268,10 @@ def read_token_file(spark: SparkSession, path: str) -> DataFrame:
     offsets = stored.select(
         "shard", "segment", F.coalesce(F.sum("n_ids").over(in_shard), F.lit(0)).alias("segment_start"),
     ).join(shards, "shard").select("shard", "segment", (F.col("shard_start") + F.col("segment_start")).alias("first"))
-    docs = stored.select("shard", "segment", "data").mapInArrow(run, _DOCS)
-    return docs.join(offsets, ["shard", "segment"]).select(
-        "doc_id", (F.col("first") + F.col("before")).alias("start"), "n_tokens", "ids")
+    return docs.join(offsets, ["shard", "segment"]).withColumn("start", F.col("first") + F.col("before")).drop(
+        "first", "before", "shard", "segment")
+
+
+def read_token_file(spark: SparkSession, path: str) -> DataFrame:
+    """``doc_id``, ``start``, ``n_tokens`` and ``ids`` of every document of a token file."""
+    return with_start(token_documents(spark, path), path).select("doc_id", "start", "n_tokens", "ids")

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 import zlib
 
 import numpy as np
@@ -22,10 +23,16 @@ def library():
     return lambda texts: [x.ids + [0] for x in tok.encode_batch(texts, add_special_tokens=False)]
 
 
-def test_pieces_are_as_whole_texts(library):
-    coder = t.PieceEncoder(open(FILE, encoding="utf-8").read())
-    for _ in range(2):
-        assert [np.frombuffer(x, "<u4").tolist() for x in coder.encode(TEXTS)] == library(TEXTS)
+def test_pieces_are_as_whole_texts(library, monkeypatch):
+    """Also while pieces are forgotten, and for any mixture of characters."""
+    rng = random.Random(3)
+    letters = list("ab e'  \n\t.,;#9²½ªµéÀß÷×\x85\xa0\x1c\x1d\x0b \u3000日本Ωжы😀٣Ⅷ_-sdmtrevl'")
+    texts = TEXTS + ["".join(rng.choices(letters, k=rng.randrange(1, 40))) for _ in range(3000)]
+    for bound in (10**6, 50):
+        monkeypatch.setattr(t, "MEMO_PIECES", bound)
+        coder = t.PieceEncoder(open(FILE, encoding="utf-8").read())
+        got = [np.frombuffer(x, "<u4").tolist() for i in range(0, len(texts), 100) for x in coder.encode(texts[i : i + 100])]
+        assert got == library(texts)
 
 
 @pytest.mark.parametrize("n", [0, 1, 127, 128, 129, 5000])
