@@ -81,6 +81,7 @@ from partatlas.sources.catalog import (
     write_records,
 )
 from partatlas.sources.listings import (
+    broken_documents,
     listing_from_xml,
     releases_from_xml,
     scan_listing,

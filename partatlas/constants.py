@@ -35,9 +35,6 @@ NAMESPACE_LABELS = {
 
 # Namespace declarations: group 1 = prefix (may be absent), group 2 = URI.
 XMLNS_PATTERN = r'xmlns(?::([\w.-]+))?\s*=\s*"([^"]+)"'
-# Characters looked at for namespaces: corpus inventory, and JSON mirror.
-INVENTORY_HEAD = 4096
-MIRROR_HEAD = 8192
 
 # Archive layout: member paths start at STORE_ROOT; TOOL_ROOT is dropped.
 STORE_ROOT = "processors"

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from partatlas.constants import INVENTORY_HEAD, NAMESPACE_LABELS, XMLNS_PATTERN
+from partatlas.constants import NAMESPACE_LABELS, XMLNS_PATTERN
 from partatlas.functions.text import col
 
 # (family, version): the last two path pieces when the last is dotted digits.
@@ -22,9 +22,9 @@ def local_name(tag: Column | str) -> Column:
     return F.regexp_replace(col(tag), r"\{[^}]+\}", "")
 
 
-def xmlns_pairs(xml: Column | str, head: int = INVENTORY_HEAD) -> Column:
-    """ARRAY<STRUCT<prefix, uri>> declared in the first ``head`` characters."""
-    text = F.substring(col(xml), 1, head)
+def xmlns_pairs(xml: Column | str, head: int | None = None) -> Column:
+    """ARRAY<STRUCT<prefix, uri>> declared in the text, or in its first ``head`` characters."""
+    text = col(xml) if head is None else F.substring(col(xml), 1, head)
     return F.zip_with(
         F.regexp_extract_all(text, F.lit(XMLNS_PATTERN), F.lit(1)),
         F.regexp_extract_all(text, F.lit(XMLNS_PATTERN), F.lit(2)),

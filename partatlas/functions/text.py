@@ -49,7 +49,7 @@ def basename(c: Column | str) -> Column:
 
 def slug(c: Column | str) -> Column:
     """File-name-safe form of a query; ``query`` if nothing is left."""
-    safe = F.regexp_replace(col(c), r"[^A-Za-z0-9._-]+", "_")
+    safe = F.regexp_replace(strip(c), r"[^A-Za-z0-9._-]+", "_")
     return F.coalesce(F.nullif(safe, F.lit("")), F.lit("query"))
 
 

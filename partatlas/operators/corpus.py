@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from partatlas.constants import (
     CANONICAL_VARIANT,
     DEVICETREE_SCRIPTS,
-    INVENTORY_HEAD,
     KEY_FILES,
     OPTIONAL_SECTIONS,
 )
@@ -67,20 +66,26 @@ def variant_summary(tree: DataFrame) -> DataFrame:
 def summary_totals(summary: DataFrame) -> DataFrame:
     """The summary rows and one total row (``is_total``) with distinct parts.
 
-    Totals come from the summary, one row per tree, not from files.
+    Totals come from the summary, one row per tree, not from files. They are there
+    also when nothing is stored.
     """
-    keys = [F.col(c) for c in KEY]
-    return (
-        summary.groupingSets([keys, []], *keys)
-        .agg(
-            (F.grouping_id() > 0).alias("is_total"),
-            F.countDistinct("part").alias("parts"),
-            F.count("*").alias("variants"),
-            F.coalesce(F.sum("files"), F.lit(0).cast("bigint")).alias("files"),
-            F.coalesce(F.sum("size_bytes"), F.lit(0).cast("bigint")).alias("size_bytes"),
-        )
-        .select("is_total", *KEY, "parts", "variants", "files", "size_bytes")
-    )
+    columns = ("is_total", *KEY, "parts", "variants", "files", "size_bytes")
+    one = F.lit(1).cast("bigint")
+    rows = summary.select(
+        F.lit(False).alias("is_total"), *KEY, one.alias("parts"), one.alias("variants"), "files",
+        "size_bytes")
+    total = summary.agg(
+        F.countDistinct("part").alias("parts"), F.count("*").alias("variants"), *_sums("files", "size_bytes"))
+    return rows.select(*columns).union(_total_row(total, KEY).select(*columns))
+
+
+def _sums(*names: str) -> list[Column]:
+    return [F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c) for c in names]
+
+
+def _total_row(total: DataFrame, keys: list[str]) -> DataFrame:
+    none = F.lit(None).cast("string")
+    return total.select("*", F.lit(True).alias("is_total"), *[none.alias(k) for k in keys])
 
 
 def canonical_variant(rows: DataFrame, pos: str = "pos") -> DataFrame:
@@ -122,14 +127,10 @@ def tree_census(tree: DataFrame) -> DataFrame:
         )
     )
     sums = ("files", "xml_files", "package_variants", "register_xmls")
-    return (
-        per_package.rollup("part")
-        .agg(
-            (F.grouping("part") == 1).alias("is_total"),
-            *[F.coalesce(F.sum(c), F.lit(0).cast("bigint")).alias(c) for c in sums],
-        )
-        .select("is_total", "part", *sums)
-    )
+    columns = ("is_total", "part", *sums)
+    per_part = per_package.groupBy("part").agg(*_sums(*sums))
+    rows = per_part.select(F.lit(False).alias("is_total"), "part", *sums)
+    return rows.union(_total_row(per_part.agg(*_sums(*sums)), ["part"]).select(*columns))
 
 
 def variant_diff(tree: DataFrame, a: str, b: str) -> DataFrame:
@@ -223,8 +224,8 @@ def codegen_inventory(tree: DataFrame) -> DataFrame:
 
 
 def namespace_declarations(xml_files: DataFrame, xml: str = "xml",
-                           head: int = INVENTORY_HEAD) -> DataFrame:
-    """Distinct (tree key, prefix, uri) among the heads of the XML files."""
+                           head: int | None = None) -> DataFrame:
+    """Distinct (tree key, prefix, uri) declared in the XML files, or in their heads."""
     return (
         xml_files.filter(is_xml())
         .select(*KEY, F.explode(xmlns_pairs(xml, head)).alias("ns"))
@@ -234,7 +235,7 @@ def namespace_declarations(xml_files: DataFrame, xml: str = "xml",
 
 
 def namespace_inventory(xml_files: DataFrame, xml: str = "xml",
-                        head: int = INVENTORY_HEAD) -> DataFrame:
+                        head: int | None = None) -> DataFrame:
     """Declarations with family, version and label, NULL where not recognised."""
     return (
         namespace_declarations(xml_files, xml, head)

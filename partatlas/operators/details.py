@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from partatlas.constants import CANONICAL_VARIANT
 from partatlas.functions.markup import repair_utf8
+from partatlas.functions.text import version_key
 from partatlas.operators.corpus import manifest_stem
 from partatlas.sources import spine
 from partatlas.sources.trees import TREE_KEY
@@ -96,9 +97,10 @@ def package_variants(tree: DataFrame, xml: str = "xml") -> DataFrame:
 
 
 def assemble_details(tree: DataFrame, xml: str = "xml") -> DataFrame:
-    """Details of every tree in one scan and one shuffle.
+    """Details of every tree in one shuffle.
 
-    Only spine files are read and each is parsed before the shuffle. ``status``
+    Only the text of spine files is read and each is parsed before the shuffle; the
+    keys of all files go along, so that a tree without any spine file has a row. ``status``
     is ``ok``, ``missing_header``, ``bad_header``, ``bad_cores`` or
     ``bad_manifest``. A tree's record holds its cores, packages and properties,
     so its size is that of the record itself.
@@ -128,7 +130,8 @@ def assemble_details(tree: DataFrame, xml: str = "xml") -> DataFrame:
             F.struct(manifest_stem().alias("directory"), spine.manifest(xml).alias("m")),
         ).alias("manifest"),
     )
-    gathered = staged.groupBy(*KEY).agg(
+    every = staged.unionByName(tree.select(*KEY), allowMissingColumns=True)
+    gathered = every.groupBy(*KEY).agg(
         F.first("header", ignorenulls=True).alias("header"),
         F.first("cores", ignorenulls=True).alias("cores"),
         F.first("properties", ignorenulls=True).alias("properties"),
@@ -185,14 +188,19 @@ def with_text(tree: DataFrame) -> DataFrame:
 def details_with_fetched(details: DataFrame, summary: DataFrame) -> DataFrame:
     """One row per part: details of its canonical tree and all its fetched trees.
 
-    The canonical tree is the default SDK variant, else the first in (variant,
-    release) order. Details that failed give their status as ``error``.
+    The canonical tree is the default SDK variant, else the first by name, in its
+    newest release. Details that failed give their status as ``error``.
     """
     item = F.struct("variant", "release", "files", "size_bytes")
-    first = F.struct((F.col("variant") != CANONICAL_VARIANT).alias("other"), "variant", "release")
-    per_part = summary.groupBy("part").agg(
-        F.min(first).alias("chosen"), F.sort_array(F.collect_list(item)).alias("fetched_variants")
-    ).select("part", "chosen.variant", "chosen.release", "fetched_variants")
+    newest = F.max(F.struct(version_key("release").alias("key"), "release")).alias("newest")
+    first = F.struct((F.col("variant") != CANONICAL_VARIANT).alias("other"), "variant", "newest.release")
+    per_part = (
+        summary.groupBy("part", "variant").agg(newest, F.collect_list(item).alias("items"))
+        .groupBy("part").agg(
+            F.min(first).alias("chosen"),
+            F.sort_array(F.flatten(F.collect_list("items"))).alias("fetched_variants"))
+        .select("part", "chosen.variant", "chosen.release", "fetched_variants")
+    )
     fields = ("header", "cores", "variants", "properties", "is_application_processor")
     ok = F.col("status") == "ok"
     return per_part.join(details, KEY, "left").select(

@@ -13,7 +13,6 @@ table is matched once.
 
 from __future__ import annotations
 
-import json
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
@@ -29,14 +28,9 @@ from partatlas.functions.masks import (
 )
 from partatlas.functions.pyudf import fuzzy_ratio
 from partatlas.functions.text import folded, let
-from partatlas.session import collect_bounded
 
-# Above this many distinct characters-with-count the order by frequency is dropped.
-TOKEN_BOUND = 4096
 # Characters-with-count held as bits, the most frequent ones; the rest stay in an array.
 WORD_BITS, WORDS = 63, 2
-# Partitions over which the hits of one query are spread.
-SALTS = 16
 
 
 def distinct_queries(queries: DataFrame) -> DataFrame:
@@ -88,25 +82,34 @@ def _masked_forms(queries: DataFrame, keyed: DataFrame, same_length: bool) -> Da
 def masked_pairs(queries: DataFrame, names: DataFrame, allow_suffix: bool = True) -> DataFrame:
     """(q, part): q is an orderable form of the name. ``names`` is (k, part) with
     ``k`` the folded part."""
-    keyed = names.select(
+    keyed = _masked_keys(names)
+    forms = _masked_forms(queries, keyed, same_length=not allow_suffix)
+    return forms.join(keyed.select("sig", "text", "part"), ["sig", "text"]).select("q", "part")
+
+
+def _masked_keys(names: DataFrame) -> DataFrame:
+    return names.select(
         "part", F.col("k").alias("text"), signature("k").alias("sig"),
         literal_head("k").alias("head"),
     )
-    forms = _masked_forms(queries, keyed, same_length=not allow_suffix)
-    return forms.join(keyed.select("sig", "text", "part"), ["sig", "text"]).select("q", "part")
 
 
-def masked_prefix_pairs(queries: DataFrame, names: DataFrame) -> DataFrame:
-    """(q, part): q is a beginning of the name under the wildcards of the name."""
+def _prefix_keys(queries: DataFrame, names: DataFrame) -> DataFrame:
+    """Every beginning of every name, no longer than the longest query."""
     longest = F.greatest(_longest(queries, "q"), F.lit(1))
     starts = (
         names.select("k", "part", F.least(F.length("k"), longest).alias("upto"))
         .select("k", "part", F.explode(F.sequence(F.lit(1), "upto")).alias("n"))
         .select("part", F.substring(F.col("k"), F.lit(1), F.col("n")).alias("text"))
     )
-    keyed = starts.select(
+    return starts.select(
         "part", "text", signature("text").alias("sig"), literal_head("text").alias("head")
     )
+
+
+def masked_prefix_pairs(queries: DataFrame, names: DataFrame) -> DataFrame:
+    """(q, part): q is a beginning of the name under the wildcards of the name."""
+    keyed = _prefix_keys(queries, names)
     forms = _masked_forms(queries, keyed, same_length=True)
     return forms.join(keyed.select("sig", "text", "part"), ["sig", "text"]).select("q", "part")
 
@@ -252,10 +255,14 @@ def _bit_sum(codes: Column, word: int) -> Column:
 
 
 def fuzzy_pairs(
-    queries: DataFrame, names: DataFrame, threshold: float = FUZZY_THRESHOLD
+    queries: DataFrame, names: DataFrame, threshold: float = FUZZY_THRESHOLD,
+    beyond_contains: bool = False,
 ) -> DataFrame:
     """(q, k, ratio) of all pairs whose ratio reaches the threshold.
 
+    With ``beyond_contains`` pairs where q occurs within k are left out before
+    their ratio is computed.
+
     Two texts reach it only if they share enough characters. With the
     characters of each text in one global order, rarest first, such a pair also
     shares one among the first ``n - least overlap + 1`` of both. Pairs come
@@ -270,35 +277,26 @@ def fuzzy_pairs(
     both = q_side.unionByName(k_side).filter(F.length("t") > 0).select(
         "t", "is_q", _characters("t").alias("bag")
     )
+    # Position from the most frequent (0) on, one row per character and count that
+    # names have; one that no name has is rarer than all of them.
     frequency = (
-        both.filter(~F.col("is_q"))
-        .select(F.explode("bag").alias("c"))
-        .groupBy("c")
-        .count()
+        both.filter(~F.col("is_q")).select(F.explode("bag").alias("c")).groupBy("c").count()
     )
-    # Position from the most frequent (0) on; without a table every character
-    # counts as rare and the order is that of the text.
-    common = collect_bounded(frequency, TOKEN_BOUND) or []
-    ordered = sorted(common, key=lambda r: (-r["count"], r.c))
-    code = {r.c: i for i, r in enumerate(ordered)}
-    codes = F.from_json(F.lit(json.dumps(code)), "map<string,int>")
+    order = Window.partitionBy(F.lit(0)).orderBy(F.desc("count"), "c")
+    ranks = frequency.select("c", (F.row_number().over(order) - 1).alias("b"))
     rare = F.lit(WORD_BITS * WORDS)
-    unknown = F.lit(max(TOKEN_BOUND, WORD_BITS * WORDS))
-    coded = F.reverse(
-        F.sort_array(
-            F.transform(
-                "bag",
-                lambda c: F.struct(
-                    F.coalesce(F.try_element_at(codes, c), unknown).alias("b"),
-                    c.alias("c"),
-                ),
-            )
-        )
+    unknown = F.lit((1 << 31) - 1)
+    ranked = (
+        both.select("t", "is_q", F.explode("bag").alias("c"))
+        .join(ranks, "c", "left")
+        .groupBy("t", "is_q")
+        .agg(F.sort_array(
+            F.collect_list(F.struct(F.coalesce("b", unknown).alias("b"), "c")), asc=False
+        ).alias("bag"))
     )
     least = _least_overlap(F.length("t"), threshold)
     prepared = (
-        both.select("t", "is_q", coded.alias("bag"))
-        .withColumn("head", F.slice("bag", F.lit(1), F.size("bag") - least + 1))
+        ranked.withColumn("head", F.slice("bag", F.lit(1), F.size("bag") - least + 1))
         .select(
             "t", "is_q", "head",
             *[_bit_sum(F.transform("bag", lambda e: e.b), w).alias(f"w{w}") for w in range(WORDS)],
@@ -340,6 +338,8 @@ def fuzzy_pairs(
         & (2 * shared >= threshold * (a + b) - 1e-9)
         & first
     )
+    if beyond_contains:
+        found = found.filter(~F.contains("k_t", F.col("q_t")))
     pairs = found.select(F.col("q_t").alias("q"), F.col("k_t").alias("k"))
     return pairs.withColumn("ratio", fuzzy_ratio("q", "k")).filter(F.col("ratio") >= threshold)
 
@@ -371,59 +371,73 @@ def resolve_queries(queries: DataFrame, keys: DataFrame) -> DataFrame:
     return found.join(_raw_queries(queries), "q").select("query", "tier", "part")
 
 
+def _summed(keyed: DataFrame, examples: int, *by: str) -> DataFrame:
+    """Number, smallest name and first few names of the keys of each masked text.
+
+    Counts are partial aggregates and the first names are cut to rank below the
+    shuffle, so a text that a large share of all keys has costs a few rows a task.
+    """
+    order = Window.partitionBy(*by).orderBy(F.lower("part"), "part")
+    counts = keyed.groupBy(*by).agg(F.count("*").alias("n"), F.min("part").alias("only"))
+    first = (
+        keyed.select(*by, "part").withColumn("rank", F.row_number().over(order))
+        .filter(F.col("rank") <= examples)
+        .groupBy(*by)
+        .agg(F.collect_list(F.struct(F.lower("part").alias("l"), "part")).alias("first"))
+    )
+    return counts.join(first, list(by))
+
+
+def _tier(met: DataFrame, tier: int) -> DataFrame:
+    """One row per query out of its masked texts; no key stands under two of them."""
+    return met.groupBy("q").agg(
+        F.sum("n").alias("matches"), F.min("only").alias("only"),
+        F.sort_array(F.flatten(F.collect_list("first"))).alias("first"),
+    ).withColumn("tier", F.lit(tier))
+
+
 def canonicalize(queries: DataFrame, portfolio: DataFrame, examples: int = 5) -> DataFrame:
     """One row per distinct query: status ok, ambiguous or unknown.
 
     ok gives the one key and its release; ambiguous gives the number of keys,
-    the first few of them and whether there are more. Only the few smallest
-    names per query are gathered, found by a rank-limited window.
+    the first few of them and whether there are more. The tiers are those of
+    ``resolve_queries``. Keys are summed up by masked text before queries meet
+    them, so the joins give a few rows per query, however many keys it has.
     """
     keys = portfolio.select(F.col("family").alias("part"), "version")
-    hits = resolve_queries(queries, keys)
-    # One salted exchange serves both the counts and the examples; a query that
-    # meets a large share of all keys is spread over SALTS partitions.
-    salted = hits.withColumn("salt", F.pmod(F.xxhash64("part"), F.lit(SALTS))).repartition(
-        "query", "salt"
-    )
-    counts = (
-        salted.groupBy("query", "salt")
-        .agg(F.count("*").alias("n"), F.min("part").alias("only"))
-        .groupBy("query")
-        .agg(F.sum("n").alias("matches"), F.min("only").alias("only"))
-    )
-    order = [F.lower("part"), F.col("part")]
-    local = Window.partitionBy("query", "salt").orderBy(*order)
-    whole = Window.partitionBy("query").orderBy(*order)
-    first = (
-        salted.withColumn("n", F.row_number().over(local))
-        .filter(F.col("n") <= examples)
-        .withColumn("n", F.row_number().over(whole))
-        .filter(F.col("n") <= examples)
-        .groupBy("query")
-        .agg(
-            F.transform(
-                F.sort_array(F.collect_list(F.struct("n", "part"))), lambda e: e.part
-            ).alias("examples")
-        )
-    )
-    single = (
-        counts.filter("matches = 1")
-        .join(keys, F.col("only") == F.col("part"))
-        .select("query", "part", "version")
-    )
+    q = distinct_queries(queries)
+    names = folded_names(keys)
+    whole = distinct_keys(keys).select(F.lower("part").alias("q"), "part")
+    exact = _tier(q.join(_summed(whole, examples, "q"), "q"), 1)
+    rest = q.join(whole, "q", "left_anti")
+
+    masked = names.filter(has_wildcard("part"))
+    alias_keys = _masked_keys(masked)
+    alias = _tier(
+        _masked_forms(rest, alias_keys, same_length=False)
+        .join(_summed(alias_keys, examples, "sig", "text"), ["sig", "text"]), 2)
+    rest = rest.join(alias, "q", "left_anti")
+
+    prefix_keys = _prefix_keys(rest, names)
+    prefix = _tier(
+        _masked_forms(rest, prefix_keys, same_length=True)
+        .join(_summed(prefix_keys, examples, "sig", "text"), ["sig", "text"]), 3)
+
+    counts = exact.unionByName(alias).unionByName(prefix)
+    single = keys.select(F.col("part").alias("only"), "version")
+    one = F.col("matches") == 1
+    found = counts.join(single.withColumn("matches", F.lit(1).cast("bigint")), ["only", "matches"], "left")
     return (
-        queries.select("query").distinct()
-        .join(counts.drop("only"), "query", "left")
-        .join(first, "query", "left")
-        .join(single, "query", "left")
+        _raw_queries(queries).join(found, "q", "left")
         .select(
             "query",
             F.when(F.col("matches").isNull(), "unknown")
-            .when(F.col("matches") == 1, "ok").otherwise("ambiguous").alias("status"),
-            "part",
-            "version",
+            .when(one, "ok").otherwise("ambiguous").alias("status"),
+            F.when(one, F.col("only")).alias("part"),
+            F.when(one, F.col("version")).alias("version"),
             F.coalesce("matches", F.lit(0)).cast("bigint").alias("matches"),
-            F.when(F.col("matches") > 1, F.col("examples")).alias("examples"),
+            F.when(F.col("matches") > 1,
+                   F.transform(F.slice("first", 1, examples), lambda e: e.part)).alias("examples"),
             F.coalesce(F.col("matches") > examples, F.lit(False)).alias("more"),
         )
     )
@@ -476,14 +490,19 @@ def select_parts(inputs: DataFrame, portfolio: DataFrame) -> Selection:
 def lookup_parts(catalog: DataFrame, parts: DataFrame) -> DataFrame:
     """Catalogue rows for (part) requests, in any case; unknown ones give no row."""
     wanted = parts.select(F.col("part").alias("request"), F.lower("part").alias("_l")).distinct()
-    rows = catalog.withColumn("_l", F.lower("part"))
+    rows = catalog.withColumn("_l", _lower_part(catalog))
     return wanted.join(rows, "_l").select("request", *catalog.columns)
 
 
+def _lower_part(catalog: DataFrame) -> Column:
+    """The stored sort column of a catalogue, by which its files can be skipped."""
+    return F.col("part_lower") if "part_lower" in catalog.columns else F.lower("part")
+
+
 def part_variants(catalog: DataFrame, parts: DataFrame) -> DataFrame:
     """(request, variants) for every request; unknown parts give an empty array."""
     wanted = parts.select(F.col("part").alias("request"), F.lower("part").alias("_l")).distinct()
-    rows = catalog.select(F.lower("part").alias("_l"), "variants")
+    rows = catalog.select(_lower_part(catalog).alias("_l"), "variants")
     none = F.array().cast("array<string>")
     return wanted.join(rows, "_l", "left").select(
         "request", F.coalesce("variants", none).alias("variants")

@@ -27,9 +27,9 @@ def glob_filter(
 
 
 def mirror_path() -> Column:
-    """``<part>/json/<variant>/<relpath>`` with the suffix ``.json``."""
+    """``<release>/<part>/json/<variant>/<relpath>`` with the suffix ``.json``."""
     return F.concat_ws(
-        "/", "part", F.lit("json"), "variant", F.regexp_replace("relpath", r"\.xml\z", ".json")
+        "/", "release", "part", F.lit("json"), "variant", F.regexp_replace("relpath", r"\.xml\z", ".json")
     )
 
 
@@ -51,18 +51,18 @@ def mirror(
 
 
 def mirror_counts(mirrored: DataFrame) -> DataFrame:
-    """JSON documents written per (part, variant)."""
-    return mirrored.groupBy("part", "variant").agg(
+    """JSON documents written per tree."""
+    return mirrored.groupBy(*KEY).agg(
         F.count_if("parse_ok").alias("files_written")
     )
 
 
 def part_layout(summary: DataFrame, counts: DataFrame) -> DataFrame:
-    """Per part: its variants, whether anything was mirrored, and documents per variant."""
-    trees = summary.select("part", "variant").distinct()
+    """Per release and part: its variants, whether anything was mirrored, and documents per variant."""
+    trees = summary.select(*KEY).distinct()
     return (
-        trees.join(counts, ["part", "variant"], "left")
-        .groupBy("part")
+        trees.join(counts, KEY, "left")
+        .groupBy("release", "part")
         .agg(
             F.sort_array(F.collect_set("variant")).alias("xml_variants"),
             F.coalesce(F.bool_or(F.col("files_written") > 0), F.lit(False)).alias("mirrored"),

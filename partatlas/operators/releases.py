@@ -87,6 +87,13 @@ def portfolio_latest(
     aggregate per task and no more. Of equal version keys the highest
     ``api_id`` wins.
     """
+    return portfolio_of_pairs(releases, release_families(listing), include_unpublished)
+
+
+def portfolio_of_pairs(
+    releases: DataFrame, pairs: DataFrame, include_unpublished: bool = False
+) -> DataFrame:
+    """The same for distinct (release, family) pairs."""
     ranked = (
         published_only(releases, include_unpublished)
         .groupBy("name")
@@ -97,8 +104,7 @@ def portfolio_latest(
         )
     )
     return (
-        release_families(listing)
-        .join(ranked, "release")
+        pairs.join(ranked, "release")
         .groupBy("family")
         .agg(F.max_by("release", "ord").alias("version"))
     )

@@ -108,7 +108,8 @@ def corpus_report(tree: DataFrame, include: Sequence[str] = (),
     """Everything a bulk fetch reports about a stored tree table."""
     text = details.with_text(tree)
     summary = corpus.variant_summary(tree)
-    mirrored = mirror.mirror(text, include=include, exclude=exclude)
+    # Stored, as the counts and the layout are taken from it too.
+    mirrored = materialize(mirror.mirror(text, include=include, exclude=exclude), "mirror")
     counts = mirror.mirror_counts(mirrored)
     return CorpusReport(
         corpus.summary_totals(summary),

@@ -8,9 +8,8 @@ from pyspark.sql import functions as F
 from partatlas.constants import (
     CANONICAL_VARIANT,
     DEVICETREE_SCRIPTS,
-    INVENTORY_HEAD,
+    KEY_FILES,
     OPTIONAL_SECTIONS,
-    SDK_VARIANTS,
 )
 from partatlas.operators.corpus import (
     KEY,
@@ -20,17 +19,10 @@ from partatlas.operators.corpus import (
     top_directory,
 )
 
-VARIANT_NOTES = {
-    SDK_VARIANTS[0]: "Canonical data set for silicon facts: registers, pins, clocks, packages.",
-    SDK_VARIANTS[1]: "Carries device-tree code generation scripts, but no device-tree sources.",
-    SDK_VARIANTS[2]: "Data set for Linux; application processors add memory set-up folders.",
-}
-NOTES = (
-    "Namespaces are identifiers only; no schema documents are published for them.",
-    "All variants of a part describe the same silicon; "
-    f"{CANONICAL_VARIANT} is the canonical one.",
-    "Use the details table for parsed facts.",
-)
+def _step(code: str, *args: Column) -> Column:
+    """A step of the guide: a code and what it is about, for a caller to word."""
+    values = F.array(*[F.coalesce(a, F.lit("")) for a in args]) if args else F.array().cast("array<string>")
+    return F.struct(F.lit(code).alias("code"), values.alias("args"))
 
 
 def _layout(tree: DataFrame) -> DataFrame:
@@ -62,44 +54,30 @@ def _layout(tree: DataFrame) -> DataFrame:
 
 
 def _guide() -> Column:
-    names = F.array_join(
-        F.filter(
-            F.array(*[F.when(F.col(f"optional_sections.{s}"), s) for s in OPTIONAL_SECTIONS]),
-            lambda s: s.isNotNull(),
-        ),
-        ", ",
-    )
-    note = None
-    for variant, text in VARIANT_NOTES.items():
-        hit = F.col("variant") == variant
-        note = F.when(hit, text) if note is None else note.when(hit, text)
-    steps = [
-        F.concat(F.lit("Files of part "), "part", F.lit(" as variant "), "variant", F.lit(".")),
-        F.concat(F.lit("The header is "), "part", F.lit(".xml.")),
-        F.lit("CPU cores are listed in common/cores_info.xml; "
-              "a Cortex-A core marks an application processor."),
-        F.when(
-            F.size("packages") > 0,
-            F.concat(F.lit("Package folders with a manifest each: "),
-                     F.array_join("packages", ", "), F.lit(".")),
-        ),
-        note,
-        F.when(F.size(F.map_keys("codegen.devicetree")) > 0,
-               F.lit("Device-tree scripts are named in codegen.devicetree.")),
-        F.when(names != "", F.concat(F.lit("Optional sections: "), names, F.lit("."))),
-        F.lit("Namespaces in use are listed in xml_namespaces."),
-    ]
-    return F.array_compact(F.array(*steps))
+    """What a tree offers, as codes: where to begin, what is there, what is special."""
+    sections = F.array_join(F.array_compact(F.array(*[
+        F.when(F.col(f"optional_sections.{s}"), s) for s in OPTIONAL_SECTIONS])), " ")
+    packages, scripts = F.array_join("packages", " "), F.array_join(F.map_keys("codegen.devicetree"), " ")
+    return F.array_compact(F.array(
+        _step("tree", F.col("part"), F.col("variant")),
+        _step("header", F.concat("part", F.lit(".xml"))),
+        _step("cores", F.lit(KEY_FILES["cores_info"])),
+        _step("canonical", (F.col("variant") == CANONICAL_VARIANT).cast("string")),
+        F.when(packages != "", _step("packages", packages)),
+        F.when(scripts != "", _step("devicetree", scripts)),
+        F.when(sections != "", _step("sections", sections)),
+        _step("namespaces", F.size("xml_namespaces").cast("string")),
+    ))
 
 
 def roadmap(tree: DataFrame, xml_files: DataFrame, xml: str = "xml") -> DataFrame:
-    """Layout and namespaces of every tree, with a guide and notes.
+    """Layout and namespaces of every tree, with a guide made of codes.
 
     Layout reads paths only. Namespaces are made distinct before they are
     gathered, and both sides are partitioned by the tree key when they meet.
     """
     spaces = (
-        namespace_inventory(xml_files, xml, INVENTORY_HEAD)
+        namespace_inventory(xml_files, xml)
         .groupBy(*KEY)
         .agg(
             F.sort_array(
@@ -121,13 +99,13 @@ def roadmap(tree: DataFrame, xml_files: DataFrame, xml: str = "xml") -> DataFram
         F.concat(p, F.lit("/")).alias("directory"),
         F.concat(p, F.lit(".xml")).alias("manifest"),
     )
-    return _layout(tree).join(spaces, KEY, "left").select(
+    rows = _layout(tree).join(spaces, KEY, "left")
+    return rows.withColumn("xml_namespaces", F.coalesce("xml_namespaces", empty)).select(
         *KEY,
         _guide().alias("guide"),
         "key_files",
         "optional_sections",
         F.transform("packages", package).alias("package_variants"),
         "codegen",
-        F.coalesce("xml_namespaces", empty).alias("xml_namespaces"),
-        F.array(*[F.lit(n) for n in NOTES]).alias("notes"),
+        "xml_namespaces",
     )

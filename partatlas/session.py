@@ -1,10 +1,10 @@
-"""Session settings, shared work folder and size-checked driver reads."""
+"""Session settings and the shared work folder."""
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(master: str | None = None, app: str = "partatlas", **conf: str) -> SparkSession:
@@ -42,16 +42,6 @@ def work_dir(spark: SparkSession, label: str) -> str:
     return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
 
 
-def collect_bounded(df: DataFrame, bound: int) -> list[Row] | None:
-    """The rows of ``df`` if there are at most ``bound``, else None.
-
-    No more than ``bound + 1`` rows ever reach the driver; callers use the
-    result only to choose between a broadcast form and a shuffled form.
-    """
-    rows = df.limit(bound + 1).collect()
-    return rows if len(rows) <= bound else None
-
-
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """``df`` written to the shared work folder and read back.
 
@@ -61,13 +51,3 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = work_dir(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def spread(scan: DataFrame) -> DataFrame:
-    """A scan with at least one partition per core.
-
-    Only an input of fewer splits than cores is repartitioned; a large input
-    stays as it is. Meant for scans with row-wise steps, before any shuffle.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan

@@ -84,14 +84,14 @@ def write_records(df: DataFrame, path: str) -> None:
 
 
 def write_mirror(mirror: DataFrame, path: str) -> None:
-    """One JSON record per converted file, in one folder per part and variant.
+    """One JSON record per converted file, in one folder per release, part and variant.
 
     The rebalance hint spreads a part that holds most files over many tasks and
     keeps small parts together, so the number of files written stays low.
     """
     (
-        mirror.hint("rebalance", "part", "variant")
+        mirror.hint("rebalance", "release", "part", "variant")
         .write.mode("overwrite")
-        .partitionBy("part", "variant")
+        .partitionBy("release", "part", "variant")
         .json(path)
     )

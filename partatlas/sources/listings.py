@@ -72,6 +72,15 @@ def _exploded(df: DataFrame, xml: str, tag: str, fields: str, keep: tuple[str, .
     return rows.select(*keep, "row.*")
 
 
+def broken_documents(df: DataFrame, xml: str = "xml") -> DataFrame:
+    """Rows whose document is missing or does not parse; the readers below give no
+    row for them."""
+    parsed = F.from_xml(F.col(xml), "_bad string", {
+        "ignoreNamespace": "true", "columnNameOfCorruptRecord": "_bad"})
+    bad = F.col(xml).isNull() | (strip(xml) == "") | parsed.getField("_bad").isNotNull()
+    return df.filter(F.coalesce(bad, F.lit(True)))
+
+
 def releases_from_xml(df: DataFrame, xml: str = "xml") -> DataFrame:
     """Release rows out of a column that holds whole release documents."""
     return typed_releases(_exploded(df, xml, "tool_version", RELEASE_FIELDS, ()))

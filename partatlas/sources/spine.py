@@ -16,6 +16,7 @@ _OPTIONS = {
     "attributePrefix": "@",
     "valueTag": "#text",
     "ignoreNamespace": "true",
+    "ignoreSurroundingSpaces": "false",
     "columnNameOfCorruptRecord": "_bad",
 }
 # Children that may repeat are arrays; the last one counts where one is meant.

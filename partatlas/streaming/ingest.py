@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partatlas.functions.text import strip, version_key
-from partatlas.operators.releases import is_family_entry
+from partatlas.operators.releases import is_family_entry, portfolio_of_pairs
 from partatlas.sources.trees import tree_columns
 
 _BINARY_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
@@ -42,53 +41,31 @@ def incremental_ingest(stream: DataFrame, sink: str, checkpoint: str) -> None:
     )
 
 
-def streaming_portfolio(listing: DataFrame, releases: DataFrame,
-                        include_unpublished: bool = False) -> DataFrame:
-    """Running portfolio of a stream of listing rows.
+def streaming_portfolio(listing: DataFrame) -> DataFrame:
+    """New (release, family) pairs of a stream of listing rows.
 
-    State is one row per family. No watermark is needed: a late listing of an
-    older release cannot win against a newer one.
+    State is one row per pair, whatever releases are published so far: which of a
+    family's releases counts is decided on reading, so a listing may come before its
+    release is published. No watermark is needed, a pair is never taken back.
     """
-    kept = releases.filter(F.col("name") != "")
-    if not include_unpublished:
-        kept = kept.filter(strip("version") != "")
-    ranked = kept.groupBy("name").agg(F.max("api_id").alias("api_id")).select(
-        F.col("name").alias("release"),
-        F.struct(version_key("name").alias("key"), F.col("api_id").alias("api_id")).alias("ord"),
-    )
     return (
         listing.filter(is_family_entry())
         .select("release", F.col("name").alias("family"))
-        .join(ranked, "release")
-        .groupBy("family")
-        .agg(F.max(F.struct("ord", "release")).alias("best"))
+        .dropDuplicates(["release", "family"])
     )
 
 
 def run_portfolio_stream(portfolio: DataFrame, log: str, checkpoint: str) -> None:
-    """Write each batch's changed families to a log table and stop.
+    """Append each batch's new pairs to a log table and stop.
 
-    A batch overwrites its own folder, so that repeating it changes nothing.
+    A pair is written once, so the log is no larger than the state. The file sink
+    commits a batch once, also when it is repeated.
     """
+    incremental_ingest(portfolio, log, checkpoint)
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{log}/batch={batch_id}")
 
-    (
-        portfolio.writeStream.outputMode("update")
-        .foreachBatch(write)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-        .awaitTermination()
-    )
-
-
-def read_portfolio_log(spark: SparkSession, log: str) -> DataFrame:
-    """Current portfolio: the best release each family has reached in the log."""
-    return (
-        spark.read.parquet(log)
-        .groupBy("family")
-        .agg(F.max("best").alias("best"))
-        .select("family", F.col("best.release").alias("version"))
-    )
+def read_portfolio_log(spark: SparkSession, log: str, releases: DataFrame,
+                       include_unpublished: bool = False) -> DataFrame:
+    """Portfolio of the pairs seen so far and of the releases as they are now."""
+    pairs = spark.read.schema("release string, family string").parquet(log)
+    return portfolio_of_pairs(releases, pairs, include_unpublished)

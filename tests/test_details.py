@@ -42,10 +42,10 @@ def root(tmp_path_factory):
         "P1.xml": HEADER.format(part="P1"),
         "common/cores_info.xml": CORES.format(core="Cortex-M33"),
         "processor.properties": "; c\n#x=1\n\n a = 1 \r\nb==2\nnone\na=3 k=v",
-        "P1_Q48.xml": MANIFEST.format(id='id="P1_Q48"', p="Q48"),
-        "P1_Q48/part_info.xml": "<part_info/>",
-        "P1_Q32.xml": MANIFEST.format(id='id="P1_Q32"', p="Q32"),
-        "P1_Q32/part_info.xml": "<part_info/>",
+        "P1_R64.xml": MANIFEST.format(id='id="P1_R64"', p="R64"),
+        "P1_R64/part_info.xml": "<part_info/>",
+        "P1_R20.xml": MANIFEST.format(id='id="P1_R20"', p="R20"),
+        "P1_R20/part_info.xml": "<part_info/>",
         "P1_LOOSE.xml": MANIFEST.format(id="", p="L"),
         "P1_LOOSE/other.xml": "<r xmlns='ignored'/>",
         "P1_ALONE/part_info.xml": "<part_info/>",
@@ -84,7 +84,7 @@ def test_details(tree):
     assert [tuple(c) for c in row.cores] == [("Cortex-M33", "c0", "main"), ("DSP", "", "")]
     assert row.properties == {"a": "3", "b": "=2", "k": "v"}
     assert [(v.variant, v.package, v.directory) for v in row.variants] == [
-        ("P1_Q32", "packages/Q32.xml", "P1_Q32"), ("P1_Q48", "packages/Q48.xml", "P1_Q48")]
+        ("P1_R20", "packages/R20.xml", "P1_R20"), ("P1_R64", "packages/R64.xml", "P1_R64")]
     assert got["P1", "zephyr3_2"].is_application_processor
     assert got["P1", "zephyr3_2"].properties == {} and got["P1", "zephyr3_2"].variants == []
     assert {k: r.status for k, r in got.items() if k[0] != "P1"} == {
@@ -99,9 +99,9 @@ def test_package_variants_strict_and_loose(tree):
         D.link_by_type("db_links", "package").link.alias("first"),
         D.link_by_type("db_links", "none").isNull().alias("missing")).collect()
     assert {tuple(r) for r in strict} == {
-        ("P1_Q48", "P1_Q48", True, "packages/Q48.xml", True), ("P1_Q32", "P1_Q32", True, "packages/Q32.xml", True)}
+        ("P1_R64", "P1_R64", True, "packages/R64.xml", True), ("P1_R20", "P1_R20", True, "packages/R20.xml", True)}
     loose = C.layout_variants(tree).filter("part = 'P1'").select("package").collect()
-    assert {r.package for r in loose} == {"P1_Q48", "P1_Q32", "P1_LOOSE"}
+    assert {r.package for r in loose} == {"P1_R64", "P1_R20", "P1_LOOSE"}
 
 
 def test_details_with_fetched_keeps_errors(tree):
@@ -128,7 +128,7 @@ def test_roadmap(tree):
     assert row.key_files == {"header": "P1.xml", "cores_info": "common/cores_info.xml",
                              "processor_properties": "processor.properties"}
     assert row.optional_sections.asDict() == {"security": True, "dcdx": False, "ddr": False, "mem_validation": False}
-    assert [v.variant for v in row.package_variants] == ["P1_LOOSE", "P1_Q32", "P1_Q48"]
+    assert [v.variant for v in row.package_variants] == ["P1_LOOSE", "P1_R20", "P1_R64"]
     assert row.codegen.scripts_root == "scripts/" and row.codegen.categories == ["pins"]
     assert row.codegen.devicetree == {"pins": "scripts/pins/zephyr_pins_print_code.js"}
     spaces = [(n.family, n.version, n.prefix, n.label) for n in row.xml_namespaces]
@@ -213,3 +213,37 @@ def test_spine_scan_reads_paths_only(tree):
 
 def test_missing_content_column_is_not_needed(tree):
     assert C.key_files(tree.drop("content")).filter(F.col("part") == "P1").count() == 5
+
+
+def test_spaces_inside_attributes_stay(table):
+    rows = table("release string, part string, variant string, relpath string, xml string",
+                 ("1", "P", "v", "P.xml", '<p><basic_facts id=" P " producer="A  B"/><target_products>'
+                  "<product>  x </product></target_products></p>"),
+                 ("1", "P", "v", "common/cores_info.xml", '<c><core name=" M4 " id="0 "/></c>'))
+    row = D.assemble_details(rows).first()
+    assert (row.header.part, row.header.producer, row.header.target_products) == (" P ", "A  B", ["x"])
+    assert [(c.name, c.core_id) for c in row.cores] == [(" M4 ", "0 ")]
+
+
+def test_a_tree_without_any_spine_file_has_a_row(table):
+    rows = table("release string, part string, variant string, relpath string, xml string",
+                 ("1", "P", "v", "docs/readme.txt", "x"), ("1", "P", "v", "registers/a.xml", "<a/>"))
+    got = D.assemble_details(rows).collect()
+    assert [(r.part, r.status, r.cores, r.variants) for r in got] == [("P", "missing_header", [], [])]
+
+
+def test_newest_release_of_the_canonical_variant(table):
+    summary = table("release string, part string, variant string, files long, size_bytes long",
+                    ("25.12", "P", "ksdk2_0", 1, 1), ("26.3", "P", "ksdk2_0", 1, 1), ("26.10", "P", "ksdk2_0", 1, 1),
+                    ("27.1", "P", "zephyr3_2", 1, 1), ("9.9", "Q", "zephyr3_2", 1, 1), ("10.1", "Q", "zephyr3_2", 1, 1))
+    tree = table("release string, part string, variant string, relpath string, xml string")
+    got = {r.part: (r.variant, r.release, len(r.fetched_variants))
+           for r in D.details_with_fetched(D.assemble_details(tree), summary).collect()}
+    assert got == {"P": ("ksdk2_0", "26.10", 4), "Q": ("zephyr3_2", "10.1", 2)}
+
+
+def test_totals_of_nothing(table):
+    tree = table("release string, part string, variant string, relpath string, length long")
+    row = C.summary_totals(C.variant_summary(tree)).first()
+    assert (row.is_total, row.parts, row.variants, row.files, row.size_bytes) == (True, 0, 0, 0, 0)
+    assert [(r.is_total, r.files) for r in C.tree_census(tree).collect()] == [(True, 0)]

@@ -11,9 +11,9 @@ from partatlas.session import work_dir
 from partatlas.sources.catalog import write_mirror
 
 CASES = {
-    '<?xml version="1.0"?><p xmlns="http://v/2.0"><f part="A1"/></p>':
-        {"p": {"@_xmlns": {"": "http://v/2.0"}, "f": {"@part": "A1"}}},
-    "<root><name>A1</name></root>": {"root": {"name": "A1"}},
+    '<menu xmlns="urn:kitchen"><!-- x --><dish code="7"><price/></dish><dish/></menu>':
+        {"menu": {"@_xmlns": {"": "urn:kitchen"}, "dish": [{"@code": "7", "price": None}, None]}},
+    "<shelf>\n<label>tools </label>\n<label>9</label></shelf>": {"shelf": {"label": ["tools", "9"]}},
     "<root/>": {"root": {"#text": None}},
     "<root> text </root>": {"root": {"#text": "text"}},
     '<root xmlns:a="u"> text </root>': {"root": {"@_xmlns": {"a": "u"}, "#text": "text"}},
@@ -50,19 +50,19 @@ def test_on_a_column(spark):
 def files(table):
     return table(
         "release string, part string, variant string, relpath string, xml string",
-        ("1", "P", "v", "registers/adc.xml", "<root/>"), ("1", "P", "v", "registers/uart.xml", "<root/>"),
-        ("1", "P", "v", "packages/qfn.xml", "<root/>"), ("1", "P", "w", "bad.xml", "<root>"),
-        ("1", "P", "w", "x/registers/a/b.xml", "<root/>"), ("1", "P", "v", "notes.txt", "no xml"),
+        ("1", "P", "v", "blocks/alpha.xml", "<root/>"), ("1", "P", "v", "blocks/beta.xml", "<root/>"),
+        ("1", "P", "v", "shapes/round.xml", "<root/>"), ("1", "P", "w", "bad.xml", "<root>"),
+        ("1", "P", "w", "x/blocks/a/b.xml", "<root/>"), ("1", "P", "v", "notes.txt", "no xml"),
     )
 
 
 def test_globs_filter_before_conversion(files):
-    got = X.mirror(files, include=["registers/*.xml"], exclude=["registers/uart.xml"]).collect()
+    got = X.mirror(files, include=["blocks/*.xml"], exclude=["blocks/beta.xml"]).collect()
     assert [(r.relpath, r.path, r.parse_ok) for r in got] == [
-        ("registers/adc.xml", "P/json/v/registers/adc.json", True)]
-    deep = X.mirror(files, include=["**/registers/**"]).collect()
-    assert [r.relpath for r in deep] == ["x/registers/a/b.xml"]
-    plan = X.mirror(files, include=["registers/*.xml"])._jdf.queryExecution().executedPlan().toString()
+        ("blocks/alpha.xml", "1/P/json/v/blocks/alpha.json", True)]
+    deep = X.mirror(files, include=["**/blocks/**"]).collect()
+    assert [r.relpath for r in deep] == ["x/blocks/a/b.xml"]
+    plan = X.mirror(files, include=["blocks/*.xml"])._jdf.queryExecution().executedPlan().toString()
     assert plan.index("ArrowEvalPython") < plan.index("RLIKE")
 
 

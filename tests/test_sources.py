@@ -8,17 +8,17 @@ import pytest
 from pyspark.sql import functions as F
 
 from partatlas.operators import releases as R
-from partatlas.session import collect_bounded, spread, work_dir
+from partatlas.session import work_dir
 from partatlas.sources import catalog as cat
 from partatlas.sources.archives import scan_archives
-from partatlas.sources.listings import scan_listing, scan_releases
+from partatlas.sources.listings import broken_documents, listing_from_xml, scan_listing, scan_releases
 from partatlas.sources.trees import read_tree, scan_tree, tree_keys, write_tree
 
 RELEASES = """<?xml version="1.0"?>
 <tool_versions>
-  <tool_version><api_id> 1 </api_id><name>25.6.0</name><version>v1</version></tool_version>
-  <tool_version><api_id>2</api_id><name> 25.12.10 </name><version>v2</version></tool_version>
-  <tool_version><api_id>x</api_id><name>26.3.0</name><version></version></tool_version>
+  <tool_version><api_id>x</api_id><name>27.1.0</name><version></version></tool_version>
+  <tool_version><api_id>2</api_id><name> 24.10.3 </name><version>b</version></tool_version>
+  <tool_version><api_id> 1 </api_id><name>24.9.1</name><version>a</version></tool_version>
   <tool_version><api_id>4</api_id><name></name><version>v4</version></tool_version>
 </tool_versions>"""
 
@@ -35,7 +35,7 @@ def listing_xml(*entries):
 def store(tmp_path):
     (tmp_path / "releases").mkdir()
     (tmp_path / "releases" / "r.xml").write_text(RELEASES)
-    for release, families in {"25.6.0": "AB", "25.12.10": "BC", "26.3.0": "CD"}.items():
+    for release, families in {"24.9.1": "AB", "24.10.3": "BC", "27.1.0": "CD"}.items():
         folder = tmp_path / "listing" / release
         folder.mkdir(parents=True)
         entries = [(f"/t/processors/{f}", "True", 7, "") for f in families]
@@ -49,13 +49,13 @@ def store(tmp_path):
 
 def test_releases(spark, store):
     rows = {r.name: r for r in scan_releases(spark, f"{store}/releases").collect()}
-    assert rows["25.12.10"].api_id == 2 and rows["25.12.10"].stable
-    assert rows["26.3.0"].api_id == 0 and not rows["26.3.0"].stable
-    assert rows["26.3.0"].version == ""
+    assert rows["24.10.3"].api_id == 2 and rows["24.10.3"].stable
+    assert rows["27.1.0"].api_id == 0 and not rows["27.1.0"].stable
+    assert rows["27.1.0"].version == ""
     table = scan_releases(spark, f"{store}/releases")
-    assert R.latest_release(table).first().name == "25.12.10"
-    assert R.latest_release(table, include_unpublished=True).first().name == "26.3.0"
-    assert [r.name for r in R.sort_releases(table).collect()] == ["", "25.6.0", "25.12.10", "26.3.0"]
+    assert R.latest_release(table).first().name == "24.10.3"
+    assert R.latest_release(table, include_unpublished=True).first().name == "27.1.0"
+    assert [r.name for r in R.sort_releases(table).collect()] == ["", "24.9.1", "24.10.3", "27.1.0"]
     nothing = R.latest_release(table.filter("api_id > 9")).first()
     assert (nothing.name, nothing.status) == (None, "no_release")
 
@@ -70,17 +70,17 @@ def test_version_ties(table):
 
 def test_listing_and_portfolio(spark, store):
     listing = scan_listing(spark, f"{store}/listing/*")
-    row = listing.filter("release = '25.6.0' AND name = 'A'").first()
+    row = listing.filter("release = '24.9.1' AND name = 'A'").first()
     assert row.directory and row.time == 7 and row.size is None and row.compression == ""
-    late = listing.filter("release = '25.6.0' AND full_path LIKE '%zephyr%'").first()
+    late = listing.filter("release = '24.9.1' AND full_path LIKE '%zephyr%'").first()
     assert not late.directory and late.time is None and late.size == 12
     releases = scan_releases(spark, f"{store}/releases")
     portfolio = R.portfolio_latest(releases, listing)
     assert {tuple(r) for r in portfolio.collect()} == {
-        ("A", "25.6.0"), ("B", "25.12.10"), ("C", "25.12.10")}
+        ("A", "24.9.1"), ("B", "24.10.3"), ("C", "24.10.3")}
     everything = R.portfolio_latest(releases, listing, include_unpublished=True)
-    assert {tuple(r) for r in everything.collect()} >= {("C", "26.3.0"), ("D", "26.3.0")}
-    assert [r.family for r in R.families_of_release(listing, "25.12.10").collect()] == ["B", "C"]
+    assert {tuple(r) for r in everything.collect()} >= {("C", "27.1.0"), ("D", "27.1.0")}
+    assert [r.family for r in R.families_of_release(listing, "24.10.3").collect()] == ["B", "C"]
     assert [r.family for r in R.families_of_release(portfolio=portfolio, limit=2).collect()] == ["A", "B"]
     found = {r.part: r.variants for r in R.build_catalog(portfolio, listing=listing, probe=True).collect()}
     assert found == {"A": ["ksdk2_0", "zephyr3_2"], "B": ["ksdk2_0", "zephyr3_2"], "C": []}
@@ -171,8 +171,20 @@ def test_snapshots_and_records(spark, table, tmp_path):
     assert [r.value for r in spark.read.text(out).collect()] == ['{"a":null,"b":["x"]}']
 
 
-def test_driver_reads_stop_at_the_bound(spark):
-    assert collect_bounded(spark.range(10), 9) is None
-    assert len(collect_bounded(spark.range(10), 10)) == 10
-    assert spread(spark.range(0, 5, 1, 1)).rdd.getNumPartitions() == 8
-    assert spread(spark.range(0, 50, 1, 30)).rdd.getNumPartitions() == 30
+def test_documents_that_do_not_parse_are_named(table):
+    good = "<dir><entry><full_path>/t/processors/F</full_path><directory>true</directory></entry></dir>"
+    rows = table("release string, xml string", ("1", good), ("2", good[:-8]), ("3", None), ("4", " "), ("5", "no xml"), ("6", "<dir/>"))
+    assert {r.release for r in broken_documents(rows).collect()} >= {"2", "3", "4"}
+    assert not {r.release for r in broken_documents(rows).collect()} & {"1", "6"}
+    assert [r.release for r in listing_from_xml(rows, "xml", "release").collect()] == ["1"]
+
+
+def test_a_damaged_stream_is_quarantined(spark, tmp_path):
+    blob = bytearray(archive(first="fine" * 500, second="abcdefgh" * 4000))
+    at = blob.index(b"second") + 20
+    blob[at : at + 40] = b"\xff" * 40
+    (tmp_path / "bad.zip").write_bytes(bytes(blob))
+    (tmp_path / "good.zip").write_bytes(archive(a="1"))
+    scan = scan_archives(spark, str(tmp_path))
+    assert [bytes(r.content) for r in scan.members.collect()] == [b"1"]
+    assert [r.archive.rsplit("/", 1)[1] for r in scan.quarantine.collect()] == ["bad.zip"]

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 from partatlas.operators.releases import portfolio_latest
 from partatlas.session import work_dir
@@ -50,8 +51,12 @@ def test_portfolio_follows_late_and_new_listings(spark, table, releases, tmp_pat
     for rows in batches:
         table(LISTING, *rows).coalesce(1).write.mode("append").parquet(source)
         stream = spark.readStream.schema(LISTING).parquet(source)
-        run_portfolio_stream(streaming_portfolio(stream, releases), f"{out}/log", f"{out}/check")
-        seen.append({tuple(r) for r in read_portfolio_log(spark, f"{out}/log").collect()})
+        run_portfolio_stream(streaming_portfolio(stream), f"{out}/log", f"{out}/check")
+        seen.append({tuple(r) for r in read_portfolio_log(spark, f"{out}/log", releases).collect()})
     assert seen == [{("A", "25.12")}, {("A", "25.12"), ("B", "25.6")}, {("A", "25.12"), ("B", "25.12")}]
     batch = portfolio_latest(releases, spark.read.parquet(source))
     assert {tuple(r) for r in batch.collect()} == seen[-1]
+    # A listing that came before its release was published counts from then on.
+    later = releases.withColumn("version", F.lit("v"))
+    now = read_portfolio_log(spark, f"{out}/log", later)
+    assert {tuple(r) for r in now.collect()} == {("A", "25.12"), ("B", "26.1")}

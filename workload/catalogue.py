@@ -7,14 +7,20 @@ from pyspark.sql import functions as F
 from partatlas.operators import releases as R
 from partatlas.session import work_dir
 from partatlas.sources import catalog as cat
-from partatlas.sources.listings import listing_from_xml, releases_from_xml
+from partatlas.sources.listings import (
+    broken_documents,
+    listing_from_xml,
+    releases_from_xml,
+    scan_listing,
+    scan_releases,
+)
 from partatlas.streaming.ingest import (
     read_portfolio_log,
     run_portfolio_stream,
     streaming_portfolio,
 )
 from workload.registry import query
-from workload.views import spark_text, wide_view
+from workload.views import spark_text
 from workload.views import spark_view as view
 
 KEY_SQL = (
@@ -189,7 +195,7 @@ RELEASE_XML = """
         UNION ALL SELECT 0, o_orderstatus, '', false, '-1' FROM v_orders""",
 )
 def _(spark, sf):
-    rows = releases_from_xml(wide_view(spark, sf, RELEASE_XML))
+    rows = releases_from_xml(view(spark, sf, RELEASE_XML))
     return rows.withColumn("version_key", joined("version_key"))
 
 
@@ -213,20 +219,66 @@ LISTING_XML = """
        FROM v_orders""",
 )
 def _(spark, sf):
-    return listing_from_xml(wide_view(spark, sf, LISTING_XML), "xml", "release")
+    return listing_from_xml(view(spark, sf, LISTING_XML), "xml", "release")
+
+
+@query(
+    "broken_documents",
+    "SELECT o_orderkey FROM v_orders WHERE o_custkey % 5 = 0 OR o_custkey % 7 = 0 OR o_custkey % 11 = 0",
+)
+def _(spark, sf):
+    rows = view(spark, sf, """
+        SELECT o_orderkey, CASE WHEN o_custkey % 5 = 0 THEN concat('<dir><entry>', name, '</dir>')
+               WHEN o_custkey % 7 = 0 THEN CAST(NULL AS string) WHEN o_custkey % 11 = 0 THEN '  '
+               ELSE concat('<dir><entry>', name, '</entry></dir>') END AS xml FROM v_orders""")
+    return broken_documents(rows).select("o_orderkey")
+
+
+@query(
+    "scanned_releases",
+    f"""SELECT o_orderkey AS api_id, name, CASE WHEN d % 3 = 0 THEN '' ELSE name END AS version,
+               d % 3 <> 0 AS stable, array_to_string({KEY_SQL}, ',') AS version_key
+        FROM v_orders
+        UNION ALL SELECT 0, o_orderstatus, '', false, '-1' FROM v_orders""",
+)
+def _(spark, sf):
+    path = work_dir(spark, "release-files")
+    view(spark, sf, """
+        SELECT concat(' ', CAST(o_orderkey AS string), ' ') AS api_id, concat(' ', name, ' ') AS name,
+               CASE WHEN d % 3 = 0 THEN '' ELSE name END AS version FROM v_orders
+        UNION ALL SELECT 'none', o_orderstatus, CAST(NULL AS string) FROM v_orders""",
+    ).write.format("xml").options(rootTag="tool_versions", rowTag="tool_version").save(path)
+    return scan_releases(spark, path).withColumn("version_key", joined("version_key"))
+
+
+@query(
+    "scanned_listing",
+    """SELECT 'R 1' AS release, CAST(o_orderkey AS string) AS file_id,
+              concat('/store/processors/F', CAST(o_custkey AS string)) AS full_path, true AS directory,
+              o_orderkey AS time, CAST(NULL AS bigint) AS size, '' AS compression,
+              concat('F', CAST(o_custkey AS string)) AS name
+       FROM v_orders
+       UNION ALL SELECT 'R 1', '', concat('/store/', o_orderstatus), false, NULL, 7, '', o_orderstatus
+       FROM v_orders""",
+)
+def _(spark, sf):
+    path = work_dir(spark, "listing-files")
+    view(spark, sf, """
+        SELECT CAST(o_orderkey AS string) AS file_id, concat('/store/processors/F', CAST(o_custkey AS string)) AS full_path,
+               ' TRUE ' AS directory, CAST(o_orderkey AS string) AS time, '' AS size FROM v_orders
+        UNION ALL SELECT CAST(NULL AS string), concat('/store/', o_orderstatus), 'false', 'now', ' 7 ' FROM v_orders""",
+    ).write.format("xml").options(rootTag="dir", rowTag="entry").save(path)
+    return scan_listing(spark, path, release="R 1")
 
 
 @query("streaming_portfolio", PORTFOLIO_SQL)
 def _(spark, sf):
-    # The order file is read as a stream; its rows become listing entries.
-    orders = (
-        spark.readStream.schema(spark.read.parquet(f"{sf}/orders.parquet").schema)
-        .option("pathGlobFilter", "orders.parquet")
-        .parquet(sf)
-    )
-    orders.createOrReplaceTempView("stream_orders")
-    text = spark_text("SELECT * FROM v_listing", orders="stream_orders")
+    # Orders come in two batches, odd customers first; they become listing entries.
+    given = spark.read.parquet(f"{sf}/orders.parquet")
     run = work_dir(spark, "portfolio")
-    running = streaming_portfolio(spark.sql(text), view(spark, sf, "v_releases"))
-    run_portfolio_stream(running, f"{run}/log", f"{run}/checkpoint")
-    return read_portfolio_log(spark, f"{run}/log")
+    for rest in (1, 0):
+        given.filter(F.col("o_custkey") % 2 == rest).write.mode("append").parquet(f"{run}/orders")
+        spark.readStream.schema(given.schema).parquet(f"{run}/orders").createOrReplaceTempView("stream_orders")
+        text = spark_text("SELECT * FROM v_listing", orders="stream_orders")
+        run_portfolio_stream(streaming_portfolio(spark.sql(text)), f"{run}/log", f"{run}/checkpoint")
+    return read_portfolio_log(spark, f"{run}/log", view(spark, sf, "v_releases"))

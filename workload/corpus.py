@@ -14,14 +14,14 @@ from partatlas.sources.archives import scan_archive_rows
 from partatlas.sources.trees import read_tree, split_store_path, tree_keys, write_tree
 from partatlas.streaming.ingest import incremental_ingest
 from workload.registry import query
-from workload.views import spark_text, wide_view
+from workload.views import spark_text
 from workload.views import spark_view as view
 
 KEY = "release, part, variant"
 
 
 def tree(spark, sf):
-    return wide_view(spark, sf, "v_tree")
+    return view(spark, sf, "v_tree")
 
 
 @query(
@@ -169,16 +169,14 @@ DIFF_SQL = """
     SELECT coalesce(a.release, b.release) AS release, coalesce(a.part, b.part) AS part,
            coalesce(a.relpath, b.relpath) AS relpath,
            CASE WHEN b.part IS NULL THEN 'only_left' WHEN a.part IS NULL THEN 'only_right'
-                WHEN a.lang = b.lang THEN 'identical' ELSE 'different' END AS status
-    FROM (SELECT * FROM v_tree WHERE variant = 'ksdk2_0') a
-    FULL JOIN (SELECT * FROM v_tree WHERE variant = 'zephyr3_2') b
+                WHEN a.content = b.content THEN 'identical' ELSE 'different' END AS status
+    FROM (SELECT * FROM v_shared WHERE variant = 'ksdk2_0') a
+    FULL JOIN (SELECT * FROM v_shared WHERE variant = 'zephyr3_2') b
       ON a.release = b.release AND a.part = b.part AND a.relpath = b.relpath"""
 
 
 def diff(spark, sf):
-    # The language stands in for the content, so that equal files occur.
-    rows = tree(spark, sf).withColumn("content", F.col("lang"))
-    return C.variant_diff(rows, "ksdk2_0", "zephyr3_2")
+    return C.variant_diff(view(spark, sf, "SELECT * FROM v_shared"), "ksdk2_0", "zephyr3_2")
 
 
 @query("variant_diff", DIFF_SQL)
@@ -198,7 +196,7 @@ NS_SQL = f"""
     SELECT DISTINCT {KEY}, p AS prefix, u AS uri FROM (
         SELECT {KEY}, unnest(regexp_extract_all(head, 'xmlns(?::([[:word:].-]+))?[ ]*=[ ]*"([^"]+)"', 1)) AS p,
                unnest(regexp_extract_all(head, 'xmlns(?::([[:word:].-]+))?[ ]*=[ ]*"([^"]+)"', 2)) AS u
-        FROM (SELECT {KEY}, substr(xml, 1, 4096) AS head FROM v_tree WHERE relpath LIKE '%.xml'))"""
+        FROM (SELECT {KEY}, xml AS head FROM v_tree WHERE relpath LIKE '%.xml'))"""
 NS_SQL = NS_SQL.replace("p AS prefix", "coalesce(p, '') AS prefix")
 NS_FULL_SQL = f"""
     SELECT *, CASE WHEN family IN ('registers', 'clocks', 'part_number', 'processor', 'dcd') THEN family
@@ -268,7 +266,7 @@ def _(spark, sf):
 
 @query(
     "mirror_paths",
-    """SELECT doc_id, concat(part, '/json/', variant, '/', regexp_replace(relpath, '[.]xml$', '.json')) AS path FROM v_tree""",
+    """SELECT doc_id, concat(release, '/', part, '/json/', variant, '/', regexp_replace(relpath, '[.]xml$', '.json')) AS path FROM v_tree""",
 )
 def _(spark, sf):
     return tree(spark, sf).select("doc_id", X.mirror_path().alias("path"))
@@ -284,18 +282,25 @@ DOC_JSON = """
 
 @query("xml_to_json", f"SELECT doc_id, {DOC_JSON} AS json FROM v_doc_xml")
 def _(spark, sf):
-    return wide_view(spark, sf, "SELECT doc_id, xml FROM v_doc_xml").select("doc_id", xml_to_json("xml").alias("json"))
+    return view(spark, sf, "SELECT doc_id, xml FROM v_doc_xml").select("doc_id", xml_to_json("xml").alias("json"))
 
 
 def broken(spark, sf):
-    """The tree with the last character cut off some documents."""
-    return wide_view(spark, sf, """SELECT release, part, variant, relpath,
-        CASE WHEN n_chars % 4 = 0 THEN substr(xml, 1, length(xml) - 1) ELSE xml END AS xml FROM v_tree""")
+    """Trees in two releases, with the last character cut off some documents."""
+    return view(spark, sf, """SELECT release, part, variant, relpath,
+        CASE WHEN n_chars % 4 = 0 THEN substr(xml, 1, length(xml) - 1) ELSE xml END AS xml FROM v_again""")
 
 
+# Documents of the plainest kind as JSON, built from their parts.
+MIRROR_JSON = """
+    concat('{"registers":{"@_xmlns":{"r":"http://vendor.example/XSD/',
+           CASE p % 3 WHEN 0 THEN 'registers' WHEN 1 THEN 'clocks' ELSE 'pins' END, '/1.', CAST(p % 4 AS string),
+           '"},"@source":', CAST(to_json(source) AS string), ',"@lang":', CAST(to_json(lang) AS string), ',"p":[',
+           coalesce(CAST(to_json(nullif(regexp_replace(text, '^[[:space:]]+|[[:space:]]+$', '', 'g'), '')) AS string), 'null'),
+           ',"', CAST(n_chars AS string), '"],"e":null,"n":"k"}}')"""
 MIRRORED_SQL = """
-    SELECT part, variant, count(*) FILTER (n_chars % 4 <> 0) AS files_written FROM v_tree
-    WHERE relpath LIKE '%.xml' AND NOT relpath GLOB 'misc/*' GROUP BY part, variant"""
+    SELECT release, part, variant, count(*) FILTER (n_chars % 4 <> 0) AS files_written FROM v_again
+    WHERE relpath LIKE '%.xml' AND NOT relpath GLOB 'misc/*' GROUP BY release, part, variant"""
 
 
 @query("mirror_counts", MIRRORED_SQL)
@@ -305,26 +310,35 @@ def _(spark, sf):
 
 @query(
     "stored_mirror",
-    """SELECT part, variant, relpath, n_chars % 4 <> 0 AS parse_ok FROM v_tree WHERE relpath LIKE '%.xml'""",
+    f"""SELECT release, part, variant, relpath, n_chars % 4 <> 0 AS parse_ok,
+               CASE WHEN n_chars % 4 <> 0 AND slot IN (4, 6, 8, 9, 10, 12) THEN sha256({MIRROR_JSON}) END AS digest
+        FROM v_again WHERE relpath LIKE '%.xml'""",
 )
 def _(spark, sf):
     path = work_dir(spark, "mirror")
     cat.write_mirror(X.mirror(broken(spark, sf)), path)
     schema = "release string, relpath string, path string, json string, parse_ok boolean, part string, variant string"
-    return spark.read.schema(schema).json(path).select("part", "variant", "relpath", "parse_ok")
+    rows = spark.read.schema(schema).json(path).select(
+        "release", "part", "variant", "relpath", "parse_ok", F.sha2("json", 256).alias("digest"))
+    plain = view(spark, sf, """SELECT release, part, variant, relpath FROM v_again
+                               WHERE slot IN (4, 6, 8, 9, 10, 12) AND relpath LIKE '%.xml'""")
+    key = ["release", "part", "variant", "relpath"]
+    compared = rows.join(plain, key, "left_semi").unionByName(
+        rows.join(plain, key, "left_anti").withColumn("digest", F.lit(None).cast("string")))
+    return compared
 
 
 @query(
     "part_layout",
-    f"""SELECT part, string_agg(DISTINCT t.variant, ',' ORDER BY t.variant) AS xml_variants,
+    f"""SELECT release, part, string_agg(DISTINCT t.variant, ',' ORDER BY t.variant) AS xml_variants,
                coalesce(bool_or(files_written > 0), false) AS mirrored
-        FROM (SELECT DISTINCT part, variant FROM v_tree) t LEFT JOIN ({MIRRORED_SQL}) m USING (part, variant)
-        GROUP BY part""",
+        FROM (SELECT DISTINCT release, part, variant FROM v_again) t
+        LEFT JOIN ({MIRRORED_SQL}) m USING (release, part, variant) GROUP BY release, part""",
 )
 def _(spark, sf):
     counts = X.mirror_counts(X.mirror(broken(spark, sf), exclude=["misc/*"]))
-    rows = X.part_layout(C.variant_summary(tree(spark, sf)), counts)
-    return rows.select("part", F.array_join("xml_variants", ",").alias("xml_variants"), "mirrored")
+    rows = X.part_layout(C.variant_summary(view(spark, sf, "SELECT * FROM v_again")), counts)
+    return rows.select("release", "part", F.array_join("xml_variants", ",").alias("xml_variants"), "mirrored")
 
 
 @query(
@@ -338,7 +352,7 @@ def _(spark, sf):
     return cat.record_json(rows)
 
 
-@query("incremental_ingest", "SELECT release, part, variant, relpath, length FROM v_tree")
+@query("incremental_ingest", "SELECT release, part, variant, relpath, length, sha256(xml) AS digest FROM v_tree")
 def _(spark, sf):
     docs = (
         spark.readStream.schema(spark.read.parquet(f"{sf}/documents.parquet").schema)
@@ -346,12 +360,13 @@ def _(spark, sf):
         .parquet(sf)
     )
     docs.createOrReplaceTempView("stream_documents")
-    body = "SELECT release, part, variant, relpath, length FROM v_tree"
+    body = "SELECT release, part, variant, relpath, length, xml FROM v_tree"
     stream = spark.sql(spark_text(body, documents="stream_documents"))
     run = work_dir(spark, "ingest")
     for _ in range(2):  # the second run finds nothing new
         incremental_ingest(stream, f"{run}/tree", f"{run}/checkpoint")
-    return spark.read.parquet(f"{run}/tree")
+    return spark.read.parquet(f"{run}/tree").select(
+        "release", "part", "variant", "relpath", "length", F.sha2("xml", 256).alias("digest"))
 
 
 @query(
@@ -363,7 +378,7 @@ def _(spark, sf):
 def _(spark, sf):
     from workload.zips import pack
 
-    rows = wide_view(spark, sf, """
+    rows = view(spark, sf, """
         SELECT doc_id, concat('kex_tools/processors/', part, '/', variant, '/', relpath) AS a, xml,
                concat('./', source, chr(92), lang, '.txt') AS b, text FROM v_tree""")
     archives = rows.select(
@@ -383,7 +398,7 @@ def _(spark, sf):
 def _(spark, sf):
     from workload.zips import pack
 
-    rows = wide_view(spark, sf, """
+    rows = view(spark, sf, """
         SELECT doc_id, slot, CASE slot WHEN 1 THEN '../up.txt' WHEN 2 THEN 'dir/' ELSE 'a.txt' END AS a,
                CASE slot WHEN 2 THEN '' ELSE text END AS x, 'dir2/' AS b, '' AS y FROM v_tree""")
     content = F.when(F.col("slot") == 0, F.lit("no archive").cast("binary")).otherwise(pack("a", "x", "b", "y"))

@@ -56,13 +56,16 @@ def _(spark, sf):
 
 @query(
     "query_slugs",
-    """SELECT page_id, coalesce(nullif(regexp_replace(url, '[^A-Za-z0-9._-]+', '_', 'g'), ''), 'query') AS slug,
-              coalesce(nullif(regexp_replace(substr(url, 1, 0), '[^A-Za-z0-9._-]+', '_', 'g'), ''), 'query') AS blank
+    """SELECT page_id, regexp_replace(url, '[^A-Za-z0-9._-]+', '_', 'g') AS slug,
+              regexp_replace(url, '[^A-Za-z0-9._-]+', '_', 'g') AS padded, 'query' AS blank, '_' AS odd
        FROM pages""",
 )
 def _(spark, sf):
     return view(spark, sf, "SELECT page_id, url FROM {pages}").select(
-        "page_id", text.slug("url").alias("slug"), text.slug(F.substring("url", 1, 0)).alias("blank")
+        "page_id", text.slug("url").alias("slug"),
+        text.slug(F.concat(F.lit(" \t"), "url", F.lit("\n "))).alias("padded"),
+        text.slug(F.concat(F.substring("url", 1, 0), F.lit("  "))).alias("blank"),
+        text.slug(F.concat(F.substring("url", 1, 0), F.lit(" ?? "))).alias("odd"),
     )
 
 
@@ -119,14 +122,14 @@ def _(spark, sf):
                   unnest(regexp_extract_all(head, 'xmlns(?::([[:word:].-]+))?[ ]*=[ ]*"([^"]+)"', 1)) AS p,
                   unnest(regexp_extract_all(head, 'xmlns(?::([[:word:].-]+))?[ ]*=[ ]*"([^"]+)"', 2)) AS u,
                   generate_subscripts(regexp_extract_all(head, 'xmlns(?::([[:word:].-]+))?[ ]*=[ ]*"([^"]+)"', 2), 1) AS i
-           FROM (SELECT doc_id, substr(concat(substr(text, 1, 4070), xml), 1, 4096) AS head FROM v_tree))
+           FROM (SELECT doc_id, concat(text, xml, text) AS head FROM v_tree))
        GROUP BY doc_id, n""",
 )
 def _(spark, sf):
-    rows = view(spark, sf, "SELECT doc_id, concat(substr(text, 1, 4070), xml) AS x FROM v_tree")
+    rows = view(spark, sf, "SELECT doc_id, concat(text, xml, text) AS x FROM v_tree")
     pairs = F.transform(markup.xmlns_pairs("x"), lambda e: F.concat(e.prefix, F.lit("="), e.uri))
     return rows.select(
-        "doc_id", F.least(F.length("x"), F.lit(4096)).cast("bigint").alias("n"),
+        "doc_id", F.length("x").cast("bigint").alias("n"),
         F.array_join(pairs, " ").alias("pairs"), F.size(pairs).alias("k"),
     ).filter("k > 0").drop("k")
 

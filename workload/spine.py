@@ -11,7 +11,6 @@ from partatlas.sources.spine import db_links
 from workload.corpus import SUMMARY_SQL, tree
 from workload.registry import query
 from workload.views import spark_view as view
-from workload.views import wide_view
 
 KEY = "release, part, variant"
 
@@ -115,7 +114,7 @@ TEXT_ROWS = """(SELECT doc_id, replace(concat(text, chr(10), 'a=', lang, chr(10)
 def _(spark, sf):
     from partatlas.sources.spine import properties
 
-    rows = wide_view(spark, sf, f"SELECT * FROM {TEXT_ROWS}")
+    rows = view(spark, sf, f"SELECT * FROM {TEXT_ROWS}")
     return entries(rows.select("doc_id", properties("x").alias("properties")), "doc_id")
 
 
@@ -129,7 +128,7 @@ def _(spark, sf):
 
 
 DETAILS_SQL = f"""
-    WITH t AS (SELECT {KEY} FROM v_tree WHERE slot IN (0, 1, 2, 3, 4, 5, 10) OR relpath LIKE '%/part_info.xml' GROUP BY {KEY}),
+    WITH t AS (SELECT {KEY} FROM v_tree GROUP BY {KEY}),
          h AS (SELECT {KEY}, source AS producer FROM v_tree WHERE slot = 0),
          c AS (SELECT {KEY}, 2 AS n, n_chars % 2 = 0 AS app FROM v_tree WHERE slot = 1),
          s AS (SELECT {KEY}, string_agg(CASE WHEN slot = 5 AND n_chars % 5 = 0 THEN '' ELSE directory END, ',' ORDER BY directory) AS packages,
@@ -176,6 +175,22 @@ def _(spark, sf):
                        F.array_join(fetched, " ").alias("fetched"))
 
 
+# Every part in up to twelve releases, whose order as text is not that of their numbers.
+RELEASED = """SELECT concat('26.', CAST(n_chars % 12 AS string)) AS release, part, variant, relpath, length, xml FROM v_tree"""
+
+
+@query(
+    "details_newest_release",
+    """WITH s AS (SELECT part, variant, max(n_chars % 12) AS r FROM v_tree GROUP BY part, variant),
+            c AS (SELECT part, arg_min(variant, struct_pack(o := variant <> 'ksdk2_0', v := variant)) AS variant FROM s GROUP BY part)
+       SELECT part, variant, concat('26.', CAST(r AS string)) AS release FROM c JOIN s USING (part, variant)""",
+)
+def _(spark, sf):
+    rows = view(spark, sf, RELEASED)
+    found = D.details_with_fetched(D.assemble_details(rows), C.variant_summary(rows))
+    return found.select("part", "variant", "release")
+
+
 @query(
     "details_for_queries",
     f"""WITH d AS ({DETAILS_SQL}), q AS (SELECT DISTINCT concat(' ', lower(part)) AS query, part, concat('26.', CAST(p % 4 AS string)) AS release FROM v_docs)

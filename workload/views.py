@@ -8,7 +8,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from partatlas.session import spread
 
 VIEWS = {
     # Masked catalogue keys: one per part row, with no, one or two wildcards.
@@ -80,10 +79,10 @@ VIEWS = {
                CASE slot WHEN 0 THEN concat(part, '.xml')
                          WHEN 1 THEN 'common/cores_info.xml'
                          WHEN 2 THEN 'processor.properties'
-                         WHEN 3 THEN concat(part, '_Q48.xml')
-                         WHEN 4 THEN concat(part, '_Q48/part_info.xml')
-                         WHEN 5 THEN concat(part, '_Q32.xml')
-                         WHEN 6 THEN concat(part, '_Q32/',
+                         WHEN 3 THEN concat(part, '_R64.xml')
+                         WHEN 4 THEN concat(part, '_R64/part_info.xml')
+                         WHEN 5 THEN concat(part, '_R20.xml')
+                         WHEN 6 THEN concat(part, '_R20/',
                               CASE WHEN n_chars % 2 = 0 THEN 'part_info' ELSE 'signal' END, '.xml')
                          WHEN 7 THEN 'scripts/pins/zephyr_pins_print_code.js'
                          WHEN 8 THEN 'security/sec.xml'
@@ -91,17 +90,27 @@ VIEWS = {
                          WHEN 10 THEN 'module_clocks.xml'
                          WHEN 11 THEN concat('ddr/', lang, '.bin')
                          ELSE concat('misc/', CAST(doc_id AS string), '.xml') END AS relpath,
-               n_chars AS length, n_chars, doc_id, lang, source, slot, text,
+               n_chars AS length, n_chars, doc_id, lang, source, slot, text, p,
                CASE slot
                WHEN 0 THEN concat('<?xml version="1.0"?><h:processor xmlns:h="http://vendor.example/XSD/processor/2.0" xmlns:xsi="http://www.w3.org/2001/XMLSchema-instance"><basic_facts id="', part, '" producer="', source, '" family="', lang, '" series="S ', CAST(n_chars AS string), '"/><target_products><product>ONE</product><product> ', source, ' </product><product> </product></target_products><enabled_tools><enabled_tool>Pins</enabled_tool></enabled_tools><note>', esc, '</note></h:processor>')
                WHEN 1 THEN concat('<cores xmlns="http://vendor.example/XSD/processor/2.0/"><core name="', CASE WHEN n_chars % 2 = 0 THEN 'Cortex-A55' ELSE 'Cortex-M33' END, '" id="c', CAST(doc_id AS string), '" description="', lang, '"/><core name="DSP"/><note>', esc, '</note></cores>')
                WHEN 2 THEN concat('; head', chr(10), 'lang=', lang, chr(10), '  size = ', CAST(n_chars AS string), chr(10), '# x=1', chr(10), 'lang=', source, '=', lang, chr(10), text)
-               WHEN 3 THEN concat('<m:part_number xmlns:m="http://vendor.example/XSD/part_number/4.0" id="', part, '_Q48"><db_link type="part_info" link="', part, '_Q48/part_info.xml" format_version="1.0" description="', lang, '"/><db_link type="package" link="packages/', source, '.xml" format_version="1.0"/><note>', esc, '</note><db_link type="package" link="late"/></m:part_number>')
-               WHEN 5 THEN concat('<part_number xmlns="http://vendor.example/XSD/part_number/4.0"', CASE WHEN n_chars % 5 = 0 THEN '' ELSE concat(' id="', part, '_Q32"') END, '><db_link type="cores_info" link="common/', source, '"/><note>', esc, '</note></part_number>')
+               WHEN 3 THEN concat('<m:part_number xmlns:m="http://vendor.example/XSD/part_number/4.0" id="', part, '_R64"><db_link type="part_info" link="', part, '_R64/part_info.xml" format_version="1.0" description="', lang, '"/><db_link type="package" link="packages/', source, '.xml" format_version="1.0"/><note>', esc, '</note><db_link type="package" link="late"/></m:part_number>')
+               WHEN 5 THEN concat('<part_number xmlns="http://vendor.example/XSD/part_number/4.0"', CASE WHEN n_chars % 5 = 0 THEN '' ELSE concat(' id="', part, '_R20"') END, '><db_link type="cores_info" link="common/', source, '"/><note>', esc, '</note></part_number>')
                WHEN 7 THEN text WHEN 11 THEN text
                ELSE concat('<r:registers xmlns:r="http://vendor.example/XSD/', CASE p % 3 WHEN 0 THEN 'registers' WHEN 1 THEN 'clocks' ELSE 'pins' END, '/1.', CAST(p % 4 AS string), '" source="', source, '" r:lang="', lang, '"><p>', esc, '</p><p>', CAST(n_chars AS string), '</p><e/><n> k </n></r:registers>')
                END AS xml
         FROM v_docs""",
+    # The same trees, and once more as a later release with other suffixes.
+    "v_again": """
+        SELECT release, part, variant, relpath, n_chars, length, slot, p, text, source, lang, xml FROM v_tree
+        UNION ALL SELECT concat('27.', CAST(p % 4 AS string)), part, variant, relpath, n_chars + 1, length, slot, p, text, source, lang,
+                         replace(xml, concat('<p>', CAST(n_chars AS string), '</p>'), concat('<p>', CAST(n_chars + 1 AS string), '</p>'))
+        FROM v_tree WHERE slot IN (4, 6, 8, 9, 10, 12)""",
+    # Whole texts as contents; some files are the same in all variants of a part.
+    "v_shared": """
+        SELECT release, part, variant, relpath, CASE WHEN slot IN (1, 7, 10) THEN concat(part, relpath, lang) ELSE xml END AS content
+        FROM v_tree""",
     # Every document as one XML file with repeated, empty and padded children.
     "v_doc_xml": """
         SELECT doc_id, source, lang, n_chars, text,
@@ -169,11 +178,6 @@ def spark_view(spark: SparkSession, sf_dir: str, body: str) -> DataFrame:
     return spark.sql(_tables(spark_text(body), lambda t: f"parquet.`{sf_dir}/{t}.parquet`"))
 
 
-def wide_view(spark: SparkSession, sf_dir: str, body: str) -> DataFrame:
-    """A view for row-wise work, on all cores also when the file is small."""
-    return spread(spark_view(spark, sf_dir, body))
-
-
 def duckdb_sql(body: str) -> str:
     body = body.strip()
     if body.upper().startswith("WITH "):
