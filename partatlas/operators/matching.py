@@ -28,6 +28,7 @@ from partatlas.functions.masks import (
 )
 from partatlas.functions.pyudf import fuzzy_ratio
 from partatlas.functions.text import folded, let
+from partatlas.session import materialize
 
 # Characters-with-count held as bits, the most frequent ones; the rest stay in an array.
 WORD_BITS, WORDS = 63, 2
@@ -472,9 +473,11 @@ def union_selection(*selections: DataFrame) -> DataFrame:
 def select_parts(inputs: DataFrame, portfolio: DataFrame) -> Selection:
     """Expand every raw input (pos, query); all must resolve, else none are taken.
 
-    The gate is a scalar subquery, not a join.
+    The hits are stored, as the choice, the misses and the gate need them. The gate
+    is a scalar subquery, not a join.
     """
-    hits = resolve_queries(inputs, portfolio.select(F.col("family").alias("part")))
+    hits = materialize(
+        resolve_queries(inputs, portfolio.select(F.col("family").alias("part"))), "resolved")
     first = inputs.groupBy("query").agg(F.min("pos").alias("pos"))
     unresolved = inputs.join(hits.select("query").distinct(), "query", "left_anti").select(
         "pos", "query"
