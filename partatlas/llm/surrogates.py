@@ -80,9 +80,11 @@ _PATTERN = re.compile("|".join((
     r"(?<![\d.])(?P<ip>(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d))(?!\d|\.\d)",
     r"(?<![\w+])(?P<phone>\+\d{1,3}[ .-]?(?:\(\d{2,4}\)|\d{2,4})(?:[ .-]?\d{2,4}){1,4})(?!\d)",
     r"(?<![\d-])(?P<ssn>\d{3}-\d{2}-\d{4})(?![\d-])",
-    r"(?<!\d)(?P<card>\d(?:[ -]?\d){12,18})(?!\d)",
     *map(_name_pattern, _TITLES),
 )))
+#: Digits that may hold a card number, in groups between single spaces or hyphens.
+_DIGITS = re.compile(r"(?<!\d)\d(?:[ -]?\d){12,}")
+_CARD_DIGITS = range(13, 20)
 #: Beginnings of titles in Latin letters.
 _HINTS = ("Mr", "Ms", "Mme", "Miss", "Herr", "Frau", "Monsieur", "Madame", "Señor", "Signor")
 
@@ -98,12 +100,47 @@ def luhn(digits: str) -> bool:
     return sum(x - 9 * (x > 9) for x in doubled) % 10 == 0
 
 
+def _cards(text: str, taken: list[tuple[int, int]]) -> Iterator[tuple[int, int, str, str]]:
+    """Card numbers outside the places taken: whole groups of digits of a card's length
+    with a right check digit, whatever numbers stand before or behind them.
+
+    Of numbers that overlap, those that begin and are long as cards are go first, then
+    the longer, then the earlier one.
+    """
+    for run in _DIGITS.finditer(text):
+        groups = [m.span() for m in re.compile(r"\d+").finditer(text, *run.span())]
+        near = [(a, b) for a, b in taken if a < run.end() and run.start() < b]
+        free = [not any(a < y and x < b for a, b in near) for x, y in groups]
+        passed = []
+        for i in range(len(groups)):
+            digits = ""
+            for j in range(i, len(groups)):
+                digits += text[slice(*groups[j])]
+                if not free[j] or len(digits) >= _CARD_DIGITS.stop:
+                    break
+                if len(digits) in _CARD_DIGITS and luhn(digits):
+                    likely = digits[0] in "3456" and len(digits) in (14, 15, 16)
+                    passed.append((not likely, -len(digits), i, j, digits))
+        used = [False] * len(groups)
+        for *_, i, j, digits in sorted(passed):
+            if not any(used[i : j + 1]):
+                used[i : j + 1] = [True] * (j + 1 - i)
+                yield groups[i][0], groups[j][1], "card", digits
+
+
 def mentions(text: str) -> Iterator[tuple[int, int, str, str]]:
-    """Start, end (code points), kind and canonical form of each mention.
+    """Start, end (code points), kind and canonical form of each mention, in order.
 
     Kinds are a type and what a surrogate must keep, as in ``name:latin:f:given``.
     Numbers of card length that fail the check digit are not cards.
     """
+    found = list(_patterned(text))
+    found += _cards(text, [x[:2] for x in found])
+    yield from sorted(found)
+
+
+def _patterned(text: str) -> Iterator[tuple[int, int, str, str]]:
+    """Mentions that a pattern alone tells."""
     for m in _PATTERN.finditer(text):
         kind = m.lastgroup
         if kind.startswith(("title_", "name_")):
@@ -124,10 +161,8 @@ def mentions(text: str) -> Iterator[tuple[int, int, str, str]]:
         elif kind == "phone":
             code = re.match(r"\+\d{1,3}", found)[0] if re.match(r"\+\d{1,3}[ .(-]", found) else "+"
             yield start, end, f"phone:{code}", re.sub(r"\D", "", found)
-        elif kind in ("card", "ssn"):
-            digits = re.sub(r"\D", "", found)
-            if kind == "ssn" or luhn(digits):
-                yield start, end, kind, digits
+        elif kind == "ssn":
+            yield start, end, kind, re.sub(r"\D", "", found)
         elif kind == "ip":
             octets = [int(x) for x in found.split(".")]
             inside = octets[0] == 10 or octets[:2] == [192, 168] or octets[0] == 172 and 16 <= octets[1] < 32

@@ -30,6 +30,30 @@ def test_mentions():
     assert found("nothing 12 here v2.0 a@b 4.0.") == []
 
 
+@pytest.mark.parametrize("text, cards", [
+    ("card 4417744280351547 123", ["4417744280351547"]), ("card 4417744280351547 12/27", ["4417744280351547"]),
+    ("12 4417744280351547", ["4417744280351547"]), ("7 4417-7442-8035-1547 123", ["4417-7442-8035-1547"]),
+    ("12 34 4417744280351547 12 27", ["4417744280351547"]), ("4417744280351547 10.0.3.4", ["4417744280351547"]),
+    ("4417 7442 8035 1547 4417744280351547", ["4417 7442 8035 1547", "4417744280351547"]),
+    ("4417744280351547 123-45-6789", ["4417744280351547"]), ("44177442803515471234", []), ("1 2 " * 5000, None),
+])
+def test_cards_between_other_numbers(text, cards):
+    got = [x for x, kind in found(text) if kind == "card"]
+    assert got == cards or cards is None
+    assert all(13 <= len(re.sub(r"\D", "", x)) <= 19 for x in got)
+
+
+def test_numbers_beside_a_card_stay_mentions():
+    assert found("4417744280351547 10.0.3.4") == [("4417744280351547", "card"), ("10.0.3.4", "ip:private")]
+    assert found("4417744280351547 123-45-6789") == [("4417744280351547", "card"), ("123-45-6789", "ssn")]
+
+
+def test_cards_do_not_stay_in_clear(docs):
+    texts = ["card 4417744280351547 123", "card 4417744280351547 12/27", "12 4417744280351547"]
+    for r in surrogate_rows(docs(*texts)).collect():
+        assert "4417744280351547" not in r.text and re.sub(r"\d{16}", "", r.text) == texts[r.doc_id].replace("4417744280351547", "")
+
+
 CASES = [
     ("email", "ann.7@mail3.example.com"), ("phone:+1", "10175557713"), ("card", "4417744280351547"), ("ssn", "123456789"),
     ("ip:public", "97.51.17.173"), ("ip:private", "10.0.3.4"), ("secret", "04dbebab91ab85687d33"),
