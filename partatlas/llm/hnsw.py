@@ -16,7 +16,8 @@ precision over the original vectors, ties to the smaller id.
 
 Vectors that are null, zero or hold null or non-finite components take no part, and
 neither do null ids or vectors of another length than the most frequent one. Repeated
-ids are rows of their own. An empty table gives no rows.
+ids are rows of their own, as candidates and as queries; a query's answers come once
+for each of its rows. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -187,11 +188,15 @@ def valid_vectors(table: DataFrame) -> DataFrame:
 
 
 def points_of(rows: DataFrame, k: int = K) -> DataFrame:
-    """Distinct vectors with the smallest ``k + 1`` of their ids."""
+    """Distinct vectors with the smallest ``k + 1`` of their ids, an id as often as its
+    rows, ``k`` times at most."""
+    # Rows that repeat an id are counted, so that its own ones take no other's place.
+    distinct = rows.groupBy("embedding", "vec_id").agg(F.count("*").alias("n"))
     rank = F.row_number().over(Window.partitionBy("embedding").orderBy("vec_id"))
     # Ranks are cut below the shuffle, so equal vectors do not meet in one task.
-    few = rows.select("*", rank.alias("rank")).filter(F.col("rank") <= k + 1)
-    return few.groupBy("embedding").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
+    few = distinct.select("*", rank.alias("rank")).filter(F.col("rank") <= k + 1)
+    times = F.array_repeat("vec_id", F.least("n", F.lit(k)).cast("int"))
+    return few.groupBy("embedding").agg(F.sort_array(F.flatten(F.collect_list(times))).alias("ids"))
 
 
 def build_index(points: DataFrame, n_shards: int) -> DataFrame:
@@ -220,16 +225,18 @@ def nearest(table: DataFrame, k: int = K, every: int = 20) -> DataFrame:
     points = materialize(distinct.select("*", shard.alias("shard")).select("*", place.alias("place")), "shard-points")
     graphs = materialize(build_index(points, n_shards), "graphs")
 
-    asked = rows.filter(F.col("vec_id") % every == 0)
+    # Rows that repeat a query are asked once; each of them gets the answers.
+    asked = materialize(rows.filter(F.col("vec_id") % every == 0).groupBy("vec_id", "embedding").agg(
+        F.count("*").cast("int").alias("copies")), "queries")
     n_blocks = max(1, -(-asked.count() // QUERY_BLOCK))
     blocks = F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))).alias("block")
     shards = F.explode(F.sequence(F.lit(0), F.lit(n_shards - 1))).alias("shard")
     queries = asked.select(
-        F.col("vec_id").alias("query_id"), "embedding", F.pmod(F.xxhash64("vec_id", "embedding"), F.lit(n_blocks)).cast("int").alias("block"))
+        F.col("vec_id").alias("query_id"), "embedding", "copies", F.pmod(F.xxhash64("vec_id", "embedding"), F.lit(n_blocks)).cast("int").alias("block"))
 
     def run(graph: pd.DataFrame, asking: pd.DataFrame) -> pd.DataFrame:
         if graph.empty or asking.empty:
-            return pd.DataFrame({"query_id": [], "embedding": [], "shard": [], "place": []})
+            return pd.DataFrame({"query_id": [], "embedding": [], "copies": [], "shard": [], "place": []})
         g = graph.iloc[0]
         vectors = np.frombuffer(g["vectors"], np.float32).reshape(g["points"], g["dims"])
         layers = [np.frombuffer(x, np.int32).reshape(g["points"], -1) for x in g["layers"]]
@@ -240,15 +247,17 @@ def nearest(table: DataFrame, k: int = K, every: int = 20) -> DataFrame:
         r, c = np.nonzero(found >= 0)
         return pd.DataFrame({
             "query_id": asking["query_id"].to_numpy()[r], "embedding": asking["embedding"].to_numpy()[r],
+            "copies": asking["copies"].to_numpy()[r],
             "shard": g["shard"], "place": found[r, c]})
 
     found = graphs.select("*", blocks).groupBy("shard", "block").cogroup(
         queries.select("*", shards).groupBy("shard", "block")).applyInPandas(
-        run, "query_id long, embedding array<double>, shard int, place int")
+        run, "query_id long, embedding array<double>, copies int, shard int, place int")
     pairs = found.join(points.select("shard", "place", F.col("embedding").alias("point"), "ids"), ["shard", "place"])
     score = F.aggregate(F.zip_with("embedding", "point", lambda a, b: a * b), F.lit(0.0), lambda a, b: a + b)
-    scored = pairs.select("query_id", "embedding", score.alias("score"), F.explode("ids").alias("vec_id")).filter(
+    scored = pairs.select("query_id", "embedding", "copies", score.alias("score"), F.explode("ids").alias("vec_id")).filter(
         "vec_id <> query_id")
     best = Window.partitionBy("query_id", "embedding").orderBy(F.desc("score"), "vec_id")
-    return scored.select("*", F.row_number().over(best).alias("rank")).filter(F.col("rank") <= k).select(
+    ranked = scored.select("*", F.row_number().over(best).alias("rank")).filter(F.col("rank") <= k)
+    return ranked.select("*", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")).select(
         "query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

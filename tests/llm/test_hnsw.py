@@ -83,6 +83,19 @@ def test_one_vector_with_very_many_copies(spark):
     check(nearest(as_table(spark, rows)).collect(), brute(rows), 0.97)
 
 
+@pytest.mark.parametrize("copies", [2, 20])
+def test_repeated_query_rows(spark, copies):
+    """Each row of a query gets all answers, however often the query is repeated."""
+    rng = np.random.default_rng(5)
+    rows = [(i, floats(rng.normal(size=8))) for i in range(60)]
+    rows += [(100 + i, rows[0][1]) for i in range(1, 30)]
+    repeated = rows + [r for r in rows if r[0] % 20 == 0] * (copies - 1)
+    got, want = nearest(as_table(spark, repeated)).collect(), brute(repeated)
+    assert sorted((r.query_id, r.rank, r.vec_id) for r in got) == sorted(
+        (q, n + 1, i) for q, found in want.items() for n, (i, _) in enumerate(found)
+        for _ in range(sum(r[0] == q for r in repeated)))
+
+
 def test_odd_rows(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (20, None), (40, [0.0, 0.0]), (60, [nan, 1.0]), (80, [1.0, None]), (100, [inf, 1.0]),
