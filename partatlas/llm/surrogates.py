@@ -13,6 +13,9 @@ digit and check digit, addresses stay addresses of their class, and names are dr
 for the script and the gender of the name, given and family names apart, so that a
 full name and a later title with the family name still belong together.
 
+Names are found behind a title and then again in the whole document without one. A name
+whose title tells no gender is of its own kind.
+
 Null texts stay null. Repeated rows stay repeated. Rows without a mention are neither
 shuffled nor changed.
 """
@@ -40,8 +43,9 @@ FRESH_ROUNDS = 16
 LAST_ROUND = 64
 
 _TITLES = {
-    "latin": {"m": ("Mr", "Herr", "Monsieur", "Señor", "Signor"),
-              "f": ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "Signora")},
+    "latin": {"m": ("Mr", "Herr", "Herrn", "Monsieur", "Señor", "Signor"),
+              "f": ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "Signora"),
+              "n": ("Dr", "Prof", "Doctor", "Professor")},
     "cyrillic": {"m": ("господин", "г-н", "Господин"), "f": ("госпожа", "г-жа", "Госпожа")},
     "greek": {"m": ("κύριος", "Κύριος", "κ."), "f": ("κυρία", "Κυρία", "κα")},
 }
@@ -69,30 +73,48 @@ def _name_pattern(script: str) -> str:
     titles = sorted((t for g in _TITLES[script].values() for t in g), key=len, reverse=True)
     u, lo = _UPPER[script], _LOWER[script]
     part = f"[{u}](?:[{lo}]+(?:[-'’][{u}][{lo}]+)?|[{u}]+)"
-    return rf"(?<!\w)(?P<title_{script}>{'|'.join(map(re.escape, titles))})\.? (?P<name_{script}>{part}(?: {part}){{0,2}})"
+    # A degree between the title and the name is no part of the name.
+    degrees = r"(?:(?:Dr|Prof)\b\.? )*" if script == "latin" else ""
+    return rf"(?<!\w)(?P<title_{script}>{'|'.join(map(re.escape, titles))})\.? {degrees}(?P<name_{script}>{part}(?: {part}){{0,2}})"
 
 
+_CREDENTIAL = "token|secret|password|passwd|api[_-]?key|access[_-]?key"
+#: Each credential word has one of them.
+_CREDENTIAL_PARTS = ("token", "secret", "passw", "key")
+#: Letters and digits that a secret has at least, so that there are surrogates enough.
+_SECRET_SIGNS = 6
 _PATTERN = re.compile("|".join((
     r"(?P<email>[\w%+-][\w.%+-]*@(?:[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?\.)+[A-Za-z]{2,})",
-    r"(?i:(?<![A-Za-z0-9])(?:token|secret|password|passwd|api[_-]?key|access[_-]?key)\s*[=:]\s*[\"']?)"
-    r"(?P<secret>[A-Za-z0-9_+/=-]{12,})",
+    # A value goes up to its quote, or is a word without punctuation at its ends.
+    rf"(?i:(?<![A-Za-z0-9])(?:{_CREDENTIAL}))(?P<sign>\s*[=:]\s*)(?P<quote>[\"']?)"
+    r"(?P<secret>(?:(?!(?P=quote))[^\n]){1,200}(?=(?P=quote))|(?:(?!(?P=quote))\S)+(?=(?P=quote))"
+    r"|[\w+/=-](?:[^\s\"'<>,;&]*[\w+/=-])?)",
     r"(?<![A-Za-z0-9])(?P<accesskey>(?:AKIA|ASIA)[A-Z0-9]{16})(?![A-Za-z0-9])",
     r"(?<![\d.])(?P<ip>(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d))(?!\d|\.\d)",
     r"(?<![\w+])(?P<phone>\+\d{1,3}[ .-]?(?:\(\d{2,4}\)|\d{2,4})(?:[ .-]?\d{2,4}){1,4})(?!\d)",
     r"(?<![\d-])(?P<ssn>\d{3}-\d{2}-\d{4})(?![\d-])",
     *map(_name_pattern, _TITLES),
 )))
+#: Phone numbers without a country code: an area in brackets, groups of three, three and
+#: four digits, or a leading zero and a second group behind a sign.
+_NATIONAL = re.compile(
+    r"(?<![\w+.,/-])(?<!\d )(?:\(\d{2,5}\) ?\d{3,4}[ .-]?\d{3,4}|\d{3}([ .-])\d{3}\1\d{4}"
+    r"|0\d{1,4}[ /-]\d{3,8}(?:[ -]\d{2,5}){0,3})(?![\d/]|[.,-]\d)")
 #: Digits that may hold a card number, in groups between single spaces or hyphens.
 _DIGITS = re.compile(r"(?<!\d)\d(?:[ -]?\d){12,}")
 _CARD_DIGITS = range(13, 20)
 #: Beginnings of titles in Latin letters.
-_HINTS = ("Mr", "Ms", "Mme", "Miss", "Herr", "Frau", "Monsieur", "Madame", "Señor", "Signor")
+_HINTS = ("Mr", "Ms", "Mme", "Miss", "Herr", "Frau", "Monsieur", "Madame", "Señor", "Signor", "Dr", "Prof", "Doctor")
 
 
 def may_hold(text: Column) -> Column:
     """Whether a text can have a mention: a digit, an at sign, a Greek or Cyrillic
-    letter or the beginning of a title."""
-    return reduce(Column.__or__, map(text.contains, _HINTS), text.rlike("[0-9@\u0370-\u04ff]"))
+    letter, the beginning of a title, or a sign and a part of a credential word (a long
+    s matches an s, but has no other lower case)."""
+    sure = reduce(Column.__or__, map(text.contains, _HINTS), text.rlike("[0-9@\u0370-\u04ff]"))
+    low = F.lower(text)
+    words = reduce(Column.__or__, map(low.contains, _CREDENTIAL_PARTS), text.contains("ſ"))
+    return sure | ((text.contains("=") | text.contains(":")) & words)
 
 
 def luhn(digits: str) -> bool:
@@ -135,8 +157,48 @@ def mentions(text: str) -> Iterator[tuple[int, int, str, str]]:
     Numbers of card length that fail the check digit are not cards.
     """
     found = list(_patterned(text))
-    found += _cards(text, [x[:2] for x in found])
-    yield from sorted(found)
+    for more in (_cards, _national):
+        found += more(text, [x[:2] for x in found])
+    yield from sorted([*found, *_names_again(text, found)])
+
+
+def _outside(spans: Iterator[tuple[int, int]], taken: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+    """Those of the spans, in order, that meet none of the places taken."""
+    taken, at = sorted(taken), 0
+    for a, b in spans:
+        while at < len(taken) and taken[at][1] <= a:
+            at += 1
+        if at == len(taken) or taken[at][0] >= b:
+            yield a, b
+
+
+def _national(text: str, taken: list[tuple[int, int]]) -> Iterator[tuple[int, int, str, str]]:
+    """Phone numbers without a country code, outside the places taken."""
+    for a, b in _outside((m.span() for m in _NATIONAL.finditer(text)), taken):
+        digits = re.sub(r"\D", "", text[a:b])
+        if len(digits) >= 8:
+            yield a, b, f"phone:n{'0' if digits[0] == '0' else ''}", digits
+
+
+def _names_again(text: str, found: list[tuple[int, int, str, str]]) -> Iterator[tuple[int, int, str, str]]:
+    """Names of a document wherever else it has them with a capital letter, whether or
+    not a title stands before them. A part that is several entities is the first one."""
+    names: dict[str, tuple[str, str]] = {}
+    for *_, kind, form in sorted(found):
+        if kind.startswith("name:"):
+            names.setdefault(form, (kind, form))
+    if not names:
+        return
+    words = (m.span() for m in re.compile(r"\w+(?:[-'’]\w+)*").finditer(text) if m[0][0].isupper())
+    for a, b in _outside(words, [x[:2] for x in found]):
+        word = text[a:b]
+        # A possessive ending or the other half of a hyphenated word is no part of it.
+        parts = [(0, word), *((m.start(), m[0]) for m in re.compile(r"\w+").finditer(word) if m[0] != word)]
+        end = 0
+        for at, part in parts:
+            if at >= end and part[0].isupper() and part.casefold() in names:
+                end = at + len(part)
+                yield a + at, a + end, *names[part.casefold()]
 
 
 def _patterned(text: str) -> Iterator[tuple[int, int, str, str]]:
@@ -167,10 +229,18 @@ def _patterned(text: str) -> Iterator[tuple[int, int, str, str]]:
             octets = [int(x) for x in found.split(".")]
             inside = octets[0] == 10 or octets[:2] == [192, 168] or octets[0] == 172 and 16 <= octets[1] < 32
             yield start, end, "ip:private" if inside else "ip:public", ".".join(map(str, octets))
-        elif any(c.isdigit() for c in found):
+        elif kind == "accesskey" or _is_secret(found, m["sign"], m["quote"]):
             yield start, end, kind, found
 
 
+def _is_secret(value: str, sign: str, quote: str) -> bool:
+    """Whether a value behind a credential word is one: behind a colon and without
+    quotes, a short word of letters alone is prose."""
+    if sum(c.isalnum() for c in value) < _SECRET_SIGNS:
+        return False
+    return bool(quote) or "=" in sign or len(value) >= 12 or not value.isalpha()
+
+
 class _Stream:
     """Numbers from a keyed hash."""
 
@@ -233,6 +303,8 @@ def surrogate(kind: str, form: str, key: bytes, attempt: int) -> str:
     if role == "family":
         end = _FAMILY_ENDS[script][rng.below(4)]
         return (syllables + end + ("а" if script == "cyrillic" and gender == "f" else "")).casefold()
+    if gender == "n":
+        gender = "fm"[rng.below(2)]
     names = GIVEN[script, gender]
     if attempt < 4:
         return names[rng.below(len(names))].casefold()

@@ -54,6 +54,44 @@ def test_cards_do_not_stay_in_clear(docs):
         assert "4417744280351547" not in r.text and re.sub(r"\d{16}", "", r.text) == texts[r.doc_id].replace("4417744280351547", "")
 
 
+def test_secrets_behind_credential_words():
+    assert found("password=correct-horse-battery") == [("correct-horse-battery", "secret")]
+    assert found("Password: \"don't tell me\" api_key=hunter2, token=a!b?c#d9e") == [
+        ("don't tell me", "secret"), ("hunter2", "secret"), ("a!b?c#d9e", "secret")]
+    assert found("https://x/?token=abcdefgh&user=bob secret = " + "k!" * 300 + "z") == [
+        ("abcdefgh", "secret"), ("k!" * 300 + "z", "secret")]
+    assert found("password: required; the token: its use. secret = '' password=''") == []
+
+
+def test_national_phones():
+    assert found("call (555) 123-4567, 555-123-4567 or 030 1234567, 0171/555 12 34.") == [
+        ("(555) 123-4567", "phone:n"), ("555-123-4567", "phone:n"), ("030 1234567", "phone:n0"), ("0171/555 12 34", "phone:n0")]
+    assert found("on 2024-01-02 03:04, 12 030 444, 1.234.567.8901, 07-2024") == []
+    new = surrogate("phone:n0", "0301234567", KEY, 0)
+    assert new[0] == "0" and len(new) == 10 and new != "0301234567"
+
+
+def test_names_again_without_title():
+    assert found("Muster kam. Frau Erika Muster ging, Erika Muster, MUSTER's und das muster, Musterung, erika.muster@a1.example.org") == [
+        ("Muster", "name:latin:n:family"), ("Erika", "name:latin:f:given"), ("Muster", "name:latin:n:family"),
+        ("Erika", "name:latin:f:given"), ("Muster", "name:latin:n:family"), ("MUSTER", "name:latin:n:family"),
+        ("erika.muster@a1.example.org", "email")]
+    assert found("Prof. Dr. Erika Muster, Herr Dr. Hans Klein; госпожа Иванова. Иванова") == [
+        ("Erika", "name:latin:n:given"), ("Muster", "name:latin:n:family"), ("Hans", "name:latin:m:given"),
+        ("Klein", "name:latin:n:family"), ("Иванова", "name:cyrillic:f:family"), ("Иванова", "name:cyrillic:f:family")]
+    assert surrogate("name:latin:n:given", "erika", KEY, 0).isalpha() and surrogate("name:latin:n:given", "erika", KEY, 9).isalpha()
+
+
+def test_wide_mentions_do_not_stay_in_clear(docs):
+    texts = ["password=correct-horse-battery", "(555) 123-4567", "Frau Erika Muster kam. Muster ging, Erika Muster blieb.",
+             "PASSWORD\u00a0= no-digits-here"]
+    rows = {r.doc_id: r.text for r in surrogate_rows(docs(*texts)).collect()}
+    for d, gone in ((0, "horse"), (1, "123-4567"), (2, "Muster"), (2, "Erika"), (3, "digits")):
+        assert gone not in rows[d]
+    given, family = re.match(r"Frau (\S+) (\S+) kam", rows[2]).groups()
+    assert rows[2] == f"Frau {given} {family} kam. {family} ging, {given} {family} blieb."
+
+
 CASES = [
     ("email", "ann.7@mail3.example.com"), ("phone:+1", "10175557713"), ("card", "4417744280351547"), ("ssn", "123456789"),
     ("ip:public", "97.51.17.173"), ("ip:private", "10.0.3.4"), ("secret", "04dbebab91ab85687d33"),
