@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from partatlas.llm.chunks import repeated_spans
+from partatlas.llm.exact import EXACT_SQL, exact_groups
 from partatlas.llm.hnsw import nearest
 from partatlas.llm.licenses import license_scan
 from partatlas.llm.mixing import mix_table
@@ -85,3 +86,8 @@ def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_toxicity")
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+@query("op12_exact_dedup", EXACT_SQL)
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_groups(_table(spark, sf_dir, "documents").select("doc_id", "text"))
