@@ -11,6 +11,7 @@ from partatlas.llm.exact import EXACT_SQL, exact_groups
 from partatlas.llm.hnsw import nearest
 from partatlas.llm.licenses import license_scan
 from partatlas.llm.mixing import mix_table
+from partatlas.llm.periodic import periodic_runs, run_lines, strongest, with_planted_runs
 from partatlas.llm.pieces import encode_decode
 from partatlas.llm.quality import quality_table
 from partatlas.llm.simhash import simhash_groups
@@ -91,3 +92,13 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op12_exact_dedup", EXACT_SQL)
 def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query("op13_periodic_runs")
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs(with_planted_runs(_table(spark, sf_dir, "documents").select("doc_id", "text")))
+    best = found.withColumn("best", strongest(F.col("runs")))
+    return best.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(run_lines(F.col("runs")), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
