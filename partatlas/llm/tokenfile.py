@@ -22,6 +22,7 @@ by the library's model. A worker keeps the pieces it has met lately, up to a bou
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
@@ -42,7 +43,9 @@ PERCENTILE = 90
 END_OF_DOCUMENT = 0
 #: Ids after which a segment ends with the document at hand.
 SEGMENT_IDS = 1 << 20
+#: Pieces of a generation that are remembered, and characters of the longest of them.
 MEMO_PIECES = 400_000
+MEMO_CHARS = 64
 _HEAD = "<4sHHQQQ"
 _SEGMENTS = "shard int, segment int, n_ids long, n_docs long, data binary"
 _DOCS = "shard int, segment int, doc_id long, n_tokens long, before long, ids binary"
@@ -140,7 +143,8 @@ def split(text: str) -> list[str]:
 
 
 class _Memo(dict):
-    """Ids of pieces; a piece that is new is encoded by the library's model."""
+    """Ids of pieces; a piece that is new is encoded by the library's model. Long pieces
+    are not remembered, so that the bytes kept are bounded like their number."""
 
     def __init__(self, tokenize, letters: list[str], earlier: dict[str, bytes]) -> None:
         self.tokenize, self.letters, self.earlier = tokenize, letters, earlier
@@ -150,14 +154,20 @@ class _Memo(dict):
         if ids is None:
             spelled = "".join(map(self.letters.__getitem__, piece.encode("utf-8", "replace")))
             ids = np.array([t.id for t in self.tokenize(spelled)], "<u4").tobytes()
-        self[piece] = ids
+        if len(piece) <= MEMO_CHARS:
+            self[piece] = ids
         return ids
 
 
 class PieceEncoder:
-    """Encodes texts piece by piece and remembers the pieces met lately."""
+    """Encodes texts piece by piece and remembers the pieces met lately.
 
-    def __init__(self, tokenizer_json: str) -> None:
+    Added tokens of the file are looked for in texts first, the earliest and then the
+    longest one; what lies between is encoded on its own. ``added=False`` takes their
+    strings as plain text.
+    """
+
+    def __init__(self, tokenizer_json: str, added: bool = True) -> None:
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_str(tokenizer_json).model
@@ -167,13 +177,45 @@ class PieceEncoder:
         rest = iter(range(256, 512))
         self.letters = [chr(b) if b in own else chr(next(rest)) for b in range(256)]
         self.memo = _Memo(self.model.tokenize, self.letters, {})
+        described = json.loads(tokenizer_json)
+        self.vocabulary = described["model"]["vocab"]
+        tokens = described.get("added_tokens") or []
+        if any(t.get("lstrip") or t.get("rstrip") or t.get("single_word") for t in tokens):
+            raise ValueError("added tokens that take in their neighbourhood are not supported")
+        self.added = {t["content"]: struct.pack("<I", t["id"]) for t in tokens} if added else {}
+        longest_first = sorted(self.added, key=len, reverse=True)
+        self.find_added = re.compile("|".join(map(re.escape, longest_first))) if longest_first else None
+
+    def token_bytes(self) -> list[bytes]:
+        """Bytes that each id of the vocabulary stands for."""
+        of_letter = {c: b for b, c in enumerate(self.letters)}
+        out = [b""] * (max(self.vocabulary.values()) + 1)
+        for token, i in self.vocabulary.items():
+            out[i] = bytes(of_letter[c] for c in token) if of_letter.keys() >= set(token) else token.encode()
+        return out
+
+    def ids(self, text: str) -> bytes:
+        """Ids of a text as four-byte integers."""
+        if self.find_added is None or not self.find_added.search(text):
+            return b"".join(map(self.memo.__getitem__, split(text)))
+        out, at = [], 0
+        for found in self.find_added.finditer(text):
+            out += map(self.memo.__getitem__, split(text[at : found.start()]))
+            out.append(self.added[found.group()])
+            at = found.end()
+        out += map(self.memo.__getitem__, split(text[at:]))
+        return b"".join(out)
+
+    def forget(self) -> None:
+        """Start a generation of pieces when the last one is full."""
+        if len(self.memo) > MEMO_PIECES:
+            self.memo = _Memo(self.model.tokenize, self.letters, dict(self.memo))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, end of document included, as four-byte integers."""
-        if len(self.memo) > MEMO_PIECES:
-            self.memo = _Memo(self.model.tokenize, self.letters, dict(self.memo))
-        end, known = struct.pack("<I", END_OF_DOCUMENT), self.memo.__getitem__
-        return [b"".join((*map(known, split(t)), end)) for t in texts]
+        self.forget()
+        end = struct.pack("<I", END_OF_DOCUMENT)
+        return [self.ids(t) + end for t in texts]
 
 
 def token_segments(docs: DataFrame, tokenizer_file: str) -> DataFrame:

@@ -12,14 +12,13 @@ import partatlas.llm.tokenfile as t
 from partatlas.session import work_dir
 
 FILE = public_tokenizers.path("byte_bpe_50k.json")
-TEXTS = ["", " ", "  a  b ", "it 's a\n\n b", "a \n b", "\xa0x y z", "<|endoftext|> a", "日本 語", "a\x1cb c", " lead", "trail ",
+TEXTS = ["", " ", "  a  b ", "it 's a\n\n b", "a \n b", "\xa0x y z", "<|endoftext|> a", "a <|endoftext|> b", "x  <|endoftext|><|endoftext|>\n <|endoftext|", "日本 語", "a\x1cb c", " lead", "trail ",
          "one two\nthree", "I'll we're don't", "tab\tand  spaces", "😀 é ü", "x" * 3000]
 
 
 @pytest.fixture(scope="module")
 def library():
     tok = Tokenizer.from_file(FILE)
-    tok.encode_special_tokens = True
     return lambda texts: [x.ids + [0] for x in tok.encode_batch(texts, add_special_tokens=False)]
 
 
@@ -27,7 +26,7 @@ def test_pieces_are_as_whole_texts(library, monkeypatch):
     """Also while pieces are forgotten, and for any mixture of characters."""
     rng = random.Random(3)
     letters = list("ab e'  \n\t.,;#9²½ªµéÀß÷×\x85\xa0\x1c\x1d\x0b \u3000日本Ωжы😀٣Ⅷ_-sdmtrevl'")
-    texts = TEXTS + ["".join(rng.choices(letters, k=rng.randrange(1, 40))) for _ in range(3000)]
+    texts = TEXTS + ["".join(rng.choices([*letters, "<|endoftext|>"], k=rng.randrange(1, 40))) for _ in range(3000)]
     for bound in (10**6, 50):
         monkeypatch.setattr(t, "MEMO_PIECES", bound)
         coder = t.PieceEncoder(open(FILE, encoding="utf-8").read())
@@ -35,6 +34,24 @@ def test_pieces_are_as_whole_texts(library, monkeypatch):
         assert got == library(texts)
 
 
+def test_special_strings_as_plain_text():
+    tok = Tokenizer.from_file(FILE)
+    tok.encode_special_tokens = True
+    coder = t.PieceEncoder(open(FILE, encoding="utf-8").read(), added=False)
+    for text in TEXTS:
+        assert np.frombuffer(coder.ids(text), "<u4").tolist() == tok.encode(text, add_special_tokens=False).ids
+        assert b"".join(coder.token_bytes()[i] for i in tok.encode(text).ids) == text.encode()
+
+
+def test_very_long_words(library):
+    """They are encoded whole and not remembered."""
+    rng = random.Random(5)
+    texts = ["".join(rng.choices("abcdefgh", k=20_000)), "é" * 9_000 + " tail", "z" * 30_000]
+    coder = t.PieceEncoder(open(FILE, encoding="utf-8").read())
+    assert [np.frombuffer(x, "<u4").tolist() for x in coder.encode(texts)] == library(texts)
+    assert max(map(len, coder.memo)) <= t.MEMO_CHARS
+
+
 @pytest.mark.parametrize("n", [0, 1, 127, 128, 129, 5000])
 def test_blocks_round_trip(n):
     rng = np.random.default_rng(n)
