@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from partatlas.llm.align import align
 from partatlas.llm.chunks import repeated_spans
 from partatlas.llm.exact import EXACT_SQL, exact_groups
 from partatlas.llm.hnsw import nearest
@@ -89,6 +90,13 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+@query("op11_token_alignment")
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    digest = lambda groups: F.when(groups == "", "").otherwise(F.sha2(groups, 256))
+    return align(_table(spark, sf_dir, "documents"), *files, keep=digest).withColumnRenamed("groups", "groups_sha256")
+
+
 @query("op12_exact_dedup", EXACT_SQL)
 def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(_table(spark, sf_dir, "documents").select("doc_id", "text"))
