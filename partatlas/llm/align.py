@@ -33,7 +33,8 @@ from __future__ import annotations
 import os
 import re
 import sys
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -48,11 +49,13 @@ from partatlas.session import materialize
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Stretches of one generation, the longest that is remembered, characters of a block.
-MEMO_STRETCHES = 150_000
+MEMO_STRETCHES = 100_000
 MEMO_CHARS = 48
-BLOCK_CHARS = 1 << 22
+BLOCK_CHARS = 1 << 21
 #: Documents that leave a worker at once, in characters.
 _OUT_CHARS = 1 << 19
+#: Stretches that are aligned at once.
+_AT_ONCE = 5_000
 #: A pair of ids as one number: A times this, plus B.
 PAIR = 1 << 32
 _CUT = re.compile(r"(?<=\S) (?=[\s\S])")
@@ -61,46 +64,52 @@ _STORED = (
     "pairs array<long>, times array<long>, pair_numbers binary, n_pairs binary")
 _SCORED = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups string"
 
+#: Numbers of A tokens, B tokens, groups and links, the groups as text, the links' pairs.
 Aligned = tuple[int, int, int, int, str, tuple[int, ...]]
 
 
-def align_ids(a: list[int], b: list[int], a_sizes: list[int], b_sizes: list[int]) -> tuple[list, list[tuple[int, int]]]:
-    """Groups ``(A ids, B ids)`` and links ``(A id, B id)`` of two segmentations of the
-    same bytes, given the bytes of each token."""
-    a_ends, b_ends = _ends(a_sizes), _ends(b_sizes)
-    common = sorted(a_ends.keys() & b_ends.keys())
-    groups, links, i, j = [], [], 0, 0
-    for end in common:
-        p, q = a_ends[end] + 1, b_ends[end] + 1
-        groups.append((a[i:p], b[j:q]))
-        if p - i == 1 or q - j == 1:
-            links += [(x, y) for x in a[i:p] for y in b[j:q]]
-        else:
-            links += _overlaps(a[i:p], b[j:q], a_sizes[i:p], b_sizes[j:q])
-        i, j = p, q
-    return groups, links
-
-
-def _ends(sizes: list[int]) -> dict[int, int]:
-    """Numbers of tokens by the place where they end."""
-    out, end = {}, 0
-    for k, size in enumerate(sizes):
-        end += size
-        out[end] = k
-    return out
-
-
-def _overlaps(a: list[int], b: list[int], a_sizes: list[int], b_sizes: list[int]) -> list[tuple[int, int]]:
-    """Overlapping pairs of a group in which no end but the last is common."""
-    out, i, j, left_a, left_b = [], 0, 0, a_sizes[0], b_sizes[0]
-    while True:
-        out.append((a[i], b[j]))
-        if left_a == left_b:
-            return out
-        if left_a < left_b:
-            i, left_a, left_b = i + 1, a_sizes[i + 1], left_b - left_a
-        else:
-            j, left_b, left_a = j + 1, b_sizes[j + 1], left_a - left_b
+def common_ends(a_ends: np.ndarray, b_ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The ends that both sides have, in order, and how many A tokens and how many B
+    tokens lie before each: the cuts between groups."""
+    a_index = dict(zip(a_ends.tolist(), range(1, len(a_ends) + 1)))
+    b_index = dict(zip(b_ends.tolist(), range(1, len(b_ends) + 1)))
+    ends = sorted(a_index.keys() & b_index.keys())
+    return (np.array(ends, np.int64), np.array(list(map(a_index.__getitem__, ends)), np.int64),
+            np.array(list(map(b_index.__getitem__, ends)), np.int64))
+
+
+def linked(a_ends: np.ndarray, b_ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Overlapping pairs of tokens: the end of each overlap, the A and the B token.
+
+    Inside a group, whose tokens lie next to each other on both sides, two tokens
+    overlap exactly where one of them ends first, so each end of either side is a link.
+    """
+    ends = np.union1d(a_ends, b_ends)
+    return ends, np.searchsorted(a_ends, ends), np.searchsorted(b_ends, ends)
+
+
+class _Words:
+    """Decimal ids with the sign behind them: A ids end in ``,`` or, last of a group, in
+    ``|``, B ids in ``,`` or ``;``."""
+
+    def __init__(self, n_a: int, n_b: int) -> None:
+        self.n_a, self.n_b = n_a, n_b
+        self.table = [f"{i}{sign}" for n, signs in ((n_a, ",|"), (n_b, ",;")) for sign in signs for i in range(n)]
+
+    def of_groups(self, a: np.ndarray, b: np.ndarray, a_upto: np.ndarray, b_upto: np.ndarray) -> list[str]:
+        """Ids of all groups one after the other, A tokens before B tokens in each."""
+        a_last, b_last = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
+        a_last[a_upto - 1] = b_last[b_upto - 1] = 1
+        a_group, b_group = np.cumsum(a_last) - a_last, np.cumsum(b_last) - b_last
+        order = np.empty(len(a) + len(b), np.int64)
+        order[np.arange(len(a)) + np.append(0, b_upto)[a_group]] = a + self.n_a * a_last
+        order[np.arange(len(b)) + a_upto[b_group]] = b + 2 * self.n_a + self.n_b * b_last
+        return list(map(self.table.__getitem__, order.tolist()))
+
+
+def stretches_of(text: str | None) -> list[str]:
+    """Stretches of a text, each without the space before it; none for an empty text."""
+    return _CUT.split(text) if text else []
 
 
 class Aligner:
@@ -108,49 +117,71 @@ class Aligner:
 
     def __init__(self, a_json: str, b_model: bytes) -> None:
         import sentencepiece
+        from tokenizers import Tokenizer
 
-        self.a = PieceEncoder(a_json, added=False)
-        self.a_bytes = self.a.token_bytes()
+        self.a = Tokenizer.from_str(a_json)
+        self.a.encode_special_tokens = True
+        self.a_bytes = PieceEncoder(a_json).token_bytes()
         self.b = sentencepiece.SentencePieceProcessor(model_proto=b_model)
         texts = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.b_bytes = [
             bytes([int(t[1:-1], 16)]) if self.b.is_byte(i) else t.replace("▁", " ").encode() for i, t in enumerate(texts)]
+        self.a_sizes, self.b_sizes = (np.array(list(map(len, x))) for x in (self.a_bytes, self.b_bytes))
+        self.words = _Words(len(self.a_bytes), len(self.b_bytes))
         self.memo: dict[str, Aligned | None] = {}
         self.earlier: dict[str, Aligned | None] = {}
 
-    def stretches(self, texts: list[str]) -> Iterator[list[tuple[str, Aligned | None]]]:
-        """Stretches of each text with their alignments; none for an empty text."""
-        split = [_CUT.split(t) if t else [] for t in texts]
-        new = set().union(*split)
-        new.difference_update(self.memo)
-        known, earlier, unknown = self.memo, self.earlier, []
-        for s in new:
-            if s in earlier:
-                known[s] = earlier[s]
+    def aligned(self, stretches: Iterable[str]) -> dict[str, Aligned | None]:
+        """Alignment of each of some distinct stretches, none where bytes differ."""
+        if len(self.memo) > MEMO_STRETCHES:
+            self.memo, self.earlier = {}, self.memo
+        memo, out, unknown = self.memo, {}, []
+        for s in stretches:
+            if s in memo:
+                out[s] = memo[s]
+            elif s in self.earlier:
+                out[s] = memo[s] = self.earlier[s]
             else:
                 unknown.append(s)
-        long = {}
-        for s, x in zip(unknown, self._align(unknown)):
-            (known if len(s) <= MEMO_CHARS else long)[s] = x
-        for parts in split:
-            yield [(s, known[s] if s in known else long[s]) for s in parts]
-        if len(known) > MEMO_STRETCHES:
-            self.memo, self.earlier = {}, known
-
-    def _align(self, stretches: list[str]) -> Iterator[Aligned | None]:
-        """Alignment of each stretch behind one space: numbers of A and B tokens, groups
-        and links, groups as text, pairs of links as numbers; none if bytes differ."""
-        coded = self.b.encode(stretches, num_threads=1)
-        for text, b in zip(stretches, coded):
-            a = np.frombuffer(self.a.ids(" " + text), "<u4").tolist()
-            raw = b" " + text.encode("utf-8", "replace")
-            a_parts, b_parts = [self.a_bytes[x] for x in a], [self.b_bytes[x] for x in b]
-            if b"".join(a_parts) != raw or b"".join(b_parts) != raw:
-                yield None
-                continue
-            groups, links = align_ids(a, b, list(map(len, a_parts)), list(map(len, b_parts)))
-            told = ";".join([f"{','.join(map(str, x))}|{','.join(map(str, y))}" for x, y in groups])
-            yield len(a), len(b), len(groups), len(links), told, tuple([x * PAIR + y for x, y in links])
+        # What follows white space at the end of a stretch might change its tokens.
+        closed = [s for s in unknown if s and not s[-1].isspace()]
+        batches = [closed[i : i + _AT_ONCE] for i in range(0, len(closed), _AT_ONCE)]
+        for batch in batches + [[s] for s in unknown if not s or s[-1].isspace()]:
+            for s, x in self._align(batch):
+                out[s] = x
+                if len(s) <= MEMO_CHARS:
+                    memo[s] = x
+        return out
+
+    def _align(self, stretches: list[str]) -> Iterator[tuple[str, Aligned | None]]:
+        """Stretches behind one space each, laid end to end and aligned together."""
+        text = "".join([" " + s for s in stretches])
+        raw = text.encode("utf-8", "replace")
+        a = self.a.encode(text, add_special_tokens=False).ids
+        b = self.b.encode(text[1:], num_threads=1)
+        if not b"".join(map(self.a_bytes.__getitem__, a)) == raw == b"".join(map(self.b_bytes.__getitem__, b)):
+            if len(stretches) == 1:
+                yield stretches[0], None
+                return
+            half = len(stretches) // 2
+            yield from self._align(stretches[:half])
+            yield from self._align(stretches[half:])
+            return
+        a, b = np.array(a, np.int64), np.array(b, np.int64)
+        a_ends, b_ends = np.cumsum(self.a_sizes[a]), np.cumsum(self.b_sizes[b])
+        ends, a_upto, b_upto = common_ends(a_ends, b_ends)
+        words = self.words.of_groups(a, b, a_upto, b_upto)
+        link_ends, x, y = linked(a_ends, b_ends)
+        pairs = (a[x] * PAIR + b[y]).tolist()
+        # Every stretch ends at a common end.
+        stops = np.cumsum([1 + len(s if s.isascii() else s.encode("utf-8", "replace")) for s in stretches])
+        group = np.searchsorted(ends, stops) + 1
+        upto = zip(a_upto[group - 1].tolist(), b_upto[group - 1].tolist(), group.tolist(),
+                   np.searchsorted(link_ends, stops, "right").tolist())
+        i = j = g = k = 0
+        for s, (p, q, h, m) in zip(stretches, upto):
+            yield s, (p - i, q - j, h - g, m - k, "".join(words[i + j : p + q])[:-1], tuple(pairs[k:m]))
+            i, j, g, k = p, q, h, m
 
 
 class _Numbers(dict):
@@ -176,28 +207,46 @@ class _Block:
 
     def __init__(self, number: int) -> None:
         self.number, self.chars = number, 0
-        self.stretches, self.pairs = _Numbers(), _Numbers()
+        self.stretches: dict[str, int] = {}
+        self.told: list[str] = []
+        self.sizes: list[tuple[int, int, int, int]] = []
+        self.wrong: set[int] = set()
+        self.pairs = _Numbers()
         self.pair_numbers: list[int] = []
-        self.n_pairs: list[int] = []
         self.used = np.zeros(0, np.int64)
 
-    def add(self, parts: list[tuple[str, Aligned]]) -> bytes:
-        before = len(self.stretches)
-        numbers = np.array([self.stretches[s] for s, _ in parts], np.int64)
-        if len(self.stretches) > before:
-            fresh = dict(zip(numbers.tolist(), (x[5] for _, x in parts)))
-            for k in range(before, len(self.stretches)):
-                self.pair_numbers += map(self.pairs.__getitem__, fresh[k])
-                self.n_pairs.append(len(fresh[k]))
-        counts = np.bincount(numbers, minlength=len(self.stretches))
-        counts[: len(self.used)] += self.used
-        self.used = counts
-        return _planes(numbers)
+    def add(self, aligner: Aligner, texts: list[str]) -> list[dict]:
+        """Rows of some documents, without their ids."""
+        split = list(map(stretches_of, texts))
+        new = dict.fromkeys(chain.from_iterable(split))
+        for s, x in aligner.aligned([s for s in new if s not in self.stretches]).items():
+            if x is None:
+                self.wrong.add(len(self.told))
+                x = (0, 0, 0, 0, "", ())
+            self.stretches[s] = len(self.told)
+            self.told.append(x[4])
+            self.sizes.append(x[:4])
+            self.pair_numbers += map(self.pairs.__getitem__, x[5])
+        sizes = np.array(self.sizes, np.int64).reshape(-1, 4)
+        self.used = np.append(self.used, np.zeros(len(sizes) - len(self.used), np.int64))
+        rows = []
+        for parts in split:
+            numbers = list(map(self.stretches.__getitem__, parts))
+            if self.wrong and not self.wrong.isdisjoint(numbers):
+                numbers = []
+            at = np.array(numbers, np.int64)
+            np.add.at(self.used, at, 1)
+            sums = sizes[at].sum(0).tolist()
+            rows.append({
+                "block": self.number, "groups": ";".join(map(self.told.__getitem__, numbers)), "stretches": _planes(at),
+                **dict(zip(("n_a", "n_b", "n_groups", "n_links"), sums))})
+        self.chars += sum(map(len, texts))
+        return rows
 
     def row(self) -> dict:
         """The block's own row: its distinct pairs, how often each is linked, and the
         pairs of each stretch."""
-        numbers, sizes = np.array(self.pair_numbers, np.int64), np.array(self.n_pairs, np.int64)
+        numbers, sizes = np.array(self.pair_numbers, np.int64), np.array([x[3] for x in self.sizes], np.int64)
         times = np.bincount(numbers, np.repeat(self.used, sizes), len(self.pairs)).astype(np.int64)
         return {"block": self.number, "pairs": list(self.pairs), "times": times.tolist(),
                 "pair_numbers": _planes(numbers), "n_pairs": _planes(sizes)}
@@ -221,15 +270,9 @@ def _store(aligner: Aligner, batches: Iterator[pa.RecordBatch], task: int) -> It
                 continue
             if block is None:
                 block, block_no = _Block((task << 32) + block_no), block_no + 1
-            rows = []
-            for doc_id, parts in zip(ids.slice(start, len(part)).to_pylist(), aligner.stretches(part)):
-                if any(x is None for _, x in parts):
-                    parts = []
-                a, b, groups, links, told, _ = zip(*[x for _, x in parts]) if parts else ((),) * 6
-                rows.append({
-                    "block": block.number, "doc_id": doc_id, "n_a": sum(a), "n_b": sum(b), "n_groups": sum(groups),
-                    "n_links": sum(links), "groups": ";".join(told), "stretches": block.add(parts)})
-            block.chars += size
+            rows = block.add(aligner, part)
+            for doc_id, row in zip(ids.slice(start, len(part)).to_pylist(), rows):
+                row["doc_id"] = doc_id
             if block.chars >= BLOCK_CHARS:
                 rows.append(block.row())
                 block = None

@@ -5,7 +5,9 @@ from __future__ import annotations
 import hashlib
 import random
 from collections import Counter
+from itertools import chain
 
+import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -99,10 +101,24 @@ def test_stretches_are_as_whole_texts(plain):
     aligner = t.Aligner(open(A, encoding="utf-8").read(), open(B, "rb").read())
     letters = list("ab e'  \n\t.,;#9²½ªµéÀß÷×\x85\xa0\x1c\x1d\x0b 　日本Ωжы😀٣Ⅷ_-sdmtrevl'")
     texts = ["".join(rng.choices(letters, k=rng.randrange(1, 40))) for _ in range(3000)]
-    for text, parts in zip(texts, aligner.stretches(texts)):
+    for text in texts:
         a, b = plain(text)
-        n_a, n_b = (sum(x[k] for _, x in parts) for k in (0, 1))
-        assert (n_a, n_b) == (len(a), len(b))
+        parts = aligner.aligned(dict.fromkeys(t.stretches_of(text)))
+        got = [parts[x] for x in t.stretches_of(text)]
+        if None in got:
+            assert not a
+            continue
+        assert (sum(x[0] for x in got), sum(x[1] for x in got)) == (len(a), len(b))
+    # All at once, while stretches are forgotten, gives the same.
+    before = aligner.aligned(dict.fromkeys(chain.from_iterable(map(t.stretches_of, texts))))
+    fresh = t.Aligner(open(A, encoding="utf-8").read(), open(B, "rb").read())
+    assert fresh.aligned(before) == before
+
+
+def test_long_stretches_are_not_remembered():
+    aligner = t.Aligner(open(A, encoding="utf-8").read(), open(B, "rb").read())
+    assert aligner.aligned(["short", "x" * 5_000])["x" * 5_000][0] > 1
+    assert list(aligner.memo) == ["short"]
 
 
 def test_query_against_brute_force(spark, plain):
@@ -153,8 +169,12 @@ def test_odd_rows(odd, none, plain):
     assert t.align(none, A, B).collect() == []
 
 
-def test_ids_by_hand():
-    groups, links = t.align_ids([1, 2, 3], [7, 8], [2, 3, 1], [4, 2])
-    assert groups == [([1, 2, 3], [7, 8])]
-    assert links == [(1, 7), (2, 7), (2, 8), (3, 8)]
-    assert t.align_ids([], [], [], []) == ([], [])
+def test_ends_by_hand():
+    ends = lambda *x: np.cumsum(x)
+    plain_lists = lambda arrays: [x.tolist() for x in arrays]
+    assert plain_lists(t.common_ends(ends(2, 3, 1), ends(4, 2))) == [[6], [3], [2]]
+    assert plain_lists(t.linked(ends(2, 3, 1), ends(4, 2)))[1:] == [[0, 1, 1, 2], [0, 0, 1, 1]]
+    assert plain_lists(t.common_ends(ends(2, 2, 1), ends(2, 3))) == [[2, 5], [1, 3], [1, 2]]
+    assert plain_lists(t.linked(ends(2, 2, 1), ends(2, 3)))[1:] == [[0, 1, 2], [0, 1, 1]]
+    words = t._Words(5, 9).of_groups(np.array([1, 2, 3]), np.array([7, 8]), np.array([1, 3]), np.array([1, 2]))
+    assert "".join(words) == "1|7;2,3|8;"
