@@ -153,7 +153,7 @@ class _Memo(dict):
         ids = self.earlier.get(piece)
         if ids is None:
             spelled = "".join(map(self.letters.__getitem__, piece.encode("utf-8", "replace")))
-            ids = np.array([t.id for t in self.tokenize(spelled)], "<u4").tobytes()
+            ids = struct.pack(f"<{len(found := self.tokenize(spelled))}I", *[t.id for t in found])
         if len(piece) <= MEMO_CHARS:
             self[piece] = ids
         return ids
