@@ -4,8 +4,7 @@ None of them compares every query with every key:
 
 * masked joins turn into equi-joins on (signature, masked text), where the
   signature is the wildcard layout of a key;
-* the contains join is an equi-join on one substring of a power-of-two length;
-* the fuzzy join is a prefix-filtered set join on characters.
+* the contains join is an equi-join on one substring of a power-of-two length.
 
 Inputs are reduced to distinct names first, so a name that fills a third of a
 table is matched once.
@@ -18,7 +17,6 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from partatlas.constants import FUZZY_THRESHOLD
 from partatlas.functions.masks import (
     apply_signature,
     has_wildcard,
@@ -26,13 +24,9 @@ from partatlas.functions.masks import (
     masked_match,
     signature,
 )
-from partatlas.functions.pyudf import fuzzy_ratio
 from partatlas.functions.text import folded, let
 from partatlas.session import materialize
 
-# Characters-with-count held as bits, the most frequent ones; the rest stay in an array.
-WORD_BITS, WORDS = 63, 2
-
 
 def distinct_queries(queries: DataFrame) -> DataFrame:
     """Distinct folded queries, blank ones left out."""
@@ -213,138 +207,6 @@ def contains_join(queries: DataFrame, catalog: DataFrame) -> DataFrame:
     )
 
 
-# --- fuzzy join --------------------------------------------------------------
-
-
-def _characters(text: str) -> Column:
-    """Characters with their running count ("a1", "b1", "a2"), so that the size
-    of the intersection of two such sets is the common character count."""
-    return let(
-        F.split(F.col(text), ""),
-        lambda chars: F.flatten(
-            F.transform(
-                F.array_distinct(chars),
-                lambda c: F.transform(
-                    F.sequence(F.lit(1), F.size(F.filter(chars, lambda d: d == c))),
-                    lambda i: F.concat(c, i.cast("string")),
-                ),
-            )
-        ),
-    )
-
-
-def _least_overlap(n: Column, threshold: float) -> Column:
-    """Fewest characters a text of length n must share with any partner.
-
-    ratio = 2m / (a + b) >= t and m <= b give m >= a * t / (2 - t). The small
-    slack keeps float rounding from ever raising the bound.
-    """
-    return F.greatest(F.ceil(n * (threshold / (2.0 - threshold)) - 1e-9), F.lit(1)).cast("int")
-
-
-def _bit_sum(codes: Column, word: int) -> Column:
-    """The bits of one word out of an array of bit positions."""
-    low, high = word * WORD_BITS, (word + 1) * WORD_BITS
-    mine = F.filter(codes, lambda b: (b >= low) & (b < high))
-    return F.aggregate(
-        mine,
-        F.lit(0).cast("bigint"),
-        lambda acc, b: acc.bitwiseOR(
-            F.call_function("shiftleft", F.lit(1).cast("bigint"), b - F.lit(low))
-        ),
-    )
-
-
-def fuzzy_pairs(
-    queries: DataFrame, names: DataFrame, threshold: float = FUZZY_THRESHOLD,
-    beyond_contains: bool = False,
-) -> DataFrame:
-    """(q, k, ratio) of all pairs whose ratio reaches the threshold.
-
-    With ``beyond_contains`` pairs where q occurs within k are left out before
-    their ratio is computed.
-
-    Two texts reach it only if they share enough characters. With the
-    characters of each text in one global order, rarest first, such a pair also
-    shares one among the first ``n - least overlap + 1`` of both. Pairs come
-    from an equi-join on those, each kept at its first common character only;
-    then the length and common-character bounds, and last the exact ratio.
-
-    Frequent characters are bits of two words, so that the tests on a pair are
-    a few machine operations; only rarer ones are compared as arrays.
-    """
-    q_side = queries.select(F.col("q").alias("t"), F.lit(True).alias("is_q"))
-    k_side = names.select(F.col("k").alias("t"), F.lit(False).alias("is_q"))
-    both = q_side.unionByName(k_side).filter(F.length("t") > 0).select(
-        "t", "is_q", _characters("t").alias("bag")
-    )
-    # Position from the most frequent (0) on, one row per character and count that
-    # names have; one that no name has is rarer than all of them.
-    frequency = (
-        both.filter(~F.col("is_q")).select(F.explode("bag").alias("c")).groupBy("c").count()
-    )
-    order = Window.partitionBy(F.lit(0)).orderBy(F.desc("count"), "c")
-    ranks = frequency.select("c", (F.row_number().over(order) - 1).alias("b"))
-    rare = F.lit(WORD_BITS * WORDS)
-    unknown = F.lit((1 << 31) - 1)
-    ranked = (
-        both.select("t", "is_q", F.explode("bag").alias("c"))
-        .join(ranks, "c", "left")
-        .groupBy("t", "is_q")
-        .agg(F.sort_array(
-            F.collect_list(F.struct(F.coalesce("b", unknown).alias("b"), "c")), asc=False
-        ).alias("bag"))
-    )
-    least = _least_overlap(F.length("t"), threshold)
-    prepared = (
-        ranked.withColumn("head", F.slice("bag", F.lit(1), F.size("bag") - least + 1))
-        .select(
-            "t", "is_q", "head",
-            *[_bit_sum(F.transform("bag", lambda e: e.b), w).alias(f"w{w}") for w in range(WORDS)],
-            F.transform(F.filter("bag", lambda e: e.b >= rare), lambda e: e.c).alias("rare"),
-            *[_bit_sum(F.transform("head", lambda e: e.b), w).alias(f"h{w}") for w in range(WORDS)],
-        )
-    )
-
-    def side(is_q: bool, prefix: str) -> DataFrame:
-        rows = prepared.filter(F.col("is_q") == is_q).withColumn(
-            "head_rare", F.transform(F.filter("head", lambda e: e.b >= rare), lambda e: e.c)
-        )
-        names = ["t", "rare", "head_rare"] + [f"{x}{w}" for x in "wh" for w in range(WORDS)]
-        return rows.select(
-            *[F.col(c).alias(f"{prefix}{c}") for c in names], F.explode("head").alias("e")
-        ).select("*", F.col("e.c").alias("c"), F.col("e.b").alias(f"{prefix}b")).drop("e")
-
-    def both_have(x: str, word: int) -> Column:
-        return F.col(f"q_{x}{word}").bitwiseAND(F.col(f"k_{x}{word}"))
-
-    a, b = F.length("q_t"), F.length("k_t")
-    shared = F.size(F.array_intersect("q_rare", "k_rare"))
-    for w in range(WORDS):
-        shared = shared + F.bit_count(both_have("w", w))
-    # First common head character: no common one that is rarer than ``c``.
-    bit = F.col("k_b")
-    no_rare = F.size(F.array_intersect("q_head_rare", "k_head_rare")) == 0
-    first = F.element_at(F.array_intersect("q_head_rare", "k_head_rare"), 1) == F.col("c")
-    for w in reversed(range(WORDS)):
-        low = w * WORD_BITS
-        above = F.call_function("shiftright", both_have("h", w), bit - F.lit(low) + 1)
-        higher_words = no_rare
-        for more in range(w + 1, WORDS):
-            higher_words = higher_words & (both_have("h", more) == 0)
-        first = F.when((bit >= low) & (bit < low + WORD_BITS),
-                       higher_words & ((above == 0) | (bit == low + WORD_BITS - 1))).otherwise(first)
-    found = side(True, "q_").join(side(False, "k_"), "c").filter(
-        (2 * F.least(a, b) >= threshold * (a + b) - 1e-9)
-        & (2 * shared >= threshold * (a + b) - 1e-9)
-        & first
-    )
-    if beyond_contains:
-        found = found.filter(~F.contains("k_t", F.col("q_t")))
-    pairs = found.select(F.col("q_t").alias("q"), F.col("k_t").alias("k"))
-    return pairs.withColumn("ratio", fuzzy_ratio("q", "k")).filter(F.col("ratio") >= threshold)
-
-
 # --- resolution --------------------------------------------------------------
 
 

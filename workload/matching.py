@@ -221,14 +221,95 @@ def _(spark, sf):
     return ranked(spark, sf)
 
 
-@query("fuzzy_join")
+# Characters with their running count; intersections of such lists count common characters.
+def _bag(text: str) -> str:
+    return f"""list_transform(range(1, length({text}) + 1), lambda i: concat(substr({text}, i, 1),
+        length(substr({text}, 1, i)) - length(replace(substr({text}, 1, i), substr({text}, i, 1), ''))))"""
+
+
+# The longest block of two texts that is earliest in a, as 1000 * its length - its start.
+BLOCK_SQL = """coalesce(list_max(list_transform(range(1, length(a) + 1), lambda i: 1000 * list_max(
+        list_transform(range(0, length(a) - i + 2), lambda n: CASE WHEN contains(b, substr(a, i, n)) THEN n ELSE 0 END)) - i)), 0)"""
+
+
+def ratio_sql(pairs: str) -> str:
+    """SQL of (q, k, ratio) for the (q, k) of ``pairs``: the longest common block, then the
+    same on both of its sides."""
+    return f"""pairs AS ({pairs}),
+    open AS (
+        SELECT q, k, a, b, {BLOCK_SQL} AS block FROM (SELECT q, k, q AS a, k AS b FROM pairs)
+        UNION ALL
+        SELECT q, k, a, b, {BLOCK_SQL} AS block FROM (
+            SELECT q, k, unnest([substr(a, 1, i - 1), substr(a, i + n)]) AS a,
+                   unnest([substr(b, 1, j - 1), substr(b, j + n)]) AS b
+            FROM (SELECT *, strpos(b, substr(a, i, n)) AS j FROM (
+                SELECT *, (block + 999) // 1000 AS n, (block + 999) // 1000 * 1000 - block AS i FROM open WHERE block > 0)))
+        WHERE a <> '' AND b <> ''),
+    ratios AS (
+        SELECT q, k, CAST(2 * coalesce(sum((block + 999) // 1000) FILTER (WHERE block > 0), 0) AS double) / (length(q) + length(k)) AS ratio
+        FROM open GROUP BY q, k)"""
+
+
+# Pairs whose common characters can reach the threshold, and their ratios.
+FUZZY_SQL = f"""
+    asked AS (SELECT DISTINCT lower(trim(query)) AS q FROM v_queries WHERE trim(query) <> ''),
+    named AS (SELECT lower(part) AS k FROM v_keys UNION SELECT lower(family) FROM v_keys),
+    asked_bags AS (SELECT q, length(q) AS a, {_bag("q")} AS q_bag FROM asked),
+    named_bags AS (SELECT k, length(k) AS b, {_bag("k")} AS k_bag FROM named),
+    """ + ratio_sql("""
+        SELECT q, k FROM asked_bags JOIN named_bags ON 2 * least(a, b) >= 0.549 * (a + b)
+        WHERE 2 * len(list_intersect(q_bag, k_bag)) >= 0.549 * (a + b)""") + f""",
+    keys AS (SELECT DISTINCT part, family FROM v_keys),
+    led AS (
+        SELECT q, part, family, ratio AS by_part, CAST(0 AS double) AS by_family FROM ratios JOIN keys ON lower(part) = k WHERE ratio >= 0.55
+        UNION ALL
+        SELECT q, part, family, CAST(0 AS double), ratio FROM ratios JOIN keys ON lower(family) = k WHERE ratio >= 0.55),
+    near AS (
+        SELECT q, part, family, max(by_part) AS by_part, max(by_family) AS by_family FROM led GROUP BY q, part, family),
+    alike AS (
+        SELECT q.q, k.part, k.family, 0.6 * greatest(by_part, by_family) AS score,
+               CASE WHEN by_part >= by_family THEN 'part' ELSE 'family' END AS matched_field
+        FROM (SELECT q, part, family, by_part, by_family FROM near) k JOIN asked q ON q.q = k.q WHERE {SCORE_SQL} IS NULL)"""
+RAW_SQL = "(SELECT DISTINCT query, lower(trim(query)) AS q FROM v_queries)"
+RANKED_FUZZY_SQL = f"""WITH RECURSIVE {FUZZY_SQL},
+    scored AS (
+        SELECT q.q, k.part, k.family, CAST({SCORE_SQL} AS double) AS score
+        FROM asked q, keys k),
+    hits AS (
+        SELECT q, part, family, score, CASE WHEN score IN (0.95, 0.85, 0.65) THEN 'family' ELSE 'part' END AS matched_field
+        FROM scored WHERE score IS NOT NULL
+        UNION ALL SELECT q, part, family, score, matched_field FROM alike),
+    best AS (
+        SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, lower(part), part, family) AS rank FROM hits)
+    SELECT query, part, family, score, matched_field, rank FROM best JOIN {RAW_SQL} USING (q) WHERE rank <= 50"""
+
+
+@query(
+    "fuzzy_ratios",
+    f"""WITH RECURSIVE {ratio_sql("SELECT DISTINCT lower(p_name) AS q, lower(s_name) AS k FROM {part}, {supplier} WHERE s_suppkey % 10 = p_size % 10")}
+        SELECT q, k, ratio FROM ratios""",
+)
+def _(spark, sf):
+    """Ratios of names of parts and of suppliers, whatever they come to."""
+    from partatlas.functions.pyudf import fuzzy_ratio
+
+    pairs = view(spark, sf, """SELECT DISTINCT lower(p_name) AS q, lower(s_name) AS k FROM {part}
+                               JOIN {supplier} ON s_suppkey % 10 = p_size % 10""")
+    return pairs.withColumn("ratio", fuzzy_ratio("q", "k"))
+
+
+@query(
+    "fuzzy_join",
+    f"""WITH RECURSIVE {FUZZY_SQL}
+        SELECT query, part, family, score, matched_field FROM alike JOIN {RAW_SQL} USING (q)""",
+)
 def _(spark, sf):
-    return S.fuzzy_join(view(spark, sf, "v_typos"), view(spark, sf, "v_keys"))
+    return S.fuzzy_join(view(spark, sf, "v_queries"), view(spark, sf, "v_keys"))
 
 
-@query("ranked_search_fuzzy")
+@query("ranked_search_fuzzy", RANKED_FUZZY_SQL)
 def _(spark, sf):
-    return ranked(spark, sf, "v_typos", fuzzy=True)
+    return ranked(spark, sf, fuzzy=True)
 
 
 @query(

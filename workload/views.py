@@ -180,7 +180,10 @@ def spark_view(spark: SparkSession, sf_dir: str, body: str) -> DataFrame:
 
 def duckdb_sql(body: str) -> str:
     body = body.strip()
-    if body.upper().startswith("WITH "):
+    if body.startswith("WITH RECURSIVE "):
+        inner = with_clause(body).strip()[5:]
+        text = f"WITH RECURSIVE {inner + ', ' if inner else ''}{body[15:]}"
+    elif body.upper().startswith("WITH "):
         inner = with_clause(body).strip()
         text = f"{inner}, {body[5:]}" if inner else body
     else:
