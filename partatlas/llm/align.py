@@ -33,6 +33,7 @@ from __future__ import annotations
 import os
 import re
 import sys
+from array import array
 from collections.abc import Callable, Iterable, Iterator
 from itertools import chain
 
@@ -49,9 +50,9 @@ from partatlas.session import materialize
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Stretches of one generation, the longest that is remembered, characters of a block.
-MEMO_STRETCHES = 100_000
+MEMO_STRETCHES = 160_000
 MEMO_CHARS = 48
-BLOCK_CHARS = 1 << 21
+BLOCK_CHARS = 1 << 23
 #: Documents that leave a worker at once, in characters.
 _OUT_CHARS = 1 << 19
 #: Stretches that are aligned at once.
@@ -59,6 +60,7 @@ _AT_ONCE = 5_000
 #: A pair of ids as one number: A times this, plus B.
 PAIR = 1 << 32
 _CUT = re.compile(r"(?<=\S) (?=[\s\S])")
+_BLANK = re.compile(r"\s ")
 _STORED = (
     "block long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups string, stretches binary, "
     "pairs array<long>, times array<long>, pair_numbers binary, n_pairs binary")
@@ -88,6 +90,10 @@ def linked(a_ends: np.ndarray, b_ends: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return ends, np.searchsorted(a_ends, ends), np.searchsorted(b_ends, ends)
 
 
+def _numbers(values: list[int]) -> np.ndarray:
+    return np.frombuffer(array("q", values), np.int64)
+
+
 class _Words:
     """Decimal ids with the sign behind them: A ids end in ``,`` or, last of a group, in
     ``|``, B ids in ``,`` or ``;``."""
@@ -109,7 +115,10 @@ class _Words:
 
 def stretches_of(text: str | None) -> list[str]:
     """Stretches of a text, each without the space before it; none for an empty text."""
-    return _CUT.split(text) if text else []
+    if not text:
+        return []
+    plain = text[0] != " " and text[-1] != " " and not _BLANK.search(text)
+    return text.split(" ") if plain else _CUT.split(text)
 
 
 class Aligner:
@@ -167,7 +176,7 @@ class Aligner:
             yield from self._align(stretches[:half])
             yield from self._align(stretches[half:])
             return
-        a, b = np.array(a, np.int64), np.array(b, np.int64)
+        a, b = _numbers(a), _numbers(b)
         a_ends, b_ends = np.cumsum(self.a_sizes[a]), np.cumsum(self.b_sizes[b])
         ends, a_upto, b_upto = common_ends(a_ends, b_ends)
         words = self.words.of_groups(a, b, a_upto, b_upto)
@@ -209,7 +218,7 @@ class _Block:
         self.number, self.chars = number, 0
         self.stretches: dict[str, int] = {}
         self.told: list[str] = []
-        self.sizes: list[tuple[int, int, int, int]] = []
+        self.sizes = np.zeros((0, 4), np.int64)
         self.wrong: set[int] = set()
         self.pairs = _Numbers()
         self.pair_numbers: list[int] = []
@@ -218,35 +227,36 @@ class _Block:
     def add(self, aligner: Aligner, texts: list[str]) -> list[dict]:
         """Rows of some documents, without their ids."""
         split = list(map(stretches_of, texts))
-        new = dict.fromkeys(chain.from_iterable(split))
+        new, more = dict.fromkeys(chain.from_iterable(split)), []
         for s, x in aligner.aligned([s for s in new if s not in self.stretches]).items():
             if x is None:
                 self.wrong.add(len(self.told))
                 x = (0, 0, 0, 0, "", ())
             self.stretches[s] = len(self.told)
             self.told.append(x[4])
-            self.sizes.append(x[:4])
+            more.append(x[:4])
             self.pair_numbers += map(self.pairs.__getitem__, x[5])
-        sizes = np.array(self.sizes, np.int64).reshape(-1, 4)
+        self.sizes = sizes = np.concatenate([self.sizes, np.array(more, np.int64).reshape(-1, 4)])
         self.used = np.append(self.used, np.zeros(len(sizes) - len(self.used), np.int64))
-        rows = []
+        rows, used = [], []
         for parts in split:
             numbers = list(map(self.stretches.__getitem__, parts))
             if self.wrong and not self.wrong.isdisjoint(numbers):
                 numbers = []
-            at = np.array(numbers, np.int64)
-            np.add.at(self.used, at, 1)
+            at = _numbers(numbers)
+            used.append(at)
             sums = sizes[at].sum(0).tolist()
             rows.append({
                 "block": self.number, "groups": ";".join(map(self.told.__getitem__, numbers)), "stretches": _planes(at),
                 **dict(zip(("n_a", "n_b", "n_groups", "n_links"), sums))})
+        self.used += np.bincount(np.concatenate(used), minlength=len(sizes))
         self.chars += sum(map(len, texts))
         return rows
 
     def row(self) -> dict:
         """The block's own row: its distinct pairs, how often each is linked, and the
         pairs of each stretch."""
-        numbers, sizes = np.array(self.pair_numbers, np.int64), np.array([x[3] for x in self.sizes], np.int64)
+        numbers, sizes = np.array(self.pair_numbers, np.int64), self.sizes[:, 3]
         times = np.bincount(numbers, np.repeat(self.used, sizes), len(self.pairs)).astype(np.int64)
         return {"block": self.number, "pairs": list(self.pairs), "times": times.tolist(),
                 "pair_numbers": _planes(numbers), "n_pairs": _planes(sizes)}
