@@ -48,28 +48,37 @@ def test_on_a_column(spark):
 
 @pytest.fixture
 def files(table):
+    deep = [f"tier{i}/level{j}/leaf{i}{j}.xml" for i in range(3) for j in range(2)]
     return table(
         "release string, part string, variant string, relpath string, xml string",
-        ("1", "P", "v", "blocks/alpha.xml", "<root/>"), ("1", "P", "v", "blocks/beta.xml", "<root/>"),
-        ("1", "P", "v", "shapes/round.xml", "<root/>"), ("1", "P", "w", "bad.xml", "<root>"),
-        ("1", "P", "w", "x/blocks/a/b.xml", "<root/>"), ("1", "P", "v", "notes.txt", "no xml"),
+        *[("7.1", "Q9", "east", p, f"<leaf n='{i}'/>") for i, p in enumerate(deep)],
+        ("7.1", "Q9", "west", "top.xml", "<top/>"), ("7.1", "Q9", "west", "tier0/open.xml", "<top><open></top>"),
+        ("7.1", "Q9", "west", "tier0/level1/list.csv", "a,b"), ("7.2", "Q9", "east", "top.xml", "<top/>"),
     )
 
 
+def relpaths(rows):
+    return sorted(r.relpath for r in rows.collect())
+
+
 def test_globs_filter_before_conversion(files):
-    got = X.mirror(files, include=["blocks/*.xml"], exclude=["blocks/beta.xml"]).collect()
-    assert [(r.relpath, r.path, r.parse_ok) for r in got] == [
-        ("blocks/alpha.xml", "1/P/json/v/blocks/alpha.json", True)]
-    deep = X.mirror(files, include=["**/blocks/**"]).collect()
-    assert [r.relpath for r in deep] == ["x/blocks/a/b.xml"]
-    plan = X.mirror(files, include=["blocks/*.xml"])._jdf.queryExecution().executedPlan().toString()
+    # One character, a class of characters, and any depth.
+    assert relpaths(X.mirror(files, include=["tier?/level1/leaf[02]1.xml"])) == [
+        "tier0/level1/leaf01.xml", "tier2/level1/leaf21.xml"]
+    # What is left out wins, whichever rule took it in.
+    left = X.mirror(files, include=["tier0/**", "top.xml"], exclude=["**/level0/*", "*/open.xml"])
+    assert [(r.release, r.relpath, r.path, r.parse_ok) for r in left.orderBy("release", "relpath").collect()] == [
+        ("7.1", "tier0/level1/leaf01.xml", "7.1/Q9/json/east/tier0/level1/leaf01.json", True),
+        ("7.1", "top.xml", "7.1/Q9/json/west/top.json", True), ("7.2", "top.xml", "7.2/Q9/json/east/top.json", True)]
+    plan = X.mirror(files, include=["top.xml"])._jdf.queryExecution().executedPlan().toString()
     assert plan.index("ArrowEvalPython") < plan.index("RLIKE")
 
 
 def test_counts_and_storage(spark, files):
     rows = X.mirror(files)
-    assert {(r.variant, r.files_written) for r in X.mirror_counts(rows).collect()} == {("v", 3), ("w", 1)}
+    counts = {(r.release, r.variant): r.files_written for r in X.mirror_counts(rows).collect()}
+    assert counts == {("7.1", "east"): 6, ("7.1", "west"): 1, ("7.2", "east"): 1}
     path = work_dir(spark, "mirror")
     write_mirror(rows, path)
     back = spark.read.json(path)
-    assert back.count() == 5 and back.filter(F.col("variant") == "w").count() == 2
+    assert back.count() == 9 and back.filter(F.col("variant") == "west").count() == 2
