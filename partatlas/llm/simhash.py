@@ -19,7 +19,7 @@ Equal fingerprints are one row before the join, however many documents have them
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -45,33 +45,52 @@ _BITS = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.int64)
 _LANES = (np.arange(8, dtype=np.int64) * 256)[None, :]
 
 
-def fingerprint(text: str | None) -> int:
-    """SimHash of a text as an unsigned integer.
+def words_of(text: str | None) -> list[bytes]:
+    """Words of a text: A-Z in lower case, split at the six white-space bytes."""
+    return (text or "").encode("utf-8", "surrogatepass").lower().split()
 
-    A-Z become lower case, words are split at the six white-space bytes, and each
-    run of four words, joined by spaces, is hashed; a bit is set if more than half of
-    the hashes have it. Fewer than four words are one run; no word at all, or a null,
-    gives zero.
+
+def shingle_hashes(words: list[bytes], shingle: int) -> Iterator[np.ndarray]:
+    """Hashes of all runs of ``shingle`` words, joined by spaces, in bounded blocks.
+
+    Fewer words are one run, no words are none.
     """
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not words:
-        return 0
+        return
     line = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.concatenate([[0], ends[:-1] + 1])
-    k = min(SHINGLE, len(words))
+    k = min(shingle, len(words))
     starts, ends = starts[: len(words) - k + 1], ends[k - 1 :]
-    hashed, total = xxhash.xxh64_intdigest, np.zeros(64, np.int64)
+    hashed = xxhash.xxh64_intdigest
     for i in range(0, len(starts), _BLOCK):
         part = zip(starts[i : i + _BLOCK].tolist(), ends[i : i + _BLOCK].tolist())
-        values = np.array([hashed(line[a:b], SEED) for a, b in part], "<u8")
+        yield np.array([hashed(line[a:b], SEED) for a, b in part], "<u8")
+
+
+def majority(blocks: Iterable[np.ndarray]) -> int:
+    """Fingerprint of hashes: the bits that more than half of them have; zero for none."""
+    total, n = np.zeros(64, np.int64), 0
+    for values in blocks:
         lanes = values.view(np.uint8).reshape(-1, 8) + _LANES
         counts = np.bincount(lanes.ravel(), minlength=2048).reshape(8, 256)
         total += (counts @ _BITS).ravel()
-    bits = np.packbits(2 * total > len(starts), bitorder="little")
+        n += len(values)
+    bits = np.packbits(2 * total > n, bitorder="little")
     return int(bits.view("<u8")[0])
 
 
+def fingerprint(text: str | None) -> int:
+    """SimHash of a text as an unsigned integer.
+
+    A-Z become lower case, words are split at the six white-space bytes, and each
+    run of four words, joined by spaces, is hashed; a bit is set if more than half of
+    the hashes have it. Fewer than four words are one run; no word at all, or a null,
+    gives zero.
+    """
+    return majority(shingle_hashes(words_of(text), SHINGLE))
+
+
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         prints = np.array([fingerprint(t.as_py()) for t in batch.column("text")], np.uint64)
@@ -151,17 +170,3 @@ def simhash_groups(docs: DataFrame) -> DataFrame:
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
     groups = named.join(least, "root").select("fp", "component_id")
     return prints.join(groups, "fp").select("doc_id", "fp", "component_id")
-
-
-def simhash_filter(docs: DataFrame) -> DataFrame:
-    """Rows of ``docs`` that stay: the one with the smallest ``doc_id`` of each group.
-
-    Of rows that repeat this ``doc_id``, the one with the smallest text stays. Rows
-    without a ``doc_id`` cannot be named and stay.
-    """
-    groups = simhash_groups(docs)
-    keep = groups.filter("doc_id = component_id").select("doc_id").distinct()
-    rows = docs.select(F.col("doc_id").alias("id"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    stays = rows.join(keep, rows["id"] == keep["doc_id"], "left_semi")
-    one = stays.groupBy("id").agg(F.min_by("row", F.coalesce("row.text", F.lit(""))).alias("row"))
-    return one.union(rows.filter(F.col("id").isNull())).select("row.*")

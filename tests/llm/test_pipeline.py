@@ -11,7 +11,7 @@ import public_tokenizers
 import pytest
 from test_mixing import check as check_mix
 from test_pieces import plain
-from test_simhash import brute, plain_fingerprint
+from test_nearcopies import groups_by_brute_force
 
 import corpus_pipeline
 from partatlas.llm.pieces import decode, vocabulary
@@ -48,8 +48,8 @@ def test_quality_stage(stages):
 
 def test_near_duplicate_stage(stages):
     before, after = stages["simhash_near_duplicates"]
-    groups = brute([(r.doc_id, plain_fingerprint(r.text)) for r in sorted(before, key=lambda r: r.doc_id)])
-    assert sorted(after) == sorted(r for r in before if r.doc_id in {c for *_, c in groups})
+    groups = groups_by_brute_force({r.doc_id: r.text for r in before})
+    assert sorted(after) == sorted(r for r in before if groups[r.doc_id] == r.doc_id)
 
 
 def test_personal_data_stage(stages):
