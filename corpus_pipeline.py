@@ -13,9 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from partatlas.llm.mixing import mix_rows
+from partatlas.llm.nearcopies import near_copy_filter
 from partatlas.llm.pieces import encode_decode
 from partatlas.llm.quality import quality_filter
-from partatlas.llm.simhash import simhash_filter
 from partatlas.llm.surrogates import surrogate_rows
 from partatlas.session import work_dir
 from workload.registry import query
@@ -28,7 +28,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return simhash_filter(docs.select(*COLUMNS))
+    return near_copy_filter(docs.select(*COLUMNS))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
