@@ -5,11 +5,15 @@ sketch of logarithmic bins with whole-number borders: up to 255 every value has
 own bin, above it bins are at most 1/128 of their value wide. Bins are plain counts,
 so sketches of any parts of a corpus merge by addition, in any order, to the same
 result. Fences of a language and source come from its own sketch, or from the merged
-sketch of the language, or of everything, where it has seen too few documents.
+sketch of the language, or of everything, where it has seen too few documents. The upper
+fence of a rate lies above a quantile of the sketch by a multiple of the interquartile
+range and a small floor. Duplicate lines and repeats are rare, so their quantile is one
+of the values above zero.
 
 Everything is built of DataFrame functions. Null texts count as empty, null
 languages and sources are groups of their own, repeated rows count as often as they
-appear, an empty table gives an empty result.
+appear, an empty table gives an empty result. Very long texts are measured whole, in one
+row. Other columns of ``docs`` travel inside a struct, whatever their names.
 """
 
 from __future__ import annotations
@@ -26,16 +30,17 @@ MAX_REPEAT_PERCENT = 30
 WINDOW = 8
 #: A group with fewer documents than this takes the fences of the wider sketch.
 MIN_GROUP = 100
-#: Interquartile ranges beyond the quartiles at which a document is an outlier.
+#: Interquartile ranges beyond the quantiles at which a document is an outlier.
 REACH = 4
-#: Rates, their slack (added to either fence, so that groups without any spread
-#: reject nothing near their usual value) and whether low values are rejected too.
+#: Rates, the quantile (per mille) of the sketch above which the upper fence lies, whether
+#: it is one of the nonzero values alone, the least distance of a fence from its quantile,
+#: and whether low values are rejected too, below the first quartile.
 RULES = {
-    "symbols_per_mille": (250, False),
-    "dup_lines_per_mille": (600, False),
-    "stutter_per_mille": (250, False),
-    "repeats_per_mille": (200, False),
-    "word_length_percent": (100, True),
+    "symbols_per_mille": (950, False, 50, False),
+    "dup_lines_per_mille": (950, True, 50, False),
+    "stutter_per_mille": (750, False, 50, False),
+    "repeats_per_mille": (950, True, 20, False),
+    "word_length_percent": (750, False, 50, True),
 }
 _BREAK = r"[\x20\x09-\x0D]+"
 
@@ -133,8 +138,9 @@ def sketch(measures: DataFrame) -> DataFrame:
     )
 
 
-def quartiles(sketches: DataFrame) -> DataFrame:
-    """First and third quartile of every rate by ``lang``, ``source`` and ``level``.
+def quantiles(sketches: DataFrame) -> DataFrame:
+    """Both quartiles and the quantile of the upper fence (``upper``, zero if the rate has no
+    value that counts) of every rate by ``lang``, ``source`` and ``level``.
 
     Level 0 is a language and source, level 1 a language, level 2 everything; the
     wider levels are merged sketches.
@@ -148,10 +154,16 @@ def quartiles(sketches: DataFrame) -> DataFrame:
     ]
     part = Window.partitionBy("level", "lang", "source", "rate")
     counted = reduce(DataFrame.unionByName, levels).select(
-        "*", F.sum("n").over(part.orderBy("bin")).alias("upto"), F.sum("n").over(part).alias("total"))
+        "*", F.sum("n").over(part.orderBy("bin")).alias("upto"), F.sum("n").over(part).alias("total"),
+        F.sum(F.when(F.col("bin") == 0, F.col("n")).otherwise(0)).over(part).alias("zeros"))
     at = lambda k: F.min(F.when(4 * F.col("upto") >= k * F.col("total"), F.col("bin")))
+    upper = F.coalesce(*[
+        F.when((F.col("rate") == r) & (F.col("bin") > 0 if nonzero else F.lit(True))
+               & (1000 * (F.col("upto") - skip) >= k * (F.col("total") - skip)), F.col("bin"))
+        for r, (k, nonzero, *_) in RULES.items() for skip in [F.col("zeros") if nonzero else F.lit(0)]])
     return counted.groupBy("level", "lang", "source", "rate").agg(
-        at(1).alias("q1"), at(3).alias("q3"), F.max("total").alias("total"))
+        at(1).alias("q1"), at(3).alias("q3"), F.coalesce(F.min(upper), F.lit(0)).alias("upper"),
+        F.max("total").alias("total"))
 
 
 def fences(sketches: DataFrame) -> DataFrame:
@@ -160,7 +172,7 @@ def fences(sketches: DataFrame) -> DataFrame:
     Columns ``lang``, ``source`` and, by rate, ``low_<rate>`` (null: none) and
     ``high_<rate>``.
     """
-    q = quartiles(sketches)
+    q = quantiles(sketches)
     own, by_lang, whole = (q.filter(F.col("level") == k).alias(f"l{k}") for k in range(3))
     pick = lambda c: (
         F.when(F.col("l0.total") >= MIN_GROUP, F.col(f"l0.{c}"))
@@ -168,14 +180,14 @@ def fences(sketches: DataFrame) -> DataFrame:
     chosen = (
         own.join(by_lang, F.col("l0.lang").eqNullSafe(F.col("l1.lang")) & (F.col("l0.rate") == F.col("l1.rate")))
         .join(whole, F.col("l0.rate") == F.col("l2.rate"))
-        .select("l0.lang", "l0.source", "l0.rate", pick("q1").alias("q1"), pick("q3").alias("q3"))
+        .select("l0.lang", "l0.source", "l0.rate", *[pick(c).alias(c) for c in ("q1", "q3", "upper")])
     )
     cols = []
-    for r, (slack, both) in RULES.items():
+    for r, (_, _, floor, both) in RULES.items():
         of = lambda v: F.max(F.when(F.col("rate") == r, v))  # noqa: B023, E731
-        reach = REACH * (F.col("q3") - F.col("q1")) + slack
+        reach = REACH * (F.col("q3") - F.col("q1")) + floor
         low = of(F.col("q1") - reach) if both else F.lit(None).cast("long")
-        cols += [low.alias(f"low_{r}"), of(F.col("q3") + reach).alias(f"high_{r}")]
+        cols += [low.alias(f"low_{r}"), of(F.col("upper") + reach).alias(f"high_{r}")]
     return chosen.groupBy("lang", "source").agg(*cols)
 
 
@@ -209,11 +221,9 @@ def quality_table(docs: DataFrame) -> DataFrame:
 def quality_filter(docs: DataFrame) -> DataFrame:
     """Rows of ``docs`` that pass, with all their columns.
 
-    Texts are measured twice, for the sketches and for the verdict, so that no text
-    is shuffled or stored.
+    Rows are stored once with their measures, so that texts are measured once; the
+    sketches read the measures only.
     """
     keys = [F.col("row.lang").alias("lang"), F.col("row.source").alias("source")]
-    slim = text_measures(docs.select("lang", "source", "text")).select(*keys, F.col("*")).drop("row")
-    limits = materialize(fences(sketch(slim)), "quality-fences")
-    judged = judge(text_measures(docs).select(*keys, F.col("*")), limits)
-    return judged.filter("kept").select("row.*")
+    measured = materialize(text_measures(docs).select(*keys, F.col("*")), "quality-rows")
+    return judge(measured, fences(sketch(measured.drop("row")))).filter("kept").select("row.*")

@@ -13,8 +13,10 @@ _RATES = {
 }
 _LONG = "\n    UNION ALL ".join(
     f"SELECT rid, lang, source, base_failed, '{r}' AS rate, {e} AS value FROM measured" for r, e in _RATES.items())
-_SLACK = " ".join(f"WHEN '{r}' THEN {slack}" for r, (slack, _) in q.RULES.items())
-_BOTH = ", ".join(f"'{r}'" for r, (_, both) in q.RULES.items() if both)
+_FLOOR = " ".join(f"WHEN '{r}' THEN {floor}" for r, (_, _, floor, _) in q.RULES.items())
+_UPPER = " ".join(f"WHEN '{r}' THEN {k}" for r, (k, *_) in q.RULES.items())
+_SPARSE = ", ".join(f"'{r}'" for r, (_, nonzero, _, _) in q.RULES.items() if nonzero)
+_BOTH = ", ".join(f"'{r}'" for r, (*_, both) in q.RULES.items() if both)
 
 QUALITY_SQL = rf"""
 WITH worded AS (
@@ -54,23 +56,28 @@ levels AS (
 sketches AS (SELECT level, lang, source, rate, bin, count(*) AS n FROM levels GROUP BY ALL),
 running AS (
   SELECT *, sum(n) OVER (PARTITION BY level, lang, source, rate ORDER BY bin) AS upto,
-    sum(n) OVER (PARTITION BY level, lang, source, rate) AS total
+    sum(n) OVER (PARTITION BY level, lang, source, rate) AS total,
+    CASE WHEN rate IN ({_SPARSE})
+      THEN coalesce(sum(n) FILTER (bin = 0) OVER (PARTITION BY level, lang, source, rate), 0) ELSE 0 END AS skipped
   FROM sketches),
 quartiles AS (
   SELECT level, lang, source, rate, max(total) AS total,
-    min(CASE WHEN 4 * upto >= total THEN bin END) AS q1, min(CASE WHEN 4 * upto >= 3 * total THEN bin END) AS q3
+    min(CASE WHEN 4 * upto >= total THEN bin END) AS q1, min(CASE WHEN 4 * upto >= 3 * total THEN bin END) AS q3,
+    coalesce(min(CASE WHEN (bin > 0 OR rate NOT IN ({_SPARSE}))
+      AND 1000 * (upto - skipped) >= CASE rate {_UPPER} END * (total - skipped) THEN bin END), 0) AS upper
   FROM running GROUP BY ALL),
 chosen AS (
   SELECT a.lang, a.source, a.rate,
     CASE WHEN a.total >= {q.MIN_GROUP} THEN a.q1 WHEN b.total >= {q.MIN_GROUP} THEN b.q1 ELSE c.q1 END AS q1,
     CASE WHEN a.total >= {q.MIN_GROUP} THEN a.q3 WHEN b.total >= {q.MIN_GROUP} THEN b.q3 ELSE c.q3 END AS q3,
-    CASE a.rate {_SLACK} END AS slack
+    CASE WHEN a.total >= {q.MIN_GROUP} THEN a.upper WHEN b.total >= {q.MIN_GROUP} THEN b.upper ELSE c.upper END AS upper,
+    CASE a.rate {_FLOOR} END AS slack
   FROM quartiles a
   JOIN quartiles b ON b.level = 1 AND a.lang IS NOT DISTINCT FROM b.lang AND a.rate = b.rate
   JOIN quartiles c ON c.level = 2 AND a.rate = c.rate
   WHERE a.level = 0),
 outside AS (
-  SELECT rid, bool_or(value > q3 + {q.REACH} * (q3 - q1) + slack
+  SELECT rid, bool_or(value > upper + {q.REACH} * (q3 - q1) + slack
     OR long.rate IN ({_BOTH}) AND value < q1 - {q.REACH} * (q3 - q1) - slack) AS odd
   FROM long JOIN chosen ON long.lang IS NOT DISTINCT FROM chosen.lang
     AND long.source IS NOT DISTINCT FROM chosen.source AND long.rate = chosen.rate

@@ -7,7 +7,7 @@ from collections import Counter
 import duckdb
 from pyspark.sql import functions as F
 
-from partatlas.llm.quality import judge, fences, quality_filter, quality_table, quartiles, sketch
+from partatlas.llm.quality import RULES, fences, judge, quality_filter, quality_table, quantiles, sketch, text_measures
 
 
 def measures(text):
@@ -53,8 +53,6 @@ def test_verdict_adapts(docs):
 
 def test_sketches_merge(docs):
     table = docs(*[(i, " ".join(f"w{k}" + "#" * (i % 7) for k in range(30 + i)), "en", "ab"[i % 2]) for i in range(300)])
-    from partatlas.llm.quality import text_measures
-
     m = text_measures(table).select(F.col("row.lang").alias("lang"), F.col("row.source").alias("source"), "*")
     parts = sketch(m.filter("row.doc_id < 100")).union(sketch(m.filter("row.doc_id >= 100")))
     merged = parts.groupBy("lang", "source", "rate", "bin").agg(F.sum("n").alias("n"))
@@ -63,7 +61,7 @@ def test_sketches_merge(docs):
     exact = {}
     for r in m.collect():
         exact.setdefault(r.source, []).append(1000 * r.n_symbols // r.n_words)
-    q = {r.source: r for r in quartiles(sketch(m)).filter("rate = 'symbols_per_mille' and level = 0").collect()}
+    q = {r.source: r for r in quantiles(sketch(m)).filter("rate = 'symbols_per_mille' and level = 0").collect()}
     for source, values in exact.items():
         v = sorted(values)
         low = v[-(-len(v) // 4) - 1]
@@ -72,6 +70,37 @@ def test_sketches_merge(docs):
     assert judge(m, fences(sketch(m))).filter("kept").count() == 300
 
 
+def test_fences_follow_their_group(docs):
+    """Fences are the quantiles of each group's own values, and differ between groups."""
+    rng = random.Random(2)
+
+    def text(group):
+        lines = [" ".join(f"{'x' * rng.randrange(2, 6 + group)}{rng.randrange(9999)}" for _ in range(5)) for _ in range(12)]
+        if rng.random() < 0.1 * group:
+            lines += rng.choices(lines, k=rng.randrange(1, 2 + group)) + ["#" * rng.randrange(1, 9 * group)]
+        return "\n".join(lines)
+
+    table = docs(*[(i, text(i % 3 + 1), "en", f"s{i % 3}") for i in range(600)])
+    m = text_measures(table).select(F.col("row.lang").alias("lang"), F.col("row.source").alias("source"), "*")
+    limits = {r.source: r for r in fences(sketch(m)).collect()}
+    values = {}
+    for r in m.collect():
+        for rate, v in (("symbols_per_mille", 1000 * r.n_symbols // r.n_words),
+                        ("dup_lines_per_mille", 1000 * r.n_dup_lines // r.n_lines),
+                        ("word_length_percent", 100 * r.word_chars // r.n_words)):
+            values.setdefault((rate, r.source), []).append(v)
+    for (rate, source), every in values.items():
+        k, nonzero, floor, _ = RULES[rate]
+        every.sort()
+        at = lambda vs, p: vs[-(-p * len(vs) // 1000) - 1]
+        counted = [v for v in every if v or not nonzero]
+        want = (at(counted, k) if counted else 0) + 4 * (at(every, 750) - at(every, 250)) + floor
+        got = limits[source][f"high_{rate}"]
+        assert abs(got - want) <= 9 * (max(every) / 128 + 1), (rate, source)
+    for rate in ("symbols_per_mille", "dup_lines_per_mille", "word_length_percent"):
+        assert len({r[f"high_{rate}"] for r in limits.values()}) == 3, rate
+
+
 def test_odd_rows(odd, none):
     rows = quality_table(odd).collect()
     assert len(rows) == 12
