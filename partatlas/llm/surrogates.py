@@ -81,14 +81,18 @@ def _name_pattern(script: str) -> str:
 _CREDENTIAL = "token|secret|password|passwd|api[_-]?key|access[_-]?key"
 #: Each credential word has one of them.
 _CREDENTIAL_PARTS = ("token", "secret", "passw", "key")
+#: Beginnings of keys that services hand out, fixed values; a surrogate keeps them.
+_KEY_PREFIXES = ("ghp_", "gho_", "ghu_", "ghs_", "ghr_", "github_pat_", "glpat-", "xoxb-", "xoxp-", "sk-")
 #: Letters and digits that a secret has at least, so that there are surrogates enough.
 _SECRET_SIGNS = 6
 _PATTERN = re.compile("|".join((
     r"(?P<email>[\w%+-][\w.%+-]*@(?:[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?\.)+[A-Za-z]{2,})",
     # A value goes up to its quote, or is a word without punctuation at its ends.
-    rf"(?i:(?<![A-Za-z0-9])(?:{_CREDENTIAL}))(?P<sign>\s*[=:]\s*)(?P<quote>[\"']?)"
-    r"(?P<secret>(?:(?!(?P=quote))[^\n]){1,200}(?=(?P=quote))|(?:(?!(?P=quote))\S)+(?=(?P=quote))"
+    rf"(?i:(?<![A-Za-z0-9])(?:{_CREDENTIAL}))(?P<sign>[\"']?\s*[=:]\s*)(?P<quote>[\"']?)"
+    r"(?P<secret>(?:(?!(?P=quote))[^\n])+(?=(?P=quote))|(?:(?!(?P=quote))\S)+(?=(?P=quote))"
     r"|[\w+/=-](?:[^\s\"'<>,;&]*[\w+/=-])?)",
+    r"(?<![A-Za-z0-9])[Bb]earer +(?P<bearer>[A-Za-z0-9._~+/-]{16,}=*)",
+    rf"(?<![A-Za-z0-9])(?:{'|'.join(_KEY_PREFIXES)})(?P<prefixed>[A-Za-z0-9_-]{{16,}})",
     r"(?<![A-Za-z0-9])(?P<accesskey>(?:AKIA|ASIA)[A-Z0-9]{16})(?![A-Za-z0-9])",
     r"(?<![\d.])(?P<ip>(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d))(?!\d|\.\d)",
     r"(?<![\w+])(?P<phone>\+\d{1,3}[ .-]?(?:\(\d{2,4}\)|\d{2,4})(?:[ .-]?\d{2,4}){1,4})(?!\d)",
@@ -104,7 +108,7 @@ _NATIONAL = re.compile(
 _DIGITS = re.compile(r"(?<!\d)\d(?:[ -]?\d){12,}")
 _CARD_DIGITS = range(13, 20)
 #: Beginnings of titles in Latin letters.
-_HINTS = ("Mr", "Ms", "Mme", "Miss", "Herr", "Frau", "Monsieur", "Madame", "Señor", "Signor", "Dr", "Prof", "Doctor")
+_HINTS = ("Mr", "Ms", "Mme", "Miss", "Herr", "Frau", "Monsieur", "Madame", "Señor", "Signor", "Dr", "Prof", "Doctor", "earer ", *_KEY_PREFIXES)
 
 
 def may_hold(text: Column) -> Column:
@@ -117,6 +121,17 @@ def may_hold(text: Column) -> Column:
     return sure | ((text.contains("=") | text.contains(":")) & words)
 
 
+#: Country codes of one and two digits, fixed values; all others have three.
+_ONE_DIGIT = "17"
+_TWO_DIGITS = ("20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 "
+               "81 82 84 86 90 91 92 93 94 95 98").split()
+
+
+def _country_code(digits: str) -> str:
+    """Country code of an international number, however its groups are written."""
+    return digits[: 1 if digits[0] in _ONE_DIGIT else 2 if digits[:2] in _TWO_DIGITS else 3]
+
+
 def luhn(digits: str) -> bool:
     doubled = [int(c) * (1 + i % 2) for i, c in enumerate(reversed(digits))]
     return sum(x - 9 * (x > 9) for x in doubled) % 10 == 0
@@ -221,14 +236,16 @@ def _patterned(text: str) -> Iterator[tuple[int, int, str, str]]:
         if kind == "email":
             yield start, end, kind, found.lower()
         elif kind == "phone":
-            code = re.match(r"\+\d{1,3}", found)[0] if re.match(r"\+\d{1,3}[ .(-]", found) else "+"
-            yield start, end, f"phone:{code}", re.sub(r"\D", "", found)
+            digits = re.sub(r"\D", "", found)
+            yield start, end, f"phone:+{_country_code(digits)}", digits
         elif kind == "ssn":
             yield start, end, kind, re.sub(r"\D", "", found)
         elif kind == "ip":
             octets = [int(x) for x in found.split(".")]
             inside = octets[0] == 10 or octets[:2] == [192, 168] or octets[0] == 172 and 16 <= octets[1] < 32
             yield start, end, "ip:private" if inside else "ip:public", ".".join(map(str, octets))
+        elif kind in ("bearer", "prefixed"):
+            yield start, end, "secret", found
         elif kind == "accesskey" or _is_secret(found, m["sign"], m["quote"]):
             yield start, end, kind, found
 
