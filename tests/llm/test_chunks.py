@@ -12,12 +12,18 @@ def text_of(rng, n):
     return " ".join(f"{rng.choice('abcdefgh')}{rng.randrange(9999)}" for _ in range(n))
 
 
+def unspaced(rng, n):
+    return "".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(n))
+
+
 def plain_ends(data):
     """Ends by the rolling step and a look at every neighbour."""
     h, hashes = 0, []
     for b in data:
         h = (2 * h + int(c._GEAR[b])) % (1 << 32)
-        hashes.append(h if b in b" \t\n\r\x0b\x0c" else (1 << 32) - 1)
+        after = data[len(hashes) + 1] if len(hashes) + 1 < len(data) else 0
+        closed = b and not 0x80 <= after < 0xC0
+        hashes.append(h // 2 if b in b" \t\n\r\x0b\x0c" else h // 2 + (1 << 31) if closed else (1 << 32) - 1)
     out = []
     for i, x in enumerate(hashes):
         left, right = hashes[max(0, i - c.REACH) : i], hashes[i + 1 : i + c.REACH + 1]
@@ -28,8 +34,8 @@ def plain_ends(data):
 
 def test_rolling_hash_and_ends():
     rng = random.Random(1)
-    for n in (0, 1, 5, 40, 400):
-        data = text_of(rng, n).encode()
+    texts = [text_of(rng, n) for n in (0, 1, 5, 40, 400)] + [unspaced(rng, 300), "中" * 400, text_of(rng, 9) + unspaced(rng, 90)]
+    for data in map(str.encode, texts):
         assert [e for e in chunk_ends(data).tolist()] == plain_ends(data)
 
 
@@ -106,3 +112,35 @@ def test_odd_rows(odd, none):
     out = without_repeats(odd)
     assert out.columns == odd.columns and out.count() == 12
     assert repeated_spans(none).count() == 0 and without_repeats(none).count() == 0
+
+
+def test_text_without_spaces(docs):
+    """A shared passage is found at any offset, and beyond an inserted character."""
+    rng = random.Random(6)
+    base64 = "".join(rng.choice("ABCDEFGHIJKLMNOPabcdefghijklmnop0123456789+/") for _ in range(4000))
+    for passage in (unspaced(rng, 400), base64):
+        half = len(passage) // 2
+        texts = [unspaced(rng, 31) + passage, unspaced(rng, 50) + "x" + passage, passage[:half] + "y" + passage[half:],
+                 unspaced(rng, 400)]
+        sizes = {}
+        for r in repeated_spans(docs(*texts)).collect():
+            assert texts[r.doc_id].encode()[r.start : r.stop].decode() in texts[r.doc_id]
+            sizes[r.doc_id] = sizes.get(r.doc_id, 0) + r.stop - r.start
+        assert set(sizes) == {1, 2} and min(sizes.values()) > 0.75 * len(passage.encode())
+
+
+def test_one_id_with_several_texts(spark):
+    rng = random.Random(7)
+    shared, own = text_of(rng, 70), text_of(rng, 60)
+    texts = [text_of(rng, 30) + " " + shared, text_of(rng, 90) + " " + shared + " " + own, own + " " + text_of(rng, 20)]
+    rows = [(1, texts[0]), (2, texts[1]), (2, texts[2]), (2, texts[2])]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    spans = repeated_spans(table).collect()
+    hashes = {r.h: r.text for r in table.selectExpr("xxhash64(text) AS h", "text").collect()}
+    cut = [(r.doc_id, hashes[r.text_hash].encode()[r.start : r.stop].decode()) for r in spans]
+    assert {d for d, _ in cut} == {2} and all(part.strip() in shared or part.strip() in own for _, part in cut)
+    assert sum(len(part) for _, part in cut if part.strip() in shared) > 0.7 * len(shared)
+    assert sum(len(part) for _, part in cut if part.strip() in own) > 0.7 * len(own)
+    out = [r.text for r in without_repeats(table).collect()]
+    assert len(out) == 4 and texts[0] in out
+    assert sum(map(len, set(out))) < sum(map(len, texts)) - len(shared) // 2 - len(own) // 2
