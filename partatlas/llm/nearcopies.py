@@ -14,10 +14,13 @@ Candidates come from two range joins over the embedding as segment bit counts:
 * class fingerprints, in a grid whose cell is the embedding of a class (distance zero);
 * whole-text fingerprints of five-word runs, in the grid of ``simhash.links``.
 
-Every candidate is verified on the hashes of all its runs. Equal word sequences are one
-text before the joins. Within a cell, texts first meet its least text only; all others
-meet later, and only across the groups found so far, so a large group of near copies is
-not paired out.
+A cell is shuffled as one number beside the first half of a text's key, and only cells
+that several texts share go on; different cells or keys that meet in 64 bits are
+candidates, no more. Numbers of runs that differ by more than the similarity allows end a
+candidate early. All others are verified on the hashes of all their runs, which are taken
+from the texts once. Equal word sequences are one text before the joins. Within a cell,
+texts first meet its least text only; all others meet later, and only across the groups
+found so far, so a large group of near copies is not paired out.
 
 A document is a ``doc_id``; rows that repeat it are the same document, whatever their
 texts. Rows with a null ``doc_id`` are in no group. Null and empty texts are equal. Very
@@ -86,8 +89,7 @@ def _key(words: list[bytes]) -> tuple[int, int]:
     return int.from_bytes(digest[:8], "big", signed=True), int.from_bytes(digest[8:], "big", signed=True)
 
 
-def _unique_hashes(words: list[bytes]) -> np.ndarray:
-    blocks = [np.unique(x) for x in shingle_hashes(words, SHINGLE)]
+def _unique(blocks: list[np.ndarray]) -> np.ndarray:
     return np.unique(np.concatenate(blocks)) if blocks else np.zeros(0, np.uint64)
 
 
@@ -96,11 +98,12 @@ def _prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = []
         for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
             words = words_of(text.as_py())
-            fp = majority(shingle_hashes(words, SHINGLE))
+            blocks = list(shingle_hashes(words, SHINGLE))
+            fp = majority(blocks)
             numbers, prints = class_prints(words)
-            rows.append((doc, *_key(words), fp - (fp >> 63 << 64), [0, *numbers], [fp - (fp >> 63 << 64), *prints]))
-        names = ["doc_id", "hi", "lo", "fp", "numbers", "prints"]
-        types = [pa.int64()] * 4 + [pa.list_(pa.int64())] * 2
+            rows.append((doc, *_key(words), len(_unique(blocks)), fp - (fp >> 63 << 64), [0, *numbers], [fp - (fp >> 63 << 64), *prints]))
+        names = ["doc_id", "hi", "lo", "n_runs", "fp", "numbers", "prints"]
+        types = [pa.int64()] * 5 + [pa.list_(pa.int64())] * 2
         columns = zip(*rows) if rows else [[]] * len(names)
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
 
@@ -110,21 +113,29 @@ def _hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for text in batch.column("text"):
             words = words_of(text.as_py())
             hi, lo = _key(words)
-            values = pa.array(_unique_hashes(words).view(np.int64))
+            values = pa.array(_unique(list(shingle_hashes(words, SHINGLE))).view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([hi], pa.int64()), pa.array([lo], pa.int64()),
                  pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)],
                 names=["hi", "lo", "hashes"])
 
 
-def _similar(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+def _may_be_similar(a: Column, b: Column) -> Column:
+    """Whether two numbers of runs allow the similarity."""
+    return 100 * F.least(a, b) >= MIN_PERCENT * F.greatest(a, b)
+
+
+def _run_hashes(docs: DataFrame, texts: DataFrame) -> DataFrame:
+    """``hi``, ``lo`` and the hashes of all runs of ``texts`` (``id``, ``hi``, ``lo``)."""
+    texts = materialize(texts, "near-wanted")
+    rows = docs.join(texts.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    hashed = rows.select("text").mapInArrow(_hashes, "hi long, lo long, hashes array<long>")
+    return materialize(
+        hashed.join(texts.select("hi", "lo"), ["hi", "lo"], "left_semi").dropDuplicates(["hi", "lo"]), "near-hashes")
+
+
+def _similar(pairs: DataFrame, hashed: DataFrame) -> DataFrame:
     """Of pairs of texts ``a`` and ``b`` (structs of ``id``, ``hi``, ``lo``), the ids of the similar ones."""
-    pairs = materialize(pairs, "near-pairs")
-    keys = pairs.select("a.*").union(pairs.select("b.*")).distinct()
-    texts = docs.join(keys.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    hashed = texts.select("text").mapInArrow(_hashes, "hi long, lo long, hashes array<long>")
-    hashed = materialize(
-        hashed.join(keys.select("hi", "lo"), ["hi", "lo"], "left_semi").dropDuplicates(["hi", "lo"]), "near-hashes")
     of = lambda side: hashed.select(
         F.struct("hi", "lo").alias(f"{side}_key"), F.col("hashes").alias(f"{side}_hashes"))
     both = pairs.select(
@@ -146,39 +157,47 @@ def near_groups(docs: DataFrame) -> DataFrame:
     One row for each distinct ``doc_id`` that is not null.
     """
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).filter("doc_id IS NOT NULL")
-    prints = materialize(docs.mapInArrow(
-        _prints, "doc_id long, hi long, lo long, fp long, numbers array<long>, prints array<long>"), "near-prints")
+    prints = docs.mapInArrow(
+        _prints, "doc_id long, hi long, lo long, n_runs long, fp long, numbers array<long>, prints array<long>")
+    cell = lambda x: F.xxhash64(x["numbers"], bit_counts(x["prints"]), x["prints"])
+    prints = materialize(prints.select(
+        "doc_id", "hi", "lo", "n_runs", "fp", F.transform(F.arrays_zip("numbers", "prints"), cell).alias("cells")), "near-prints")
     texts = materialize(prints.groupBy("hi", "lo").agg(
-        F.min("doc_id").alias("id"), *[F.first(c).alias(c) for c in ("fp", "numbers", "prints")]), "near-texts")
-    spots = texts.select("id", "hi", "lo", F.explode(F.arrays_zip("numbers", "prints")).alias("x")).select(
-        "id", "hi", "lo", F.col("x.numbers").alias("number"), F.col("x.prints").alias("print"),
-        bit_counts(F.col("x.prints")).alias("cell"))
-    cell = ["number", "cell", "print"]
+        F.min("doc_id").alias("id"), *[F.first(c).alias(c) for c in ("n_runs", "fp", "cells")]), "near-texts")
+    spots = texts.select("hi", F.explode("cells").alias("cell"))
+    texts = texts.drop("cells")
+    shared = spots.groupBy("cell").agg(F.min("hi").alias("head"), F.max("hi").alias("tail")).filter("head < tail")
+    spots = materialize(spots.join(shared.select("cell", "head"), "cell"), "near-spots")
+    close = materialize(links(texts.select("fp").distinct()), "near-reach").select(
+        F.col("a").alias("low"), F.col("b").alias("high"))
+    fps = close.select(F.col("low").alias("fp")).union(close.select("high"))
+    wanted = spots.select("hi").union(texts.join(fps, "fp", "left_semi").select("hi")).distinct()
+    hashed = _run_hashes(docs, texts.join(wanted, "hi", "left_semi").select("id", "hi", "lo"))
 
     # Texts of a cell against its least one.
-    heads = spots.groupBy(*cell).agg(F.min(F.struct("id", "hi", "lo")).alias("a"), F.count("*").alias("n"))
-    first = spots.join(heads.filter("n > 1"), cell).select("a", F.struct("id", "hi", "lo").alias("b"))
-    stars = materialize(_similar(first.filter("a <> b").distinct(), docs), "near-stars")
+    heads = spots.filter("hi <> head").select("head", F.col("hi").alias("other")).distinct()
+    first = heads.join(texts.alias("a"), F.col("head") == F.col("a.hi")).join(
+        texts.alias("b"), (F.col("other") == F.col("b.hi")) & _may_be_similar(F.col("a.n_runs"), F.col("b.n_runs")))
+    stars = materialize(_similar(first.select(_text("a").alias("a"), _text("b").alias("b")), hashed), "near-stars")
     copies = prints.select("doc_id", "hi", "lo").join(texts.select("hi", "lo", "id"), ["hi", "lo"]).select(
         F.col("doc_id").alias("a"), F.col("id").alias("b")).filter("a <> b").distinct()
     known = stars.union(copies)
     roots = components(known, "near-links")
 
     # All others of a cell, and whole texts within reach, across the groups so far.
-    grouped = texts.join(roots, texts["id"] == roots["node"], "left").select(
-        "id", "hi", "lo", "fp", F.coalesce("root", "id").alias("root"))
-    mixed = spots.join(grouped.select("hi", "lo", "root"), ["hi", "lo"])
-    open_cells = mixed.groupBy(*cell).agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x < y")
-    mixed = mixed.join(open_cells.select(*cell), cell, "left_semi")
-    a, b = mixed.alias("a"), mixed.alias("b")
-    meets = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in cell]
-    in_cells = a.join(b, meets[0] & meets[1] & meets[2] & (F.col("a.root") < F.col("b.root"))).select(
+    grouped = materialize(texts.join(roots, texts["id"] == roots["node"], "left").select(
+        "id", "hi", "lo", "n_runs", "fp", F.coalesce("root", "id").alias("root")), "near-grouped")
+    mixed = spots.select("cell", "hi").join(grouped.drop("fp"), "hi")
+    open_cells = mixed.groupBy("cell").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x < y")
+    mixed = materialize(mixed.join(open_cells.select("cell"), "cell", "left_semi"), "near-mixed")
+    may = _may_be_similar(F.col("a.n_runs"), F.col("b.n_runs"))
+    in_cells = mixed.alias("a").join(
+        mixed.alias("b"), (F.col("a.cell") == F.col("b.cell")) & (F.col("a.root") < F.col("b.root")) & may).select(
         _text("a").alias("a"), _text("b").alias("b"))
-    close = links(texts.select("fp").distinct()).select(F.col("a").alias("low"), F.col("b").alias("high"))
     in_reach = close.join(grouped.alias("a"), F.col("low") == F.col("a.fp")).join(
-        grouped.alias("b"), (F.col("high") == F.col("b.fp")) & (F.col("a.root") != F.col("b.root"))).select(
+        grouped.alias("b"), (F.col("high") == F.col("b.fp")) & (F.col("a.root") != F.col("b.root")) & may).select(
         F.least(_text("a"), _text("b")).alias("a"), F.greatest(_text("a"), _text("b")).alias("b"))
-    more = _similar(in_cells.union(in_reach).distinct(), docs)
+    more = _similar(in_cells.union(in_reach).distinct(), hashed)
     # What the first round found is kept as links to its roots.
     roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more), "near-links")
     ids = prints.select("doc_id").distinct()
