@@ -174,16 +174,17 @@ def mix(docs: DataFrame) -> DataFrame:
     """The mix itself: column ``row`` holds a document's columns, once for each time it
     is taken, beside its ``shard``; rows are partitioned by shard and shuffled inside.
     """
-    drawn = draw_documents(docs.select("doc_id", "source", "text")).groupBy("doc_id", "key").agg(
+    # A null id gets a name of its own, so that grouping and join need one shuffle of rows.
+    name = F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("name")
+    drawn = draw_documents(docs.select("doc_id", "source", "text")).groupBy("key", name).agg(
         F.flatten(F.collect_list("shards")).alias("shards")).filter(F.size("shards") > 0)
     rows = docs.select(
-        _doc_key().alias("key"), F.col("doc_id").alias("id"),
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+        _doc_key().alias("key"), name, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     # Rows that repeat an id and a text stand for as many draws.
-    one = rows.groupBy("key", "id").agg(F.first("row").alias("row"))
+    one = rows.groupBy("key", "name").agg(F.first("row").alias("row"))
     return (
-        one.join(drawn, (one["key"] == drawn["key"]) & one["id"].eqNullSafe(drawn["doc_id"]))
-        .select("row", one["key"].alias("key"), F.posexplode("shards").alias("time", "shard"))
+        one.join(drawn, ["key", "name"])
+        .select("row", "key", F.posexplode("shards").alias("time", "shard"))
         .repartition("shard")
         .sortWithinPartitions("shard", _key("shard", "key", "time"), "key", "time")
         .select("shard", "row")
