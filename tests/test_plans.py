@@ -32,6 +32,16 @@ def test_joins_are_equi_joins(spark, name):
     assert not any(j in plan for j in ("NestedLoop", "CartesianProduct", "BroadcastExchange"))
 
 
+@pytest.mark.parametrize("name", [
+    "masked_alias_join", "masked_prefix_join", "contains_join", "resolve_queries", "canonicalize",
+    "select_parts", "unresolved_inputs", "ranked_search",
+])
+def test_names_cut_into_pieces_are_not_broadcast(spark, name):
+    # With Spark's own limit, by which the files behind these rows look small.
+    plan = queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" in plan and "Broadcast" not in plan
+
+
 @pytest.mark.parametrize("name", ONE_SCAN)
 def test_profiles_scan_once(spark, name):
     plan = plan_of(spark, name)
