@@ -30,6 +30,17 @@ def test_files_are_taken_in_once(spark, tmp_path):
         assert got == [["a.xml", "b.xml"], ["a.xml", "b.xml", "c/d.xml"], ["a.xml", "b.xml", "c/d.xml"]][step]
 
 
+def test_documents_in_a_folder_of_files_are_taken_in(spark, table, tmp_path):
+    from __spark_entry__ import queries
+
+    docs = table("doc_id long, text string, lang string, source string, n_chars long",
+                 *[(i, f"word {i}", "en", "web", 6) for i in range(30)])
+    docs.repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    table("doc_id long", (1,)).write.parquet(str(tmp_path / "labels.parquet"))
+    got = queries()["incremental_ingest"](spark, str(tmp_path)).collect()
+    assert len(got) == 30 and len({(r.release, r.part, r.variant, r.relpath) for r in got}) == 30
+
+
 LISTING = "release string, full_path string, directory boolean, name string"
 
 

@@ -356,8 +356,8 @@ def _(spark, sf):
 def _(spark, sf):
     docs = (
         spark.readStream.schema(spark.read.parquet(f"{sf}/documents.parquet").schema)
-        .option("pathGlobFilter", "documents.parquet")
-        .parquet(sf)
+        # A stream takes the table as one file or as a folder of files if its path is a glob.
+        .parquet(f"{sf}/documents.parque[t]")
     )
     docs.createOrReplaceTempView("stream_documents")
     body = "SELECT release, part, variant, relpath, length, xml FROM v_tree"
@@ -365,7 +365,7 @@ def _(spark, sf):
     run = work_dir(spark, "ingest")
     for _ in range(2):  # the second run finds nothing new
         incremental_ingest(stream, f"{run}/tree", f"{run}/checkpoint")
-    return spark.read.parquet(f"{run}/tree").select(
+    return spark.read.schema(stream.schema).parquet(f"{run}/tree").select(
         "release", "part", "variant", "relpath", "length", F.sha2("xml", 256).alias("digest"))
 
 
