@@ -188,3 +188,17 @@ def test_a_damaged_stream_is_quarantined(spark, tmp_path):
     scan = scan_archives(spark, str(tmp_path))
     assert [bytes(r.content) for r in scan.members.collect()] == [b"1"]
     assert [r.archive.rsplit("/", 1)[1] for r in scan.quarantine.collect()] == ["bad.zip"]
+
+
+def test_rows_without_content_are_given_out_in_small_batches():
+    import pyarrow as pa
+
+    from partatlas.functions.pyudf import read_archives
+
+    n = 9_000
+    names = [f"bad{i}" for i in range(n)]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(names), pa.array([b"no archive"] * n, pa.binary())], names=["archive", "content"])
+    out = list(read_archives(iter([batch])))
+    assert [a for b in out for a in b.column(0).to_pylist()] == names
+    assert max(b.num_rows for b in out) <= 4096
