@@ -84,14 +84,19 @@ def write_records(df: DataFrame, path: str) -> None:
 
 
 def write_mirror(mirror: DataFrame, path: str) -> None:
-    """One JSON record per converted file, in one folder per release, part and variant.
+    """One JSON record per converted file, in one folder per release.
 
-    The rebalance hint spreads a part that holds most files over many tasks and
-    keeps small parts together, so the number of files written stays low.
+    A record names its part and variant, and ``path`` is its place in a tree of files. A
+    folder per part and variant would be a file for every few records, made, moved and
+    listed one by one. The rebalance hint spreads a part that holds most files over many
+    tasks and keeps small parts together, so the number of files written stays low; inside
+    a file the records of a part and variant lie together.
     """
+    key = ("release", "part", "variant")
     (
-        mirror.hint("rebalance", "release", "part", "variant")
+        mirror.hint("rebalance", *key)
+        .sortWithinPartitions(*key, "relpath")
         .write.mode("overwrite")
-        .partitionBy("release", "part", "variant")
+        .partitionBy("release")
         .json(path)
     )

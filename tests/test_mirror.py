@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -82,3 +83,19 @@ def test_counts_and_storage(spark, files):
     write_mirror(rows, path)
     back = spark.read.json(path)
     assert back.count() == 9 and back.filter(F.col("variant") == "west").count() == 2
+
+
+def test_storage_has_no_folder_for_each_tree(spark, table):
+    rows = X.mirror(table(
+        "release string, part string, variant string, relpath string, xml string",
+        *[(f"8.{i % 2}", f"Z{i}", v, f"{j}.xml", f"<leaf n='{j}'/>") for i in range(40) for v in ("up", "down") for j in range(2)],
+        ("8.0", None, "", "lost.xml", "<leaf/>")))
+    path = work_dir(spark, "mirror")
+    write_mirror(rows, path)
+    assert sorted(p.name for p in Path(path).iterdir() if p.is_dir()) == ["release=8.0", "release=8.1"]
+    files = list(Path(path).rglob("*.json"))
+    assert {p.parent.parent for p in files} == {Path(path)} and len(files) < 40
+    key = ["release", "part", "variant", "relpath", "path", "json", "parse_ok"]
+    back = spark.read.schema(rows.schema).json(path)
+    order = lambda df: sorted(map(str, df.select(*key).collect()))
+    assert order(back) == order(rows)
