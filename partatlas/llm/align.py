@@ -35,9 +35,10 @@ import re
 import sys
 from array import array
 from collections.abc import Callable, Iterable, Iterator
-from itertools import chain
+from itertools import chain, pairwise
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext, cloudpickle
@@ -66,8 +67,11 @@ _STORED = (
     "pairs array<long>, times array<long>, pair_numbers binary, n_pairs binary")
 _SCORED = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups string"
 
-#: Numbers of A tokens, B tokens, groups and links, the groups as text, the links' pairs.
-Aligned = tuple[int, int, int, int, str, tuple[int, ...]]
+#: Numbers of A tokens, B tokens, groups and links, the groups as text, the links' pairs
+#: as eight bytes each.
+Aligned = tuple[int, int, int, int, str, bytes]
+#: In place of an alignment that does not exist.
+_NOTHING: Aligned = (0, 0, 0, 0, "", b"")
 
 
 def common_ends(a_ends: np.ndarray, b_ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -86,7 +90,9 @@ def linked(a_ends: np.ndarray, b_ends: np.ndarray) -> tuple[np.ndarray, np.ndarr
     Inside a group, whose tokens lie next to each other on both sides, two tokens
     overlap exactly where one of them ends first, so each end of either side is a link.
     """
-    ends = np.union1d(a_ends, b_ends)
+    # Two sorted runs: a stable sort merges them.
+    ends = np.sort(np.concatenate([a_ends, b_ends]), kind="stable")
+    ends = ends[np.diff(ends, prepend=-1) > 0]
     return ends, np.searchsorted(a_ends, ends), np.searchsorted(b_ends, ends)
 
 
@@ -101,16 +107,21 @@ class _Words:
     def __init__(self, n_a: int, n_b: int) -> None:
         self.n_a, self.n_b = n_a, n_b
         self.table = [f"{i}{sign}" for n, signs in ((n_a, ",|"), (n_b, ",;")) for sign in signs for i in range(n)]
+        self.lengths = np.array(list(map(len, self.table)))
 
     def of_groups(self, a: np.ndarray, b: np.ndarray, a_upto: np.ndarray, b_upto: np.ndarray) -> list[str]:
         """Ids of all groups one after the other, A tokens before B tokens in each."""
+        return list(map(self.table.__getitem__, self.order(a, b, a_upto, b_upto).tolist()))
+
+    def order(self, a: np.ndarray, b: np.ndarray, a_upto: np.ndarray, b_upto: np.ndarray) -> np.ndarray:
+        """Places in ``table`` of the ids of all groups."""
         a_last, b_last = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
         a_last[a_upto - 1] = b_last[b_upto - 1] = 1
         a_group, b_group = np.cumsum(a_last) - a_last, np.cumsum(b_last) - b_last
         order = np.empty(len(a) + len(b), np.int64)
         order[np.arange(len(a)) + np.append(0, b_upto)[a_group]] = a + self.n_a * a_last
         order[np.arange(len(b)) + a_upto[b_group]] = b + 2 * self.n_a + self.n_b * b_last
-        return list(map(self.table.__getitem__, order.tolist()))
+        return order
 
 
 def stretches_of(text: str | None) -> list[str]:
@@ -155,50 +166,43 @@ class Aligner:
         # What follows white space at the end of a stretch might change its tokens.
         closed = [s for s in unknown if s and not s[-1].isspace()]
         batches = [closed[i : i + _AT_ONCE] for i in range(0, len(closed), _AT_ONCE)]
-        for batch in batches + [[s] for s in unknown if not s or s[-1].isspace()]:
-            for s, x in self._align(batch):
-                out[s] = x
-                if len(s) <= MEMO_CHARS:
-                    memo[s] = x
+        if len(closed) < len(unknown):
+            batches += [[s] for s in unknown if not s or s[-1].isspace()]
+        for batch in batches:
+            found = list(zip(batch, self._align(batch)))
+            out.update(found)
+            short = max(map(len, batch)) <= MEMO_CHARS
+            memo.update(found if short else [x for x in found if len(x[0]) <= MEMO_CHARS])
         return out
 
-    def _align(self, stretches: list[str]) -> Iterator[tuple[str, Aligned | None]]:
+    def _align(self, stretches: list[str]) -> list[Aligned | None]:
         """Stretches behind one space each, laid end to end and aligned together."""
         text = "".join([" " + s for s in stretches])
         raw = text.encode("utf-8", "replace")
-        a = self.a.encode(text, add_special_tokens=False).ids
+        # The fast call leaves out the places of tokens in the text.
+        a = self.a.encode_batch_fast([text], add_special_tokens=False)[0].ids
         b = self.b.encode(text[1:], num_threads=1)
         if not b"".join(map(self.a_bytes.__getitem__, a)) == raw == b"".join(map(self.b_bytes.__getitem__, b)):
             if len(stretches) == 1:
-                yield stretches[0], None
-                return
+                return [None]
             half = len(stretches) // 2
-            yield from self._align(stretches[:half])
-            yield from self._align(stretches[half:])
-            return
+            return self._align(stretches[:half]) + self._align(stretches[half:])
         a, b = _numbers(a), _numbers(b)
         a_ends, b_ends = np.cumsum(self.a_sizes[a]), np.cumsum(self.b_sizes[b])
         ends, a_upto, b_upto = common_ends(a_ends, b_ends)
-        words = self.words.of_groups(a, b, a_upto, b_upto)
+        order = self.words.order(a, b, a_upto, b_upto)
+        words = "".join(map(self.words.table.__getitem__, order.tolist()))
         link_ends, x, y = linked(a_ends, b_ends)
-        pairs = (a[x] * PAIR + b[y]).tolist()
+        pairs = (a[x] * PAIR + b[y]).tobytes()
         # Every stretch ends at a common end.
         stops = np.cumsum([1 + len(s if s.isascii() else s.encode("utf-8", "replace")) for s in stretches])
         group = np.searchsorted(ends, stops) + 1
-        upto = zip(a_upto[group - 1].tolist(), b_upto[group - 1].tolist(), group.tolist(),
-                   np.searchsorted(link_ends, stops, "right").tolist())
-        i = j = g = k = 0
-        for s, (p, q, h, m) in zip(stretches, upto):
-            yield s, (p - i, q - j, h - g, m - k, "".join(words[i + j : p + q])[:-1], tuple(pairs[k:m]))
-            i, j, g, k = p, q, h, m
-
-
-class _Numbers(dict):
-    """Numbers keys in order of first use."""
-
-    def __missing__(self, key):
-        self[key] = number = len(self)
-        return number
+        n_a, n_b, n_links = a_upto[group - 1], b_upto[group - 1], np.searchsorted(link_ends, stops, "right")
+        sizes = np.diff([n_a, n_b, group, n_links], prepend=0).tolist()
+        # The sign behind a stretch's last id is left out.
+        chars = np.cumsum(self.words.lengths[order])[n_a + n_b - 1].tolist()
+        told = [words[i : j - 1] for i, j in pairwise([0, *chars])]
+        return list(zip(*sizes, told, [pairs[i:j] for i, j in pairwise([0, *(8 * n_links).tolist()])]))
 
 
 def _planes(numbers: np.ndarray) -> bytes:
@@ -220,23 +224,25 @@ class _Block:
         self.told: list[str] = []
         self.sizes = np.zeros((0, 4), np.int64)
         self.wrong: set[int] = set()
-        self.pairs = _Numbers()
-        self.pair_numbers: list[int] = []
+        self.pairs: list[bytes] = []
         self.used = np.zeros(0, np.int64)
 
     def add(self, aligner: Aligner, texts: list[str]) -> list[dict]:
         """Rows of some documents, without their ids."""
         split = list(map(stretches_of, texts))
-        new, more = dict.fromkeys(chain.from_iterable(split)), []
-        for s, x in aligner.aligned([s for s in new if s not in self.stretches]).items():
-            if x is None:
-                self.wrong.add(len(self.told))
-                x = (0, 0, 0, 0, "", ())
-            self.stretches[s] = len(self.told)
-            self.told.append(x[4])
-            more.append(x[:4])
-            self.pair_numbers += map(self.pairs.__getitem__, x[5])
-        self.sizes = sizes = np.concatenate([self.sizes, np.array(more, np.int64).reshape(-1, 4)])
+        new = dict.fromkeys(chain.from_iterable(split))
+        found = aligner.aligned([s for s in new if s not in self.stretches])
+        if found:
+            first, got = len(self.told), list(found.values())
+            self.stretches.update(zip(found, range(first, first + len(got))))
+            if None in got:
+                self.wrong.update(i for i, x in enumerate(got, first) if x is None)
+                got = [x or _NOTHING for x in got]
+            *more, told, pairs = zip(*got)
+            self.told += told
+            self.pairs.append(b"".join(pairs))
+            self.sizes = np.concatenate([self.sizes, np.array(more, np.int64).T])
+        sizes = self.sizes
         self.used = np.append(self.used, np.zeros(len(sizes) - len(self.used), np.int64))
         rows, used = [], []
         for parts in split:
@@ -256,9 +262,11 @@ class _Block:
     def row(self) -> dict:
         """The block's own row: its distinct pairs, how often each is linked, and the
         pairs of each stretch."""
-        numbers, sizes = np.array(self.pair_numbers, np.int64), self.sizes[:, 3]
-        times = np.bincount(numbers, np.repeat(self.used, sizes), len(self.pairs)).astype(np.int64)
-        return {"block": self.number, "pairs": list(self.pairs), "times": times.tolist(),
+        # Pairs are numbered in order of first use.
+        numbers, pairs = pd.factorize(np.frombuffer(b"".join(self.pairs), np.int64))
+        sizes = self.sizes[:, 3]
+        times = np.bincount(numbers, np.repeat(self.used, sizes), len(pairs)).astype(np.int64)
+        return {"block": self.number, "pairs": pairs.tolist(), "times": times.tolist(),
                 "pair_numbers": _planes(numbers), "n_pairs": _planes(sizes)}
 
 

@@ -178,3 +178,15 @@ def test_ends_by_hand():
     assert plain_lists(t.linked(ends(2, 2, 1), ends(2, 3)))[1:] == [[0, 1, 2], [0, 1, 1]]
     words = t._Words(5, 9).of_groups(np.array([1, 2, 3]), np.array([7, 8]), np.array([1, 3]), np.array([1, 2]))
     assert "".join(words) == "1|7;2,3|8;"
+
+
+def test_links_are_kept_as_numbers_not_objects(plain):
+    aligner = t.Aligner(open(A, encoding="utf-8").read(), open(B, "rb").read())
+    words = ["unhurried", "2,450", "żółw", "<s>", "x" * 200, "don't"]
+    for word, found in aligner.aligned(words).items():
+        a, b = plain(word)
+        links = [(x[0], y[0]) for x in a for y in b if x[1] < y[2] and y[1] < x[2]]
+        assert isinstance(found[5], bytes)
+        codes = np.frombuffer(found[5], np.int64)
+        assert sorted(zip((codes // t.PAIR).tolist(), (codes % t.PAIR).tolist())) == sorted(links)
+        assert found[:4] == (len(a), len(b), found[4].count(";") + 1, len(links))
