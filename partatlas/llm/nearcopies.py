@@ -19,8 +19,12 @@ that several texts share go on; different cells or keys that meet in 64 bits are
 candidates, no more. Numbers of runs that differ by more than the similarity allows end a
 candidate early. All others are verified on the hashes of all their runs, which are taken
 from the texts once. Equal word sequences are one text before the joins. Within a cell,
-texts first meet its least text only; all others meet later, and only across the groups
-found so far, so a large group of near copies is not paired out.
+texts first meet one text only, the one that shares most cells with others and so lies in
+the middle of its near copies. All others meet later, across the groups found so far and
+by a prefix filter: of two similar texts with their runs in one order, rare runs first,
+the first common run lies where enough runs are left behind it on both sides. Only
+texts that have such a run in common and share a cell are paired, so edited copies of one
+original that are too far from each other are not paired out. Nothing is lost by it.
 
 A document is a ``doc_id``; rows that repeat it are the same document, whatever their
 texts. Rows with a null ``doc_id`` are in no group. Null and empty texts are equal. Very
@@ -147,6 +151,38 @@ def _similar(pairs: DataFrame, hashed: DataFrame) -> DataFrame:
     return both.filter(100 * common >= MIN_PERCENT * total).select("a", "b")
 
 
+def _across_groups(texts: DataFrame, hashed: DataFrame) -> DataFrame:
+    """Pairs ``a`` and ``b`` of ``texts`` of different groups that share a cell and may be
+    similar.
+
+    ``texts`` has ``id``, ``hi``, ``lo``, ``n_runs``, ``root`` and ``cells``. A text's runs are
+    in order of the number of texts that have them; those of one text only come first and
+    meet nobody, so they only count for the places of the others.
+    """
+    runs = texts.join(hashed, ["hi", "lo"]).select("hi", "lo", F.explode("hashes").alias("run"))
+    often = runs.groupBy("run").agg(F.count("*").alias("n")).filter("n > 1")
+    places = runs.join(often, "run").groupBy("hi", "lo").agg(
+        F.sort_array(F.collect_list(F.struct("n", "run"))).alias("runs"))
+    alone = F.col("n_runs") - F.size("runs")
+    reached = F.floor(F.col("n_runs") * (100 - MIN_PERCENT) / 100)
+    first = materialize(places.join(texts.drop("cells"), ["hi", "lo"]).select(
+        F.struct("id", "hi", "lo").alias("text"), "n_runs", "root", alone.alias("alone"),
+        F.posexplode(F.slice("runs", F.lit(1), F.greatest(reached - alone + 1, F.lit(0)).cast("int"))).alias("at", "run"),
+    ).select("text", "n_runs", "root", (F.col("n_runs") - F.col("alone") - F.col("at")).alias("left"), "run.run"), "near-first")
+    enough = lambda side: (
+        (100 + MIN_PERCENT) * F.col(f"{side}.left") >= MIN_PERCENT * (F.col("a.n_runs") + F.col("b.n_runs")))
+    met = first.alias("a").join(
+        first.alias("b"),
+        (F.col("a.run") == F.col("b.run")) & (F.col("a.root") < F.col("b.root"))
+        & _may_be_similar(F.col("a.n_runs"), F.col("b.n_runs")) & enough("a") & enough("b"),
+    ).select(F.col("a.text").alias("a"), F.col("b.text").alias("b")).distinct()
+    of = lambda side: texts.select(
+        F.col("hi").alias(f"{side}_hi"), F.col("lo").alias(f"{side}_lo"), F.col("cells").alias(f"{side}_cells"))
+    for side in ("a", "b"):
+        met = met.join(of(side), (F.col(f"{side}.hi") == F.col(f"{side}_hi")) & (F.col(f"{side}.lo") == F.col(f"{side}_lo")))
+    return met.filter(F.arrays_overlap("a_cells", "b_cells")).select("a", "b")
+
+
 def _text(side: str) -> Column:
     return F.struct(*[F.col(f"{side}.{c}").alias(c) for c in ("id", "hi", "lo")])
 
@@ -166,15 +202,20 @@ def near_groups(docs: DataFrame) -> DataFrame:
         F.min("doc_id").alias("id"), *[F.first(c).alias(c) for c in ("n_runs", "fp", "cells")]), "near-texts")
     spots = texts.select("hi", F.explode("cells").alias("cell"))
     texts = texts.drop("cells")
-    shared = spots.groupBy("cell").agg(F.min("hi").alias("head"), F.max("hi").alias("tail")).filter("head < tail")
-    spots = materialize(spots.join(shared.select("cell", "head"), "cell"), "near-spots")
+    shared = spots.groupBy("cell").agg(
+        F.count("*").alias("n"), F.min("hi").alias("least"), F.max("hi").alias("most")).filter("least < most")
+    spots = materialize(spots.join(shared.select("cell", "n"), "cell"), "near-shared")
+    # The text that meets most others over its cells is met by all of a cell.
+    known = spots.groupBy("hi").agg(F.sum("n").alias("met"))
+    heads = spots.join(known, "hi").groupBy("cell").agg(F.max_by("hi", F.struct("met", "hi")).alias("head"))
+    spots = materialize(spots.drop("n").join(heads, "cell"), "near-spots")
     close = materialize(links(texts.select("fp").distinct()), "near-reach").select(
         F.col("a").alias("low"), F.col("b").alias("high"))
     fps = close.select(F.col("low").alias("fp")).union(close.select("high"))
     wanted = spots.select("hi").union(texts.join(fps, "fp", "left_semi").select("hi")).distinct()
     hashed = _run_hashes(docs, texts.join(wanted, "hi", "left_semi").select("id", "hi", "lo"))
 
-    # Texts of a cell against its least one.
+    # Texts of a cell against its head.
     heads = spots.filter("hi <> head").select("head", F.col("hi").alias("other")).distinct()
     first = heads.join(texts.alias("a"), F.col("head") == F.col("a.hi")).join(
         texts.alias("b"), (F.col("other") == F.col("b.hi")) & _may_be_similar(F.col("a.n_runs"), F.col("b.n_runs")))
@@ -189,11 +230,10 @@ def near_groups(docs: DataFrame) -> DataFrame:
         "id", "hi", "lo", "n_runs", "fp", F.coalesce("root", "id").alias("root")), "near-grouped")
     mixed = spots.select("cell", "hi").join(grouped.drop("fp"), "hi")
     open_cells = mixed.groupBy("cell").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x < y")
-    mixed = materialize(mixed.join(open_cells.select("cell"), "cell", "left_semi"), "near-mixed")
+    mixed = materialize(mixed.join(open_cells.select("cell"), "cell", "left_semi").groupBy("hi", "lo").agg(
+        *[F.first(c).alias(c) for c in ("id", "n_runs", "root")], F.collect_set("cell").alias("cells")), "near-mixed")
     may = _may_be_similar(F.col("a.n_runs"), F.col("b.n_runs"))
-    in_cells = mixed.alias("a").join(
-        mixed.alias("b"), (F.col("a.cell") == F.col("b.cell")) & (F.col("a.root") < F.col("b.root")) & may).select(
-        _text("a").alias("a"), _text("b").alias("b"))
+    in_cells = _across_groups(mixed, hashed)
     in_reach = close.join(grouped.alias("a"), F.col("low") == F.col("a.fp")).join(
         grouped.alias("b"), (F.col("high") == F.col("b.fp")) & (F.col("a.root") != F.col("b.root")) & may).select(
         F.least(_text("a"), _text("b")).alias("a"), F.greatest(_text("a"), _text("b")).alias("b"))

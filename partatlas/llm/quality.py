@@ -221,18 +221,11 @@ def quality_table(docs: DataFrame) -> DataFrame:
 def quality_filter(docs: DataFrame) -> DataFrame:
     """Rows of ``docs`` that pass, with all their columns.
 
-    Texts are measured once. What is stored are the measures beside a digest of the row,
-    and the digests of rejected rows; these leave ``docs`` by an anti-join.
+    Texts are measured once, and the measures are stored beside the rows. The limits are a
+    stored table of one row per language and source, so that a plan sees how small it is and
+    rows need no shuffle to meet it.
     """
-    mark = lambda of: [
-        F.xxhash64(F.lit(i), *[of(c) for c in ("doc_id", "lang", "source", "text")]).alias(f"mark{i}") for i in (1, 2)]
-    marks = mark(lambda c: F.col(f"row.{c}"))
     keys = [F.col("row.lang").alias("lang"), F.col("row.source").alias("source")]
-    measured = materialize(
-        text_measures(docs.select("doc_id", "lang", "source", "text")).select(*marks, *keys, F.col("*")).drop("row"),
-        "quality-measures")
-    judged = judge(measured, fences(sketch(measured)))
-    rejected = materialize(
-        judged.filter(~F.coalesce("kept", F.lit(False))).select("mark1", "mark2").distinct(), "quality-rejected")
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")).select("row", *marks)
-    return rows.join(rejected, ["mark1", "mark2"], "left_anti").select("row.*")
+    measured = materialize(text_measures(docs).select(*keys, F.col("*")), "quality-measures")
+    limits = materialize(fences(sketch(measured)), "quality-limits")
+    return judge(measured, limits).filter("kept").select("row.*")

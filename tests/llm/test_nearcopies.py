@@ -123,3 +123,22 @@ def test_same_id_and_odd_rows(docs, odd, none):
     ids = [r.doc_id for r in kept.collect()]
     assert sorted(x for x in ids if x is not None) == [1, 2, 5, 7, 8] and ids.count(None) == 2
     assert near_groups(none).count() == 0 and near_copy_filter(none).count() == 0
+
+
+def test_copies_edited_too_far_apart_are_not_paired_out(docs, monkeypatch):
+    """Texts with some words of one original in common share cells; hardly any are verified."""
+    import partatlas.llm.nearcopies as n
+
+    rng = random.Random(13)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(160)]
+    texts = []
+    for i in range(90):
+        far = list(base)
+        for at in rng.sample(range(len(base)), 9 if i % 15 else 1):
+            far[at] = f"new{rng.randrange(10**6)}"
+        texts.append(" ".join(far))
+    counts, similar = [], n._similar
+    monkeypatch.setattr(n, "_similar", lambda pairs, hashed: counts.append(pairs.count()) or similar(pairs, hashed))
+    got, want = found(docs(*texts)), groups_by_brute_force(dict(enumerate(texts)))
+    assert got == want and 50 < len(set(got.values())) < 90
+    assert counts[-1] < len(texts)

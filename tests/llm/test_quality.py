@@ -122,3 +122,21 @@ def test_query_against_sql(spark):
     df = queries()["op3_quality_rules"](spark, "/root/testdata/sf0.001")
     want = con.execute(f"SELECT {', '.join(df.columns)} FROM ({oracle_sql()['op3_quality_rules']})").fetchall()
     assert sorted(map(tuple, df.collect())) == sorted(want)
+
+
+def test_rows_are_not_shuffled_to_be_filtered(spark):
+    docs = spark.range(4_000).selectExpr(
+        "id AS doc_id", "IF(id % 4 = 0, concat('plain ', concat_ws(' ', transform(sequence(1, 30), x -> concat('w', x * id)))), "
+        "concat('short ', id)) AS text", "'en' AS lang", "'a' AS source", "id AS other")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    # Room for a row per language and source, not for one per rejected document.
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", 40_000)
+    try:
+        kept = quality_filter(docs)
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and "hashpartitioning" not in plan
+        want = {r.doc_id for r in quality_table(docs).filter("kept").collect()}
+        got = kept.collect()
+        assert kept.columns == docs.columns and {r.doc_id for r in got} == want and 0 < len(got) == len(want)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
