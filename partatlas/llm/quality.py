@@ -226,6 +226,6 @@ def quality_filter(docs: DataFrame) -> DataFrame:
     rows need no shuffle to meet it.
     """
     keys = [F.col("row.lang").alias("lang"), F.col("row.source").alias("source")]
-    measured = materialize(text_measures(docs).select(*keys, F.col("*")), "quality-measures")
+    measured = materialize(text_measures(docs).select(*keys, F.col("*")), "quality-measures", "zstd")
     limits = materialize(fences(sketch(measured)), "quality-limits")
     return judge(measured, limits).filter("kept").select("row.*")
