@@ -4,7 +4,8 @@ Every round turns each node's larger neighbours towards the smallest node it kno
 (large star), then its smaller ones (small star), until the links are stars around
 the smallest node of each component. A node's smallest neighbour is an aggregate and
 reaches the links by a join, so a node with very many links is never gathered in one
-place, and adaptive execution may split it. Every round is a written table.
+place, and adaptive execution may split it. Nor is it broadcast: links of few nodes make
+files much smaller than they are. Every round is a written table.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from partatlas.session import materialize
+from partatlas.session import materialize, shuffled
 
 
 def _star(links: DataFrame, large: bool) -> DataFrame:
@@ -23,10 +24,10 @@ def _star(links: DataFrame, large: bool) -> DataFrame:
             links.select(F.col("lo").alias("u"), F.col("hi").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         moved = links.select(F.col("lo").alias("u"), F.col("hi").alias("v"))
-        out = moved.join(least, "u").select(F.col("v").alias("hi"), F.col("m").alias("lo"))
+        out = moved.join(shuffled(least), "u").select(F.col("v").alias("hi"), F.col("m").alias("lo"))
     else:
         least = links.groupBy("hi").agg(F.min("lo").alias("m"))
-        moved = links.join(least, "hi")
+        moved = links.join(shuffled(least), "hi")
         out = moved.select(F.col("lo").alias("hi"), F.col("m").alias("lo")).union(
             least.select("hi", F.col("m").alias("lo")))
     return out.filter("hi > lo").distinct()

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from partatlas.llm.components import components
-from partatlas.session import materialize
+from partatlas.session import materialize, shuffled
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -124,7 +124,10 @@ def bit_counts(fp: Column) -> Column:
 
 
 def links(prints: DataFrame) -> DataFrame:
-    """Pairs ``a < b`` of distinct fingerprints (column ``fp``) within the distance."""
+    """Pairs ``a < b`` of distinct fingerprints (column ``fp``) within the distance.
+
+    A plan sees the fingerprints, not the 35 cells of each, so the join is always shuffled.
+    """
     masks = _group_masks()
     cells = [
         (sum(1 << g for g in chosen), _signed(sum(masks[g] for g in chosen)))
@@ -146,7 +149,7 @@ def links(prints: DataFrame) -> DataFrame:
     for _ in range(GROUPS - MAX_DISTANCE):
         rest = rest.bitwiseAND(rest - 1)
     return a.join(
-        b,
+        shuffled(b),
         (F.col("a.choice") == F.col("b.choice")) & (F.col("a.cell") == F.col("b.cell"))
         & (F.col("a.fp") < F.col("b.fp"))
         & (F.bit_count(apart) <= MAX_DISTANCE)
@@ -165,8 +168,8 @@ def simhash_groups(docs: DataFrame) -> DataFrame:
     prints = materialize(fingerprints(docs), "simhash")
     distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
     roots = components(links(distinct), "simhash-links")
-    named = distinct.join(roots, distinct["fp"] == roots["node"], "left").select(
+    named = distinct.join(shuffled(roots), distinct["fp"] == roots["node"], "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root"))
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    groups = named.join(least, "root").select("fp", "component_id")
-    return prints.join(groups, "fp").select("doc_id", "fp", "component_id")
+    groups = named.join(shuffled(least), "root").select("fp", "component_id")
+    return prints.join(shuffled(groups), "fp").select("doc_id", "fp", "component_id")

@@ -6,6 +6,7 @@ import re
 import xxhash
 from pyspark.sql import functions as F
 
+import partatlas.llm.components
 from partatlas.llm.components import components
 from partatlas.llm.simhash import bit_counts, fingerprint, fingerprints, links, simhash_groups
 
@@ -115,3 +116,14 @@ def test_odd_rows(odd, none):
     assert len(rows) == 12
     assert {r.component_id for r in rows if r.fp == 0} == {2}
     assert simhash_groups(none).count() == 0
+
+
+def test_cells_and_links_are_not_broadcast(docs, monkeypatch):
+    """With Spark's own limit, by which the files behind these rows look small."""
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    rounds, kept = [], partatlas.llm.components.materialize
+    monkeypatch.setattr(partatlas.llm.components, "materialize", lambda df, label: rounds.append(plan(df)) or kept(df, label))
+    groups = simhash_groups(docs("one text of some words", "one text of some words", "another text of other words"))
+    for shape in (*rounds, plan(groups)):
+        assert "SortMergeJoin" in shape and "Broadcast" not in shape
+    assert {(r.doc_id, r.component_id) for r in groups.collect()} == {(0, 0), (1, 0), (2, 2)}
