@@ -25,6 +25,8 @@ by a prefix filter: of two similar texts with their runs in one order, rare runs
 the first common run lies where enough runs are left behind it on both sides. Only
 texts that have such a run in common and share a cell are paired, so edited copies of one
 original that are too far from each other are not paired out. Nothing is lost by it.
+Tables with rows for cells or runs are many times what a plan takes them for by their files,
+so their joins are always shuffled.
 
 A document is a ``doc_id``; rows that repeat it are the same document, whatever their
 texts. Rows with a null ``doc_id`` are in no group. Null and empty texts are equal. Very
@@ -46,7 +48,7 @@ from pyspark.sql import functions as F
 
 from partatlas.llm.components import components
 from partatlas.llm.simhash import SEED, bit_counts, links, majority, shingle_hashes, words_of
-from partatlas.session import materialize
+from partatlas.session import materialize, shuffled
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -135,7 +137,7 @@ def _run_hashes(docs: DataFrame, texts: DataFrame) -> DataFrame:
     rows = docs.join(texts.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi")
     hashed = rows.select("text").mapInArrow(_hashes, "hi long, lo long, hashes array<long>")
     return materialize(
-        hashed.join(texts.select("hi", "lo"), ["hi", "lo"], "left_semi").dropDuplicates(["hi", "lo"]), "near-hashes")
+        hashed.join(shuffled(texts.select("hi", "lo")), ["hi", "lo"], "left_semi").dropDuplicates(["hi", "lo"]), "near-hashes")
 
 
 def _similar(pairs: DataFrame, hashed: DataFrame) -> DataFrame:
@@ -172,14 +174,14 @@ def _across_groups(texts: DataFrame, hashed: DataFrame) -> DataFrame:
     enough = lambda side: (
         (100 + MIN_PERCENT) * F.col(f"{side}.left") >= MIN_PERCENT * (F.col("a.n_runs") + F.col("b.n_runs")))
     met = first.alias("a").join(
-        first.alias("b"),
+        shuffled(first.alias("b")),
         (F.col("a.run") == F.col("b.run")) & (F.col("a.root") < F.col("b.root"))
         & _may_be_similar(F.col("a.n_runs"), F.col("b.n_runs")) & enough("a") & enough("b"),
     ).select(F.col("a.text").alias("a"), F.col("b.text").alias("b")).distinct()
     of = lambda side: texts.select(
         F.col("hi").alias(f"{side}_hi"), F.col("lo").alias(f"{side}_lo"), F.col("cells").alias(f"{side}_cells"))
     for side in ("a", "b"):
-        met = met.join(of(side), (F.col(f"{side}.hi") == F.col(f"{side}_hi")) & (F.col(f"{side}.lo") == F.col(f"{side}_lo")))
+        met = met.join(shuffled(of(side)), (F.col(f"{side}.hi") == F.col(f"{side}_hi")) & (F.col(f"{side}.lo") == F.col(f"{side}_lo")))
     return met.filter(F.arrays_overlap("a_cells", "b_cells")).select("a", "b")
 
 
@@ -204,16 +206,16 @@ def near_groups(docs: DataFrame) -> DataFrame:
     texts = texts.drop("cells")
     shared = spots.groupBy("cell").agg(
         F.count("*").alias("n"), F.min("hi").alias("least"), F.max("hi").alias("most")).filter("least < most")
-    spots = materialize(spots.join(shared.select("cell", "n"), "cell"), "near-shared")
+    spots = materialize(spots.join(shuffled(shared.select("cell", "n")), "cell"), "near-shared")
     # The text that meets most others over its cells is met by all of a cell.
     known = spots.groupBy("hi").agg(F.sum("n").alias("met"))
-    heads = spots.join(known, "hi").groupBy("cell").agg(F.max_by("hi", F.struct("met", "hi")).alias("head"))
-    spots = materialize(spots.drop("n").join(heads, "cell"), "near-spots")
+    heads = spots.join(shuffled(known), "hi").groupBy("cell").agg(F.max_by("hi", F.struct("met", "hi")).alias("head"))
+    spots = materialize(spots.drop("n").join(shuffled(heads), "cell"), "near-spots")
     close = materialize(links(texts.select("fp").distinct()), "near-reach").select(
         F.col("a").alias("low"), F.col("b").alias("high"))
     fps = close.select(F.col("low").alias("fp")).union(close.select("high"))
     wanted = spots.select("hi").union(texts.join(fps, "fp", "left_semi").select("hi")).distinct()
-    hashed = _run_hashes(docs, texts.join(wanted, "hi", "left_semi").select("id", "hi", "lo"))
+    hashed = _run_hashes(docs, texts.join(shuffled(wanted), "hi", "left_semi").select("id", "hi", "lo"))
 
     # Texts of a cell against its head.
     heads = spots.filter("hi <> head").select("head", F.col("hi").alias("other")).distinct()
@@ -226,22 +228,22 @@ def near_groups(docs: DataFrame) -> DataFrame:
     roots = components(known, "near-links")
 
     # All others of a cell, and whole texts within reach, across the groups so far.
-    grouped = materialize(texts.join(roots, texts["id"] == roots["node"], "left").select(
+    grouped = materialize(texts.join(shuffled(roots), texts["id"] == roots["node"], "left").select(
         "id", "hi", "lo", "n_runs", "fp", F.coalesce("root", "id").alias("root")), "near-grouped")
-    mixed = spots.select("cell", "hi").join(grouped.drop("fp"), "hi")
+    mixed = spots.select("cell", "hi").join(shuffled(grouped.drop("fp")), "hi")
     open_cells = mixed.groupBy("cell").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x < y")
     mixed = materialize(mixed.join(open_cells.select("cell"), "cell", "left_semi").groupBy("hi", "lo").agg(
         *[F.first(c).alias(c) for c in ("id", "n_runs", "root")], F.collect_set("cell").alias("cells")), "near-mixed")
     may = _may_be_similar(F.col("a.n_runs"), F.col("b.n_runs"))
     in_cells = _across_groups(mixed, hashed)
-    in_reach = close.join(grouped.alias("a"), F.col("low") == F.col("a.fp")).join(
-        grouped.alias("b"), (F.col("high") == F.col("b.fp")) & (F.col("a.root") != F.col("b.root")) & may).select(
+    in_reach = close.join(shuffled(grouped.alias("a")), F.col("low") == F.col("a.fp")).join(
+        shuffled(grouped.alias("b")), (F.col("high") == F.col("b.fp")) & (F.col("a.root") != F.col("b.root")) & may).select(
         F.least(_text("a"), _text("b")).alias("a"), F.greatest(_text("a"), _text("b")).alias("b"))
     more = _similar(in_cells.union(in_reach).distinct(), hashed)
     # What the first round found is kept as links to its roots.
     roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more), "near-links")
     ids = prints.select("doc_id").distinct()
-    return ids.join(roots, ids["doc_id"] == roots["node"], "left").select(
+    return ids.join(shuffled(roots), ids["doc_id"] == roots["node"], "left").select(
         "doc_id", F.coalesce("root", "doc_id").alias("component_id"))
 
 

@@ -142,3 +142,21 @@ def test_copies_edited_too_far_apart_are_not_paired_out(docs, monkeypatch):
     got, want = found(docs(*texts)), groups_by_brute_force(dict(enumerate(texts)))
     assert got == want and 50 < len(set(got.values())) < 90
     assert counts[-1] < len(texts)
+
+
+def test_rows_of_cells_and_runs_are_not_broadcast(docs, monkeypatch):
+    """With Spark's own limit, by which the files behind these rows look small."""
+    import partatlas.llm.nearcopies as n
+
+    plans, kept, across = {}, n.materialize, n._across_groups
+
+    def seen(label, df):
+        plans[label] = df._jdf.queryExecution().executedPlan().toString()
+        return df
+
+    monkeypatch.setattr(n, "materialize", lambda df, label: kept(seen(label, df), label))
+    monkeypatch.setattr(n, "_across_groups", lambda texts, hashed: seen("across", across(texts, hashed)))
+    text = " ".join(f"w{i}" for i in range(60))
+    assert found(docs(text, text + " more", "another text")) == {0: 0, 1: 0, 2: 2}
+    for label in ("near-reach", "near-shared", "near-spots", "near-grouped", "across"):
+        assert "SortMergeJoin" in plans[label] and "Broadcast" not in plans[label], label
